@@ -8,8 +8,9 @@ regular expressions over the shape of the part before the suffix.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Forms that skip the rules, as (form, stem).
@@ -196,16 +197,27 @@ _STEPS = (
 )
 
 
-def with_stem(terms: DataFrame, term: str = "term", out: str = "stem") -> DataFrame:
-    """Add the stem of each term. One projection per step keeps the expression tree small."""
-    stepped = terms.withColumn("_word", F.lower(F.col(term)))
-    for step in _STEPS:
-        stepped = stepped.withColumn("_shape", shape(F.col("_word"))).withColumn(
-            "_word", step(F.col("_word"), F.col("_shape"))
-        )
+def _shaped(word: Column, word_shape: Column) -> Column:
+    return F.struct(word.alias("word"), word_shape.alias("shape"))
+
+
+def _apply(step: Callable[[Column, Column], Column], state: Column) -> Column:
+    """One step on a one-element array of word and shape. The lambdas bind both once, so that chaining the steps
+    keeps the expression small wherever the optimizer moves it. Only a changed word gets a new shape."""
+    stepped = F.transform(
+        state, lambda it: F.struct(it["word"].alias("old"), it["shape"].alias("shape"), step(it["word"], it["shape"]).alias("word"))
+    )
+    return F.transform(
+        stepped,
+        lambda it: _shaped(it["word"], F.when(it["word"] == it["old"], it["shape"]).otherwise(shape(it["word"]))),
+    )
+
+
+def stem(term: Column) -> Column:
     irregular = None
-    for form, stem in IRREGULAR_STEMS:
-        irregular = (F.when if irregular is None else irregular.when)(F.lower(F.col(term)) == form, stem)
-    short = F.length(F.col(term)) <= 2
-    result = irregular.when(short, F.lower(F.col(term))).otherwise(F.col("_word"))
-    return stepped.withColumn(out, result).drop("_word", "_shape")
+    for form, stem_of_form in IRREGULAR_STEMS:
+        irregular = (F.when if irregular is None else irregular.when)(F.lower(term) == form, stem_of_form)
+    short = F.length(term) <= 2
+    start = F.array(_shaped(F.lower(term), shape(F.lower(term))))
+    regular = F.get(reduce(lambda state, step: _apply(step, state), _STEPS, start), F.lit(0))
+    return irregular.when(short, F.lower(term)).otherwise(regular["word"])

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from lexispark.config import NOUN_EXCEPTIONS, CleanConfig
 from lexispark.functions.clean import clean
-from lexispark.functions.stemming import with_stem
+from lexispark.functions.stemming import stem
 from lexispark.functions.tokens import filtered_tokens, join_tokens, kept_tokens, raw_tokens
-from lexispark.operators.scale import lookup_join, settle
+from lexispark.operators.scale import lookup_join, settle, spread
 
 # Noun endings and what may replace them, in the order in which candidates are preferred.
 NOUN_ENDINGS = (
@@ -28,8 +28,11 @@ NOUN_ENDINGS = (
 
 
 def distinct_terms(df: DataFrame, tokens: str) -> DataFrame:
-    """Terms of a token column with their corpus frequency."""
-    return df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
+    """Terms of a token column with their corpus frequency, written once for the passes that follow."""
+    # exploding a plain column would make Spark push a size filter, and with it the tokenizing, down to the scan
+    held = F.when(F.size(tokens) > 0, F.col(tokens))
+    counts = df.select(F.explode(held).alias("term")).groupBy("term").agg(F.count("*").alias("cf"))
+    return spread(settle(counts, "terms"), "term")
 
 
 def corpus_lexicon(terms: DataFrame, min_cf: int = 2) -> DataFrame:
@@ -72,11 +75,10 @@ def _candidates(term: Column) -> Column:
 def lemmatize(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame) -> DataFrame:
     """Noun lemma of each distinct term: ``(term, lemma)``.
 
-    ``lexicon(form)`` holds the known words, ``exceptions(term, form)`` irregular forms, which replace the rules for
+    ``terms`` holds each term once. ``lexicon(form)`` holds the known words, ``exceptions(term, form)`` irregular forms, which replace the rules for
     their term. Of the first round of detached endings that holds a known word, the shortest known word wins, then
     the earlier rule. A term without a known form is its own lemma.
     """
-    terms = terms.select("term").distinct()
     irregular = exceptions.groupBy("term").agg(F.sort_array(F.collect_set("form")).alias("_forms"))
     listed = F.transform(
         F.concat(F.array("term"), F.col("_forms")),
@@ -99,7 +101,7 @@ def lemmatize(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame) -> Da
 
 def stem_terms(terms: DataFrame) -> DataFrame:
     """Stem of each distinct term: ``(term, stem)``."""
-    return with_stem(terms.select("term").distinct())
+    return terms.select("term", stem(F.col("term")).alias("stem"))
 
 
 def replace_terms(df: DataFrame, tokens: str, mapping: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -127,7 +129,7 @@ def normalize(
     """Lemmas or stems for a token column; lemmas win if both are switched on, neither leaves the tokens alone."""
     if not (config.lemmatization or config.stemming):
         return df.select(*keys, tokens)
-    terms = settle(distinct_terms(df, tokens), "terms")
+    terms = distinct_terms(df, tokens)
     if config.lemmatization:
         lexicon = corpus_lexicon(terms) if lexicon is None else lexicon
         exceptions = default_exceptions(df) if exceptions is None else exceptions

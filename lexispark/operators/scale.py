@@ -43,6 +43,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal the rows of a file scan with fewer splits than cores to all cores; a no-op on any larger table.
+
+    Text work costs far more than reading, and one row group is one task however many cores there are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_broadcast(settled: DataFrame) -> bool:
     """Measure a settled table (one cheap scan) against the broadcast bounds."""
     sizes = [F.octet_length(F.col(f.name)) for f in settled.schema if isinstance(f.dataType, T.StringType)]

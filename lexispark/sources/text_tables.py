@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Spark's CSV writer trims values by default
+VERBATIM = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+
 PROCESSED_SCHEMA = "processed string, label int"
 TWEET_SCHEMA = "polarity int, id bigint, date string, query string, user string, text string"
 
@@ -27,11 +30,11 @@ def read_tweets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_processed(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
-    """Processed texts with labels; an empty text comes back as null."""
+    """Processed texts with labels; an empty text comes back as null. Without line breaks the files stay splittable."""
     if format == "parquet":
         df = spark.read.parquet(path)
         return df.withColumn("processed", F.nullif("processed", F.lit("")))
-    return spark.read.schema(PROCESSED_SCHEMA).csv(path, header=True, multiLine=True, escape='"')
+    return spark.read.schema(PROCESSED_SCHEMA).csv(path, header=True, nullValue="", escape='"')
 
 
 def write_processed(df: DataFrame, path: str, format: str = "csv") -> None:
@@ -41,9 +44,9 @@ def write_processed(df: DataFrame, path: str, format: str = "csv") -> None:
         writer = df.select(*columns).write.mode("overwrite")
         (writer.partitionBy("source") if "source" in columns else writer).parquet(path)
         return
-    df.select("processed", "label").write.mode("overwrite").csv(path, header=True, escape='"')
+    df.select("processed", "label").write.mode("overwrite").csv(path, header=True, emptyValue="", **VERBATIM)
 
 
 def write_results(df: DataFrame, path: str) -> None:
     """The model comparison table, one row per model, as one headed CSV file."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    df.coalesce(1).write.mode("overwrite").csv(path, header=True, **VERBATIM)
