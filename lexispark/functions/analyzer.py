@@ -22,16 +22,17 @@ def word_tokens(text: Column, config: VectorConfig) -> Column:
 def ngrams(tokens: Column, low: int, high: int) -> Column:
     """All runs of ``low`` to ``high`` neighbouring tokens, joined by a space, shorter runs first."""
 
-    def runs_of(n: int) -> Column:
+    def runs_of(words: Column, n: int) -> Column:
         if n == 1:
-            return tokens
-        # n stays within the array, so the last start is size - n + 1; shorter documents have no run at all
-        starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(1)))
-        runs = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-        return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
-
-    parts = [runs_of(n) for n in range(low, high + 1)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+            return words
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
+        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    # the outer lambda binds the token array once; inside the inner one it would be evaluated per position
+    return F.get(
+        F.transform(F.array(tokens), lambda words: F.concat(*[runs_of(words, n) for n in range(low, high + 1)])), F.lit(0)
+    )
 
 
 def analyze(text: Column, config: VectorConfig) -> Column:
