@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.config import CleanConfig, review_config
 from lexispark.functions.tokens import filtered_tokens, join_tokens
-from lexispark.operators.scale import spread
+from lexispark.operators.scale import settle, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,8 +152,14 @@ def processed(df: DataFrame, *keep: str, config: CleanConfig = PLAIN) -> DataFra
     return df.select(*keep, join_tokens(filtered_tokens(F.col("text"), config)).alias("processed"))
 
 
+@lru_cache(maxsize=4)
+def _processed_table(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(processed(table(spark, folder, "documents"), "doc_id", "lang", "source"), "processed")
+
+
 def processed_docs(spark: SparkSession, folder: str) -> DataFrame:
-    return processed(table(spark, folder, "documents"), "doc_id", "lang", "source")
+    """The processed corpus, written once like the processed files that all later stages load."""
+    return spread(_processed_table(spark, folder))
 
 
 def sql_processed(source: str, config: CleanConfig = PLAIN) -> str:

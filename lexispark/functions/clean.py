@@ -3,14 +3,14 @@ tokenizing run as one stage without a shuffle and without Python workers."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexispark.config import CleanConfig
-from lexispark.functions.patterns import NOT_SPACE, SPACE, SPACE_CHARS, WORD, WORD_CHARS, WORD_END, WORD_START
+from lexispark.functions.patterns import NOT_SPACE, NOT_WORD, SPACE, SPACE_CHARS, WORD, WORD_CHARS, WORD_END, WORD_START
 
 
 def lower_text(text: Column) -> Column:
@@ -19,13 +19,7 @@ def lower_text(text: Column) -> Column:
 
 def expand_contractions(text: Column, mapping: Sequence[tuple[str, str]]) -> Column:
     """Literal, case-sensitive replacement in list order; earlier entries shadow later ones."""
-    if not mapping:
-        return text
-    expanded = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), mapping, text)
-    if all("'" in short for short, _ in mapping):
-        # most texts hold no apostrophe and skip the whole chain
-        return F.when(F.contains(text, F.lit("'")), expanded).otherwise(text)
-    return expanded
+    return reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), mapping, text)
 
 
 def strip_html_tags(text: Column) -> Column:
@@ -77,21 +71,43 @@ def blank_guard(text: Column) -> Column:
     return F.when(has_text(text), text).otherwise(F.lit(""))
 
 
-def clean(text: Column, config: CleanConfig) -> Column:
-    """All cleaning steps of a configuration, in their fixed order."""
-    if config.lowercase:
-        text = lower_text(text)
-    if config.expand_contractions:
-        text = expand_contractions(text, config.contractions)
+def words_only(text: Column) -> Column:
+    """``strip_punctuation`` and ``collapse_whitespace`` in one pass: every run of other characters is one space."""
+    return F.trim(F.regexp_replace(text, f"{NOT_WORD}+", " "))
+
+
+def _where_found(needles: Sequence[str], step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """A step that runs only on texts holding one of its needles. A literal search is far cheaper than a regular
+    expression, and most texts hold none."""
+
+    def guarded(text: Column) -> Column:
+        found = reduce(lambda acc, needle: acc | F.contains(text, F.lit(needle)), needles, F.lit(False))
+        return F.when(found, step(text)).otherwise(text)
+
+    return guarded
+
+
+def clean_steps(config: CleanConfig) -> list[Callable[[Column], Column]]:
+    """The cleaning steps of a configuration in their fixed order."""
+    steps = [lower_text] if config.lowercase else []
+    if config.expand_contractions and config.contractions:
+        needles = {"'"} if all("'" in short for short, _ in config.contractions) else {s for s, _ in config.contractions}
+        steps.append(_where_found(sorted(needles), lambda text: expand_contractions(text, config.contractions)))
     if config.remove_html:
-        text = strip_entities(strip_html_tags(text))
+        steps += [_where_found(["<"], strip_html_tags), _where_found(["&"], strip_entities)]
     if config.remove_urls:
-        text = strip_urls(text)
+        steps.append(_where_found(["://", "www."], strip_urls))
     if config.remove_mentions:
-        text = strip_mentions(text)
-    text = drop_hashtags(text) if config.remove_hashtags else strip_hash_symbol(text)
+        steps.append(_where_found(["@"], strip_mentions))
+    steps.append(_where_found(["#"], drop_hashtags if config.remove_hashtags else strip_hash_symbol))
     if config.remove_numbers:
-        text = strip_numbers(text)
-    if config.remove_punctuation:
-        text = strip_punctuation(text)
-    return collapse_whitespace(text)
+        steps.append(strip_numbers)
+    steps.append(words_only if config.remove_punctuation else collapse_whitespace)
+    return steps
+
+
+def clean(text: Column, config: CleanConfig) -> Column:
+    """All cleaning steps of a configuration. A lambda over a one-element array binds each intermediate text once,
+    so that the guards do not multiply the expression."""
+    stepped = reduce(lambda texts, step: F.transform(texts, step), clean_steps(config), F.array(text))
+    return F.get(stepped, F.lit(0))

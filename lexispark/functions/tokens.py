@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexispark.config import CleanConfig
 from lexispark.functions.clean import clean, has_text
-from lexispark.functions.patterns import SPACE, WORD_END, WORD_START
+from lexispark.functions.patterns import SPACE, WORD, WORD_END
 
 # Fused words that the word tokenizer splits, as (first part, second part).
 FUSED_WORDS = (("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na"))
@@ -19,10 +19,15 @@ def tokenize_whitespace(text: Column) -> Column:
     return F.array_remove(F.split(text, f"{SPACE}+"), "")
 
 
+def split_fused_words(text: Column) -> Column:
+    # the look-behind stands after the literal part, so it is tried at a handful of places only
+    heads = "|".join(f"{head}(?={tail}{WORD_END})" for head, tail in FUSED_WORDS)
+    return F.regexp_replace(text, f"(?i)({heads})(?<!{WORD}[a-z]{{3}})", "$1 ")
+
+
 def tokenize_words(text: Column) -> Column:
     """Word tokens of punctuation-free text: whitespace tokens with the fused words split in two."""
-    heads = "|".join(f"{head}(?={tail}{WORD_END})" for head, tail in FUSED_WORDS)
-    return tokenize_whitespace(F.regexp_replace(text, f"(?i){WORD_START}({heads})", "$1 "))
+    return tokenize_whitespace(split_fused_words(text))
 
 
 def filter_length(tokens: Column, low: int, high: int) -> Column:
@@ -38,7 +43,9 @@ def join_tokens(tokens: Column) -> Column:
 
 
 def raw_tokens(cleaned: Column, config: CleanConfig) -> Column:
-    return tokenize_words(cleaned) if config.tokenizer == "word" else tokenize_whitespace(cleaned)
+    """Tokens of a cleaned text, whose words are already parted by single spaces."""
+    spaced = split_fused_words(cleaned) if config.tokenizer == "word" else cleaned
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def kept_tokens(tokens: Column, config: CleanConfig) -> Column:

@@ -53,7 +53,8 @@ def length_stats(counts: DataFrame, value: str = "n_tokens", source: str = "sour
 
 
 def token_frequencies(df: DataFrame, by: Sequence[str], text: str = "processed") -> DataFrame:
-    tokens = df.where(F.col(text).isNotNull()).select(*by, F.explode(tokenize_whitespace(F.col(text))).alias("term"))
+    # a missing text has no tokens; filtering it first would repeat a computed text in the filter
+    tokens = df.select(*by, F.explode(tokenize_whitespace(F.col(text))).alias("term"))
     return tokens.groupBy(*by, "term").count()
 
 

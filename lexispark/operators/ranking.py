@@ -135,15 +135,16 @@ def fit_bm25(docs: DataFrame, text: str = "processed", k1: float = 1.5, b: float
 
     A negative idf (a term in more than half of the documents) is replaced by ``epsilon`` times the mean idf.
     """
-    tokens = docs.select(_tokens(text).alias("_tokens"))
-    n_docs, n_tokens = tokens.agg(F.count("*"), F.coalesce(F.sum(F.size("_tokens")), F.lit(0))).first()
+    n_docs = docs.count()
     if n_docs == 0:
         raise ValueError("Cannot fit BM25 on an empty corpus")
-    held = tokens.select(F.explode(F.array_distinct("_tokens")).alias("term"))
-    counts = settle(held.groupBy("term").agg(F.count("*").alias("df")), "term-df")
+    # one pass over the texts: document lengths add up to the corpus frequencies
+    held = docs.select(F.explode(term_bag(_tokens(text))).alias("t"))
+    counts = settle(held.groupBy("t.term").agg(F.count("*").alias("df"), F.sum("t.tf").alias("cf")), "term-df")
     raw = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
-    floor = epsilon * (counts.agg(F.avg(raw)).first()[0] or 0.0)
-    terms = counts.withColumn("idf", F.when(raw < 0, F.lit(floor)).otherwise(raw))
+    mean_idf, n_tokens = counts.agg(F.coalesce(F.avg(raw), F.lit(0.0)), F.coalesce(F.sum("cf"), F.lit(0))).first()
+    idf = F.when(raw < 0, F.lit(epsilon * mean_idf)).otherwise(raw)
+    terms = counts.select("term", "df", idf.alias("idf"))
     return BM25(terms, n_docs, n_tokens / n_docs, k1, b, text)
 
 
