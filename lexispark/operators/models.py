@@ -123,7 +123,8 @@ def fit_all(
     cached = train.select("label", features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cached.count()
-        fit = inheritable_thread_target(lambda name: _FITTERS[name](cached, features=features, **known[name]))
+        inherit = inheritable_thread_target(train.sparkSession)
+        fit = inherit(lambda name: _FITTERS[name](cached, features=features, **known[name]))
         with ThreadPoolExecutor(max_workers=len(known)) as pool:
             models = list(pool.map(fit, known))
     finally:
