@@ -111,7 +111,7 @@ def replace_terms(df: DataFrame, tokens: str, mapping: DataFrame, keys: Sequence
     its measured size allows; the tokens of a document meet again in one shuffle on the key.
     """
     changed = settle(mapping.where(F.col("new_term") != F.col("term")).select("term", "new_term"), "term-map")
-    placed = df.select(*keys, F.posexplode_outer(tokens).alias("pos", "term"))
+    placed = df.select(*keys, tokens).repartition(*keys).select(*keys, F.posexplode_outer(tokens).alias("pos", "term"))
     joined = lookup_join(placed, changed, "term", [*keys, "pos"], "left")
     token = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("new_term", "term").alias("term")))
     regrouped = joined.groupBy(*keys).agg(F.sort_array(F.collect_list(token)).alias("_placed"))

@@ -68,36 +68,37 @@ class BM25:
 
         Where fewer than ``top_k`` documents score above zero, documents with score 0 fill up in id order.
         """
-        wanted = top_k or self.n_docs
-        scored = settle(self.scores(docs, queries, doc_id, text), "scores")
-        found = (
-            queries.select("query_id")
-            .distinct()
-            .join(
-                scored.groupBy("query_id").agg(
-                    F.count("*").alias("matched"), F.count_if(F.col("score") > 0).alias("positive")
-                ),
-                "query_id",
-                "left",
-            )
-            .na.fill(0, ["matched", "positive"])
-        )
-        short = settle(found.where(F.col("positive") < wanted), "short-queries")
-        if not short.isEmpty():
-            scored = scored.unionByName(self._unmatched(docs, scored, short, wanted, doc_id))
+        columns = ["query_id", "rank", doc_id, "score"]
         order = [F.round("score", SCORE_DIGITS).desc(), F.col(doc_id)]
-        ranked = first_rows(scored, order, wanted, "rank", ["query_id"])
-        return ranked.select("query_id", "rank", doc_id, "score")
+        if not top_k:
+            return self._rank_with_zeros(docs, queries, self.n_docs, order, doc_id, text).select(*columns)
+        # top_k rows per query are kept; the scores of all other pairs are never written
+        scores = self.scores(docs, queries, doc_id, text)
+        best = settle(first_rows(scores, order, top_k, "rank", ["query_id"]).select(*columns), "ranked")
+        positive = best.where(F.col("score") > 0).groupBy("query_id").agg(F.count("*").alias("positive"))
+        full = positive.where(F.col("positive") == top_k).select("query_id")
+        short = settle(queries.join(full, "query_id", "left_anti"), "short-queries")
+        if short.isEmpty():
+            return best
+        filled = self._rank_with_zeros(docs, short, top_k, order, doc_id, text).select(*columns)
+        return best.join(short.select("query_id").distinct(), "query_id", "left_anti").select(*columns).unionByName(filled)
+
+    def _rank_with_zeros(self, docs, queries, wanted: int, order, doc_id: str, text: str) -> DataFrame:
+        scored = settle(self.scores(docs, queries, doc_id, text), "scores")
+        matched = scored.groupBy("query_id").agg(F.count("*").alias("matched"))
+        counts = queries.select("query_id").distinct().join(matched, "query_id", "left").na.fill(0, ["matched"])
+        every = scored.unionByName(self._unmatched(docs, scored, counts, wanted, doc_id))
+        return first_rows(every, order, wanted, "rank", ["query_id"])
 
-    def _unmatched(self, docs: DataFrame, scored: DataFrame, short: DataFrame, wanted: int, doc_id: str) -> DataFrame:
-        """Zero scores for the queries in ``short``: the first documents by id that share no term with the query.
+    def _unmatched(self, docs: DataFrame, scored: DataFrame, counts: DataFrame, wanted: int, doc_id: str) -> DataFrame:
+        """Zero scores: per query of ``counts`` the first documents by id that share no term with it.
 
         Among the first ``wanted + matched`` documents at least ``wanted`` are unmatched, so no query meets more
         documents than it has results.
         """
         numbered = number_rows(docs.select(doc_id), [F.col(doc_id)], "_number")
         last = F.least(F.lit(self.n_docs), F.lit(wanted) + F.col("matched"))
-        places = short.select("query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("_number"))
+        places = counts.select("query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("_number"))
         return (
             places.join(numbered, "_number")
             .join(scored.select("query_id", doc_id), ["query_id", doc_id], "left_anti")

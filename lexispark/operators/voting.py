@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 
 def majority_vote(predictions: DataFrame, keys: Sequence[str] = ("doc_id", "label")) -> DataFrame:
     """The most frequent prediction per key; a tie goes to the smallest label."""
-    votes = predictions.groupBy(*keys, "prediction").agg(F.count("*").alias("_votes"))
-    best = F.min_by("prediction", F.struct((-F.col("_votes")).alias("_minus"), F.col("prediction")))
-    return votes.groupBy(*keys).agg(best.alias("prediction"))
+    return predictions.groupBy(*keys).agg(F.mode("prediction", deterministic=True).alias("prediction"))
 
 
 def average_score(predictions: DataFrame, keys: Sequence[str] = ("doc_id", "label")) -> DataFrame:
