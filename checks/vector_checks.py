@@ -46,13 +46,13 @@ CTES = "WITH " + vocabulary_ctes(DOCS)
 
 
 @lru_cache(maxsize=4)
-def fitted(spark, folder, method=vectors.TFIDF):
+def vocab(spark, folder):
     """The vocabulary is written once per session and folder; every check transforms the whole table itself."""
-    return vectors.fit_bag(texts(spark, folder), CONFIG, method, "text")
+    return V.fit_vocabulary(texts(spark, folder), "text", CONFIG)
 
 
-def vocab(spark, folder):
-    return fitted(spark, folder).vocabulary
+def fitted(spark, folder, method=vectors.TFIDF):
+    return vectors.BagModel(vocab(spark, folder), method, "text")
 
 
 @check(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,8 +85,10 @@ def lemmatize(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame) -> Da
         F.concat(F.array("term"), F.col("_forms")),
         lambda form, at: F.struct(F.lit(1).alias("round"), at.alias("place"), form.alias("form")),
     )
+    inflected = reduce(lambda acc, rule: acc | F.col("term").endswith(rule[0]), NOUN_ENDINGS, F.col("_forms").isNotNull())
     tried = (
         terms.join(irregular, "term", "left")
+        .where(inflected)
         .select(
             "term",
             F.explode(F.when(F.col("_forms").isNotNull(), listed).otherwise(_candidates(F.col("term")))).alias("c"),
