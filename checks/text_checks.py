@@ -316,6 +316,21 @@ def explain(spark, folder):
     return steps
 
 
-@check("k11_explain_with_lemmas")
+EXPLAIN_LEMMAS_SQL = f"""
+WITH RECURSIVE {LEMMA_CTES},
+steps AS (SELECT *, {sql_keep('raw', PLAIN)} AS tokens FROM (SELECT *, {sql_word_split('text')} AS raw FROM ({applied(
+    f"SELECT doc_id, text AS original, text FROM ({SNIPPET_SQL})", clean_steps(PLAIN))}))),
+placed AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM steps),
+swapped AS (SELECT doc_id, string_agg(lemma, ' ' ORDER BY pos) AS final FROM placed JOIN lemmas USING (term) GROUP BY doc_id)
+SELECT doc_id, original, text AS after_cleaning, array_to_string(raw, ' ') AS tokens_raw,
+       coalesce(final, '') AS tokens_normalized, coalesce(final, '') AS final
+FROM steps LEFT JOIN swapped USING (doc_id)
+"""
+
+
+@check("k11_explain_with_lemmas", EXPLAIN_LEMMAS_SQL)
 def explain_lemmas(spark, folder):
-    return N.explain_steps(snippet_docs(spark, folder), "text", settings.review_config())
+    steps = N.explain_steps(snippet_docs(spark, folder), "text", settings.review_config())
+    for column in ("tokens_raw", "tokens_normalized"):
+        steps = steps.withColumn(column, F.array_join(column, " "))
+    return steps

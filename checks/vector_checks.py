@@ -211,13 +211,12 @@ def nonzero_features(spark, folder):
 
 @check(
     "v16_top_terms",
-    f"""{CTES} SELECT doc_id, rank, term, round(tf, 6) AS weight FROM (
+    f"""{CTES} SELECT doc_id, rank, term, tf::DOUBLE AS weight FROM (
         SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, term) AS rank FROM bow) WHERE rank <= 15""",
 )
 def top_terms(spark, folder):
     model = fitted(spark, folder, vectors.BOW)
-    best = vectors.top_terms(model.transform(texts(spark, folder)), model.vocabulary, 15)
-    return best.withColumn("weight", F.round("weight", 6))
+    return vectors.top_terms(model.transform(texts(spark, folder)), model.vocabulary, 15)
 
 
 # ------------------------------------------------------------------ the three methods on the processed corpus

@@ -132,6 +132,8 @@ def normalize(
     """Lemmas or stems for a token column; lemmas win if both are switched on, neither leaves the tokens alone."""
     if not (config.lemmatization or config.stemming):
         return df.select(*keys, tokens)
+    # two passes follow; reading written tokens is far cheaper than cleaning the texts again
+    df = settle(df.select(*keys, tokens), "tokens")
     terms = distinct_terms(df, tokens)
     if config.lemmatization:
         lexicon = corpus_lexicon(terms) if lexicon is None else lexicon

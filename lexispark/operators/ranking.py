@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.functions.tokens import term_bag, tokenize_whitespace
-from lexispark.operators.scale import first_rows, lookup_join, number_rows, settle
+from lexispark.operators.scale import first_rows, fits_broadcast, lookup_join, number_rows, settle
 from lexispark.operators.vectors import BagModel, stored_values
 
 # Scores are summed in no fixed order; ranking compares them at this many digits, so that exact copies tie.
@@ -35,11 +35,13 @@ class BM25:
 
     def weighted_queries(self, queries: DataFrame, text: str = "query") -> DataFrame:
         """``(query_id, term, weight)``: idf times the term's occurrences in the query; unknown terms drop out."""
-        asked = queries.select("query_id", F.explode(term_bag(_tokens(text))).alias("t")).select(
-            "query_id", "t.term", "t.tf"
-        )
-        weighted = asked.join(self.terms, "term").select("query_id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
-        return settle(weighted, "query-terms")
+        bags = queries.select("query_id", F.explode(term_bag(_tokens(text))).alias("t"))
+        asked = settle(bags.select("query_id", "t.term", "t.tf"), "asked-terms")
+        if fits_broadcast(asked):
+            known = self.terms.join(F.broadcast(asked), "term")
+        else:
+            known = lookup_join(asked, self.terms, "term", ["query_id"])
+        return settle(known.select("query_id", "term", (F.col("tf") * F.col("idf")).alias("weight")), "query-terms")
 
     def contributions(self, docs: DataFrame, query_terms: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         """``(query_id, doc_id, term, score)`` for every query term that a document holds."""
@@ -97,7 +99,7 @@ class BM25:
         documents than it has results.
         """
         numbered = number_rows(docs.select(doc_id), [F.col(doc_id)], "_number")
-        last = F.least(F.lit(self.n_docs), F.lit(wanted) + F.col("matched"))
+        last = F.least(F.lit(self.n_docs).cast("bigint"), F.lit(wanted) + F.col("matched"))
         places = counts.select("query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("_number"))
         return (
             places.join(numbered, "_number")
@@ -107,7 +109,7 @@ class BM25:
 
     def summary(self, docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str = "query") -> DataFrame:
         """Mean and maximum over the whole query x corpus block, with the zero pairs counted, not materialized."""
-        pairs = F.lit(self.n_docs) * F.lit(queries.count())
+        pairs = F.lit(self.n_docs * queries.count()).cast("bigint")
         scored = self.scores(docs, queries, doc_id, text).agg(
             F.count("*").alias("matched"),
             F.count_if(F.col("score") != 0).alias("nonzero"),

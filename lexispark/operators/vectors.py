@@ -125,7 +125,7 @@ def top_terms(
     )
     best = vectors.select(*keys, F.posexplode(F.slice(ranked, 1, n)).alias("place", "cell"))
     named = lookup_join(
-        best.select(*keys, (F.col("place") + 1).alias("rank"), "cell.idx", (-F.col("cell.minus")).alias("weight")),
+        best.select(*keys, (F.col("place") + 1).cast("bigint").alias("rank"), "cell.idx", (-F.col("cell.minus")).alias("weight")),
         vocabulary.feature_names(),
         "idx",
         keys,

@@ -15,7 +15,7 @@ from lexispark.operators.prep import combine, fill_text, head_per_source, strati
 from lexispark.operators.scale import settle
 from lexispark.operators.vectors import BagModel, fit_bag
 from lexispark.sources.model_store import save_ensemble
-from lexispark.sources.run_log import log_run
+from lexispark.sources.run_log import append_entries, new_run_id, run_entries
 
 KEYS = ("source", "doc_id")
 
@@ -92,11 +92,13 @@ def run_training(
         # a handful of rows: one per model and metric
         values = metrics_summary(metrics).collect()
         report = classification_report(predictions).collect()
-        run_id = log_run(spark, run_path, experiment, "full_pipeline", params=metadata.first().asDict())
+        run_id = new_run_id()
+        entries = run_entries(experiment, "full_pipeline", params=metadata.first().asDict(), run_id=run_id)
         for item in models:
             found = {v["metric"]: v["value"] for v in values if v["model"] == item.name}
             artifacts = {"classification_report.txt": _report_text(report, item.name)}
-            log_run(spark, run_path, experiment, item.name, config.classifiers[item.name], found, artifacts, run_id)
+            entries += run_entries(experiment, item.name, config.classifiers[item.name], found, artifacts, run_id)
         voted = {f"ensemble_{v['metric']}": v["value"] for v in values if v["model"] == "ensemble"}
-        log_run(spark, run_path, experiment, "ensemble", {"num_models": len(models)}, voted, parent_id=run_id)
+        entries += run_entries(experiment, "ensemble", {"num_models": len(models)}, voted, parent_id=run_id)
+        append_entries(spark, run_path, entries)
     return TrainingResult(bag, models, predictions, metrics, metadata, run_id)
