@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.base import LABELLED_SQL, PREDICTIONS_SQL, check, labelled, predictions, table
 from checks.table_checks import split_sql
-from checks.vector_checks import CONFIG, CTES, fitted, texts, vocabulary_ctes
+from checks.vector_checks import CTES, fitted, texts, vocabulary_ctes
 from lexispark.config import TrainConfig
 from lexispark.operators import metrics, models, vectors, voting
 from lexispark.operators.scale import settle, work_dir

@@ -6,19 +6,17 @@ from pyspark.sql import functions as F
 
 from checks.base import (
     LABELLED_SQL,
-    PREDICTIONS_SQL,
     PROCESSED_SQL,
     SNIPPET_SQL,
-    applied,
     check,
     labelled,
     predictions,
+    processed,
     processed_docs,
     snippet_docs,
     sql_processed,
     table,
 )
-from lexispark.functions import clean as C
 from lexispark.operators import metrics, prep, profile
 from lexispark.operators.scale import work_dir
 from lexispark.sources import run_log, text_tables
@@ -70,8 +68,6 @@ SNIPPET_PROCESSED = sql_processed(f"SELECT doc_id, source, text FROM ({SNIPPET_S
 
 
 def snippet_rows(spark, folder):
-    from checks.base import processed
-
     return processed(snippet_docs(spark, folder), "doc_id", "source").withColumn("label", (F.col("doc_id") % 2).cast("int"))
 
 

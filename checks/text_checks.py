@@ -4,10 +4,8 @@ from pyspark.sql import functions as F
 
 from checks.base import (
     NONSPACE,
-    NONWORD,
     PLAIN,
     SNIPPET_SQL,
-    SPACE,
     WORD,
     applied,
     check,
@@ -19,7 +17,6 @@ from checks.base import (
     sql_filtered,
     sql_keep,
     sql_numbers,
-    sql_processed,
     sql_split,
     sql_word_split,
     sub,

@@ -204,11 +204,12 @@ def _shaped(word: Column, word_shape: Column) -> Column:
 def _apply(step: Callable[[Column, Column], Column], state: Column) -> Column:
     """One step on a one-element array of word and shape. The lambdas bind both once, so that chaining the steps
     keeps the expression small wherever the optimizer moves it. Only a changed word gets a new shape."""
-    stepped = F.transform(
-        state, lambda it: F.struct(it["word"].alias("old"), it["shape"].alias("shape"), step(it["word"], it["shape"]).alias("word"))
-    )
+
+    def stepped(it: Column) -> Column:
+        return F.struct(it["word"].alias("old"), it["shape"].alias("shape"), step(it["word"], it["shape"]).alias("word"))
+
     return F.transform(
-        stepped,
+        F.transform(state, stepped),
         lambda it: _shaped(it["word"], F.when(it["word"] == it["old"], it["shape"]).otherwise(shape(it["word"]))),
     )
 

@@ -42,8 +42,15 @@ def class_scores(predictions: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support per model and class; 0 where a ratio is undefined."""
     counts = predictions.groupBy("model", "label", "prediction").agg(F.count("*").alias("n"))
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    as_true = F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted"), hit.cast("bigint").alias("hits"))
-    as_predicted = F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("hits"))
+    none = F.lit(0).cast("bigint")
+
+    def side(name: str, support: Column, predicted: Column, hits: Column) -> Column:
+        return F.struct(
+            F.col(name).alias("class"), support.alias("support"), predicted.alias("predicted"), hits.alias("hits")
+        )
+
+    as_true = side("label", F.col("n"), none, hit.cast("bigint"))
+    as_predicted = side("prediction", none, F.col("n"), none)
     sides = counts.select("model", F.explode(F.array(as_true, as_predicted)).alias("side")).select("model", "side.*")
     totals = sides.groupBy("model", "class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hits").alias("hits")

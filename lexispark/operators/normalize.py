@@ -60,14 +60,17 @@ def _candidates(term: Column) -> Column:
     Every ending shortens a word or leaves one that no ending fits, so length(term) rounds reach the end.
     """
 
+    def candidate(number: Column, place: Column, form: Column) -> Column:
+        return F.struct(number.alias("round"), place.alias("place"), form.alias("form"))
+
     def next_round(state: Column, number: Column) -> Column:
         forms = F.flatten(F.transform(state["open"], _detach))
-        found = F.transform(forms, lambda form, at: F.struct(number.alias("round"), (at + 1).alias("place"), form.alias("form")))
+        found = F.transform(forms, lambda form, at: candidate(number, at + 1, form))
         return F.struct(forms.alias("open"), F.concat(state["found"], found).alias("found"))
 
     start = F.struct(
         F.array(term).alias("open"),
-        F.array(F.struct(F.lit(1).alias("round"), F.lit(0).alias("place"), term.alias("form"))).alias("found"),
+        F.array(candidate(F.lit(1), F.lit(0), term)).alias("found"),
     )
     rounds = F.sequence(F.lit(1), F.greatest(F.length(term), F.lit(1)))
     return F.aggregate(rounds, start, next_round, lambda state: state["found"])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.operators.scale import first_rows, number_rows, settle
+from lexispark.operators.scale import first_rows, fits_broadcast, lookup_join, number_rows, settle
 
 # The shuffle key is a hash, so its leading hex digits cut any table into even buckets.
 _BUCKET_DIGITS = 4
@@ -17,6 +17,11 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.drop(subset=list(columns))
 
 
+def identify(df: DataFrame, column: str = "doc_id") -> DataFrame:
+    """Give the rows of a table without a key unique ids. The result is written, so that they stay the same."""
+    return settle(df.withColumn(column, F.monotonically_increasing_id()), "identified")
+
+
 def label_threshold(df: DataFrame, column: str, threshold: float, label: str = "label") -> DataFrame:
     """1 where the value reaches the threshold, else 0; a missing value is 0."""
     return df.withColumn(label, F.coalesce(F.col(column) >= threshold, F.lit(False)).cast("int"))
@@ -84,14 +89,14 @@ def _first_by_hash(df: DataFrame, quotas: DataFrame, group: str, keys: Sequence[
     inside = Window.partitionBy(group, "_bucket").orderBy("_key", "_id")
     cut = settle(
         keyed.withColumn("_bucket", bucket)
-        .join(last, [group, "_bucket"])
+        .join(F.broadcast(last) if fits_broadcast(last) else last, [group, "_bucket"])
         .withColumn("_place", F.row_number().over(inside))
         .where(F.col("_place") == F.col("_need"))
         .select(group, F.struct("_key", "_id").alias("_cut")),
         "cut",
     )
     chosen = F.coalesce(F.struct("_key", "_id") <= F.col("_cut"), F.lit(False))
-    return keyed.join(cut, group, "left").withColumn("_chosen", chosen).drop("_key", "_id", "_cut")
+    return lookup_join(keyed, cut, group, keys, "left").withColumn("_chosen", chosen).drop("_key", "_id", "_cut")
 
 
 def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -97,7 +97,11 @@ def running_totals(
     starts = settle(
         blocks.groupBy(*group, "_block")
         .agg(*[F.sum(m).alias(f"_{out}") for out, m in totals.items()])
-        .select(*group, "_block", *[F.coalesce(F.sum(f"_{out}").over(earlier), F.lit(0)).alias(f"_{out}") for out in totals]),
+        .select(
+            *group,
+            "_block",
+            *[F.coalesce(F.sum(f"_{out}").over(earlier), F.lit(0)).alias(f"_{out}") for out in totals],
+        ),
         f"{name}-starts",
     )
     joined = local.join(F.broadcast(starts) if fits_broadcast(starts) else starts, [*group, "_block"])

@@ -120,9 +120,10 @@ def top_terms(
 ) -> DataFrame:
     """The ``n`` heaviest terms of each document, ties by term. Ranked inside the row, then joined to their names."""
     # the feature index follows the sorted terms, so index order is term order
-    ranked = F.sort_array(
-        F.transform(stored_values(column), lambda cell: F.struct((-cell["value"]).alias("minus"), cell["idx"].alias("idx")))
+    heaviest_first = F.transform(
+        stored_values(column), lambda cell: F.struct((-cell["value"]).alias("minus"), cell["idx"].alias("idx"))
     )
+    ranked = F.sort_array(heaviest_first)
     best = vectors.select(*keys, F.posexplode(F.slice(ranked, 1, n)).alias("place", "cell"))
     named = lookup_join(
         best.select(*keys, (F.col("place") + 1).cast("bigint").alias("rank"), "cell.idx", (-F.col("cell.minus")).alias("weight")),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexispark.config import TrainConfig, VectorConfig
-from lexispark.operators import metrics, models, vectors, voting
+from lexispark.operators import metrics, models, prep, voting
 from lexispark.plans import training
 from lexispark.sources import model_store, run_log, text_tables
 
@@ -200,6 +200,12 @@ def test_csv_round_trips(spark, tmp_path, rows):
     assert tuple(tweet) == (4, 12345678901, "Mon Apr 06", "NO_QUERY", "me", "café & co")
 
 
+def test_ids_are_unique_and_stay(spark, rows):
+    named = prep.identify(spark.range(500).repartition(5).select(F.col("id").alias("value")))
+    assert named.select("doc_id").distinct().count() == 500
+    assert rows(named) == rows(named)
+
+
 def test_load_sources(spark, rows):
     one = spark.createDataFrame([(2, "b", 1), (1, None, 0), (3, "c", 1)], "doc_id int, processed string, label int")
     both = training.load_sources({"reviews": one, "tweets": one}, 2)
