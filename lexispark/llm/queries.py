@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import substring
+from lexispark.llm import decontaminate, jaccard, language, neighbours, packing, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,3 +52,66 @@ FROM words LEFT JOIN removed USING (doc_id)
 @register("op2_substring_dedup", SUBSTRING_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return substring.remove_repeats(table(spark, folder, "documents"), window=50, with_text=False)
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS s FROM words
+), shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+  GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)
+), both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least AS component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
+@register("op3_ngram_jaccard_join", JACCARD_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.shingle_classes(table(spark, folder, "documents"), k=4, percent=85)
+
+
+NEIGHBOURS_SQL = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id))::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@register("op1_block_matrix_neighbours", NEIGHBOURS_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@register("op7_best_fit_packing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), packing.word_count(F.col("text")))
+
+
+@register("op8_benchmark_decontamination")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@register("op9_language_id")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
