@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import decontaminate, jaccard, language, neighbours, packing, substring
+from lexispark.llm import chat, decontaminate, jaccard, language, neighbours, packing, pii, secrets, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,3 +115,26 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @register("op9_language_id")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
+
+
+@register("op4_pii", pii.SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, folder, "documents")))
+
+
+@register("op10_secret_scan", secrets.SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.find(table(spark, folder, "documents")))
+
+
+@register("op5_chat_formatting", chat.SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    told = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digest(told.unionByName(extra))
+
+
+@register("op6_url_filter", urls.SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"))
