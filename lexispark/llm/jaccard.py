@@ -5,10 +5,10 @@ common ones has a prefix of n - o + m shingles; two linked documents share at le
 of their two m. Each document picks its m by the estimated cost of its candidates (see ``_prefix``).
 
 1. Documents with equal shingle sets form one class (map-side minima); only a class's smallest document goes on.
-2. A count-min sketch gives the order and the costs. A second one over the prefixes removes shingles that no other
-   prefix holds, before anything is shuffled.
-3. Pivot rounds: the members of a shingle's list meet one pivot each, not each other. Pairs with enough common prefix
-   shingles are verified on the whole sets, and the lists are collapsed by the components so far.
+2. Count-min sketches give the order and the costs. Documents without a prefix shingle that occurs elsewhere are done; a
+   sketch over the prefixes removes shingles that no other prefix holds, before anything is shuffled.
+3. Pivot rounds: the members of a shingle's list meet one pivot, not each other, and each component verifies its pair
+   with most common shingles on the whole sets. This joins most copies without looking at all their pairs.
 4. Then every pair from different components that still shares enough prefix shingles is verified: in each list the
    members outside its largest component meet all others. Pairs inside a component can't change the result.
 """
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from lexispark.llm.graph import components
 from lexispark.llm.sketch import bits_for, estimated, merged, reached
 from lexispark.llm.words import LANES, Words, grams, mix, signed, slices
-from lexispark.operators.scale import settle
+from lexispark.operators.scale import fits_broadcast, settle
 
 MOST_MATCHES = 8
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 ORDER_BITS = 20  # cells of the sketch that orders the shingles, per row
 CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 28
 
@@ -99,9 +99,9 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     mapped = settle(linkable.join(classes, ["f1", "f2", "n"]).select("doc_id", "rep").distinct(), "classes")
     reps = mapped.where("doc_id = rep").select("doc_id")
 
-    # order of the shingles
+    # which shingles occur in several texts, and about in how many
     total = members.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.lit(0))).first()
-    noise = float(total[0]) / (1 << ORDER_BITS)
+    bits = bits_for(float(total[0]), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
 
     def all_tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for words in slices(batch.column("text"), lower=True, lanes=1):
@@ -109,76 +109,79 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             if found:
                 yield np.concatenate(found)
 
-    counts = spark.sparkContext.broadcast(merged(docs, all_tokens, ORDER_BITS))
+    several = spark.sparkContext.broadcast(merged(docs, all_tokens, bits, at_least=2))
+
+    def common_tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for tokens in all_tokens(batch):
+            yield tokens[reached(several.value, tokens, bits)]
+
+    table = merged(docs, common_tokens, ORDER_BITS)
+    noise = float(table[0].sum(dtype=np.float64)) / (1 << ORDER_BITS)
+    counts = spark.sparkContext.broadcast(table)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            out: list[tuple] = []
             for words in slices(batch.column("text"), lower=True, lanes=1):
+                out: list[tuple] = []
                 for i, found in _sets(words, k):
                     size = len(found)
                     common = -(-percent * size // 100)
-                    est = estimated(counts.value, found, ORDER_BITS, noise)
+                    other = reached(several.value, found, bits)
+                    if other.sum() < common:
+                        continue  # too few shingles occur elsewhere for any link
+                    est = np.where(other, np.maximum(2.0, estimated(counts.value, found, ORDER_BITS, noise)), 1.0)
                     order = np.lexsort((found, np.floor(np.log2(est) * 2)))
                     m, length = _prefix(order, est, size, common)
-                    out.append((ids[i].as_py(), size, m, found[order[:length]].tobytes()))
-            if out:
-                doc_id, size, m, token = zip(*out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_id, pa.int64()), pa.array(size, pa.int64()), pa.array(m, pa.int32()), pa.array(token, pa.binary())],
-                    ["doc_id", "size", "m", "tokens"],
-                )
-
-    found = docs.where("doc_id is not null").mapInArrow(prefixes, "doc_id bigint, size bigint, m int, tokens binary")
-    heads = settle(found.join(reps, "doc_id", "left_semi"), "prefixes")
+                    head = order[:length]
+                    if other[head].any():
+                        out.append((i, size, m, found[head[other[head]]].tobytes(), found))
+                if out:
+                    at, size, m, head, whole = zip(*out)
+                    offsets = np.cumsum([0, *map(len, whole)])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids.take(pa.array(at)), pa.array(size, pa.int64()), pa.array(m, pa.int32()), pa.array(head, pa.binary()),
+                            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), signed(np.concatenate(whole))),
+                        ],
+                        ["doc_id", "size", "m", "head", "tokens"],
+                    )
+
+    found = docs.where("doc_id is not null").mapInArrow(prefixes, "doc_id bigint, size bigint, m int, head binary, tokens array<bigint>")
+    sets = settle(found, "sets")
+    heads = settle(sets.select("doc_id", "size", "m", "head").join(reps, "doc_id", "left_semi"), "heads")
 
     # shingles of at least two prefixes
-    bits = bits_for(float(total[1]), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
+    head_bits = bits_for(float(total[1]), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
     shared = spark.sparkContext.broadcast(
-        merged(heads.select("tokens"), lambda batch: (np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("tokens") if x.is_valid), bits, at_least=2)
+        merged(heads.select("head"), lambda batch: (np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("head")), head_bits, at_least=2)
     )
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            body = batch.column("tokens")
-            lengths = np.array([len(x.as_buffer()) // 8 for x in body], np.int64)
-            token = np.frombuffer(b"".join(x.as_py() for x in body), np.uint64)
-            at = np.repeat(np.arange(batch.num_rows), lengths)
-            keep = reached(shared.value, token, bits)
+            body = [x.as_py() for x in batch.column("head")]
+            token = np.frombuffer(b"".join(body), np.uint64)
+            at = np.repeat(np.arange(batch.num_rows), [len(x) // 8 for x in body])
+            keep = reached(shared.value, token, head_bits)
             at, token = pa.array(at[keep]), token[keep]
             yield pa.RecordBatch.from_arrays(
                 [signed(token), *(batch.column(c).take(at) for c in ("doc_id", "size", "m"))], ["token", "rep", "size", "m"]
             )
 
-    lists = settle(heads.select("doc_id", "size", "m", "tokens").mapInArrow(postings, "token bigint, rep bigint, size bigint, m int"), "lists")
-    holders = lists.select("rep").distinct()
+    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, size bigint, m int"), "lists")
 
-    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words in slices(batch.column("text"), lower=True, lanes=1):
-                out = list(_sets(words, k))
-                if out:
-                    at = pa.array([i for i, _ in out])
-                    offsets = np.cumsum([0, *(len(s) for _, s in out)])
-                    tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), signed(np.concatenate([s for _, s in out])))
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), tokens], ["rep", "tokens"])
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` whose whole sets are similar enough. Only sets of the pairs are moved."""
+        pairs = settle(pairs, "pairs")
+        small = fits_broadcast(pairs)
 
-    held = docs.join(holders.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-    sets = settle(held.mapInArrow(whole_sets, "rep bigint, tokens array<bigint>"), "sets")
+        def side(node: str, name: str) -> DataFrame:
+            return sets.select(F.col("doc_id").alias(node), F.col("tokens").alias(name)).join(F.broadcast(pairs) if small else pairs, node)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` whose whole sets are similar enough."""
-        left = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("left"))
-        right = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("right"))
         common = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - common
-        return pairs.join(left, "a").join(right, "b").where(100 * common >= percent * union).select("a", "b").distinct()
-
-    def counted(met: DataFrame) -> DataFrame:
-        """Pairs that share enough prefix shingles, of rows ``(a, b, m, low, high)``, one per common shingle."""
-        sized = met.where(100 * F.col("low") >= percent * F.col("high"))
-        return sized.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("m").alias("m")).where("shared >= m").select("a", "b")
+        both = side("a", "left").join(side("b", "right"), ["a", "b"])
+        return both.where(100 * common >= percent * union).select("a", "b").distinct()
 
     def met(x: str, y: str) -> list:
         both = lambda f, c: f(f"{x}.{c}", f"{y}.{c}")
@@ -187,18 +190,23 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             both(F.least, "size").alias("low"), both(F.greatest, "size").alias("high"),
         ]
 
+    def counted(met: DataFrame, *keep: str) -> DataFrame:
+        """Number of common prefix shingles of the pairs of fitting size, of rows with one common shingle each."""
+        sized = met.where(100 * F.col("low") >= percent * F.col("high"))
+        return sized.groupBy("a", "b", *keep).agg(F.count("*").alias("shared"), F.max("m").alias("m"))
+
     # documents of several texts are linked through their doc_id; classes by their smallest document
     links = mapped.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    several = members.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    own = links.join(several.withColumnRenamed("doc_id", "b"), "b", "left_semi").select("a", "b")
-    found_links, placed = own, None
+    repeated = members.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("b"))
+    placed = components(links.join(repeated, "b", "left_semi").select("a", "b"))
     for round_ in range(PIVOT_ROUNDS):
         now = _placed(lists, placed)
         pivot = now.groupBy("token").agg(F.min(F.struct(F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "m", "comp")).alias("p"))
         pivot = pivot.select("token", "p.rep", "p.size", "p.m", "p.comp")
-        pairs = now.alias("x").join(pivot.alias("y"), "token").where("x.comp <> y.comp").select(*met("x", "y"))
-        found_links = settle(found_links.unionByName(verified(counted(pairs))), "links")
-        placed = components(found_links)
+        pairs = now.alias("x").join(pivot.alias("y"), "token").where("x.comp <> y.comp").select(*met("x", "y"), F.col("x.comp").alias("comp"))
+        # one pair for each component: the one with most common shingles
+        best = counted(pairs, "comp").groupBy("comp").agg(F.max(F.struct("shared", "a", "b")).alias("p"))
+        placed = _joined(placed, verified(best.select("p.a", "p.b").distinct()))
     now = _placed(lists, placed)
     # lists of one component have nothing left to compare
     split = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
@@ -207,16 +215,19 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     tagged = now.join(largest.select("token", F.col("top.comp").alias("top")), "token").withColumn("minor", F.expr("comp <> top"))
     one, other = tagged.where("minor").alias("x"), tagged.alias("y")
     differ = F.expr("x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
-    pairs = one.join(other, "token").where(differ).select(*met("x", "y"))
-    placed = components(settle(found_links.unionByName(verified(counted(pairs))), "links"))
+    pairs = counted(one.join(other, "token").where(differ).select(*met("x", "y"))).where("shared >= m")
+    placed = _joined(placed, verified(pairs.select("a", "b")))
 
     of_class = placed.select(F.col("node").alias("rep"), "component")
     result = members.join(mapped.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left").join(of_class, "rep", "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
 
 
-def _placed(lists: DataFrame, placed: DataFrame | None) -> DataFrame:
+def _joined(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    return components(placed.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(links))
+
+
+def _placed(lists: DataFrame, placed: DataFrame) -> DataFrame:
     """List entries with the component of their document so far."""
-    if placed is None:
-        return lists.withColumn("comp", F.col("rep"))
     return lists.join(placed.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
