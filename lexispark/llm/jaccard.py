@@ -118,6 +118,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     table = merged(docs, common_tokens, ORDER_BITS)
     noise = float(table[0].sum(dtype=np.float64)) / (1 << ORDER_BITS)
     counts = spark.sparkContext.broadcast(table)
+    del table
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,6 +150,8 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     found = docs.where("doc_id is not null").mapInArrow(prefixes, "doc_id bigint, size bigint, m int, head binary, tokens array<bigint>")
     sets = settle(found, "sets")
+    several.destroy()
+    counts.destroy()
     heads = settle(sets.select("doc_id", "size", "m", "head").join(reps, "doc_id", "left_semi"), "heads")
 
     # shingles of at least two prefixes
@@ -169,6 +172,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             )
 
     lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, size bigint, m int"), "lists")
+    shared.destroy()
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` whose whole sets are similar enough. Only sets of the pairs are moved."""

@@ -1,7 +1,7 @@
 """Count-min sketches of hashes over a whole table: one sparse sketch per partition, merged block by block.
 
 The hashes of a partition fall into ``2**bits`` cells of ``DEPTH`` rows. What leaves a task is one compressed message per
-row and block of cells. The merge deals the blocks to tasks, which add up the messages as they stream in; nothing but
+row and block of cells for every couple of million hashes. The merge deals the blocks to tasks, which add up the messages as they stream in; nothing but
 the merged sketch, whose size is fixed by ``bits``, reaches the driver.
 """
 
@@ -18,6 +18,7 @@ from lexispark.llm.words import mix
 
 DEPTH = 2
 BLOCK_BITS = 16
+HELD = 1 << 21  # hashes that a task gathers before it sends messages
 _ROWS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 _MESSAGE = "block int, data binary"
 
@@ -57,12 +58,22 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
+        held = 0
         for batch in batches:
             for part in hashes(batch):
                 for row in range(DEPTH):
                     parts[row].append(cells(part, row, bits).astype(np.uint32))
-        for block, data in _messages(parts, bits):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
+                held += len(part)
+                if held > HELD:
+                    yield from sent(parts)
+                    parts, held = [[] for _ in range(DEPTH)], 0
+        yield from sent(parts)
+
+    def sent(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        messages = list(_messages(parts, bits))
+        if messages:
+            block, data = zip(*messages)
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -81,7 +92,7 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
 
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.mapInArrow(partition, _MESSAGE).repartition(tasks, "block").mapInArrow(add, _MESSAGE).toLocalIterator()
+    rows = df.mapInArrow(partition, _MESSAGE).repartition(tasks, "block").mapInArrow(add, _MESSAGE).collect()  # bounded by the size of the sketch
     size = (1 << bits) * 4 if at_least is None else max(1, (1 << bits) // 8)
     whole = np.zeros((DEPTH, size), np.uint8)
     blocks = 1 << max(0, bits - BLOCK_BITS)

@@ -164,6 +164,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text:
 
     runs = open_docs.mapInArrow(run_keys, "k1 bigint, k2 bigint, doc_id bigint, row bigint, first int, n int")
     judged = settle(_first_holders(runs).select("row", "first", "n", "earlier"), "runs")
+    sketch.destroy()
     left = judged.where("not earlier").groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("left"))
 
     def window_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
