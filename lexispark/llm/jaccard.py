@@ -30,7 +30,7 @@ from lexispark.operators.scale import fits_broadcast, settle
 MOST_MATCHES = 8
 PIVOT_ROUNDS = 3
 ORDER_BITS = 20  # cells of the sketch that orders the shingles, per row
-CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 28
+CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 27
 
 
 def _sets(words: Words, k: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -82,10 +82,11 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
                 body = zlib.decompress(data)
                 n = len(body) // 6
                 cell = np.cumsum(np.frombuffer(body, np.uint16, n), dtype=np.uint16)
-                total = sums.setdefault(block, np.zeros(width, np.uint32))
-                old = total[cell]
-                new = old + np.frombuffer(body, np.uint32, n, 2 * n)
-                total[cell] = np.where(new < old, np.uint32(0xFFFFFFFF), new)  # a full counter stays full
+                if block not in sums:
+                    sums[block] = np.zeros(width, np.uint32 if at_least is None else np.uint8)
+                total = sums[block]
+                new = total[cell].astype(np.uint64) + np.frombuffer(body, np.uint32, n, 2 * n)
+                total[cell] = np.minimum(new, np.iinfo(total.dtype).max)  # a full counter stays full
         for block, total in sums.items():
             data = total.tobytes() if at_least is None else np.packbits(total >= at_least, bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(data, 1)], pa.binary())], ["block", "data"])

@@ -29,9 +29,9 @@ from lexispark.llm.words import LANES, Words, grams, mix, signed, slices, slidin
 from lexispark.operators.scale import settle
 
 # Sketch size: cells for each expected anchor, and the bounds of the cells per row as powers of two. Beyond the upper
-# bound (2 x 32 MiB) the sketch lets more windows through to the exact passes; the result is the same.
+# bound (2 x 16 MiB) the sketch lets more windows through to the exact passes; the result is the same.
 CELLS_PER_ANCHOR = 8
-LEAST_BITS, MOST_BITS = 16, 28
+LEAST_BITS, MOST_BITS = 16, 27
 
 
 def _anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
