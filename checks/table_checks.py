@@ -80,7 +80,7 @@ def read_processed(spark, folder):
 
 @check(
     "s04_write_processed",
-    f"SELECT source, nullif(processed, '') AS processed, (doc_id % 2)::INT AS label FROM ({SNIPPET_PROCESSED})",
+    f"SELECT doc_id, source, nullif(processed, '') AS processed, (doc_id % 2)::INT AS label FROM ({SNIPPET_PROCESSED})",
 )
 def write_processed(spark, folder):
     path = fresh(spark, "processed")
@@ -323,3 +323,16 @@ def label_counts(spark, folder):
 )
 def label_shares(spark, folder):
     return profile.label_shares(label_rows(spark, folder)).withColumn("share", F.round("share", 6))
+
+
+# null is a group of its own, and the limit lies beyond what a task prunes by itself
+EVENT_TYPES_SQL = "SELECT event_id, CASE WHEN event_id % 7 > 0 THEN event_type END AS event_type FROM events"
+
+
+@check(
+    "p06_head_per_event_type",
+    f"SELECT * FROM ({EVENT_TYPES_SQL}) QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id) <= 1200",
+)
+def head_per_event_type(spark, folder):
+    events = table(spark, folder, "events").select("event_id", F.when(F.col("event_id") % 7 > 0, F.col("event_type")).alias("event_type"))
+    return prep.head_per_source(events, 1200, order="event_id", source="event_type")

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from lexispark.operators.scale import lookup_join, settle
+
 logger = logging.getLogger(__name__)
 
 # Spark ML's limit; stands for an unlimited depth
@@ -40,9 +42,14 @@ def _for_linear_solver(train: DataFrame) -> tuple[DataFrame, int]:
 
 
 def fit_logistic(
-    train: DataFrame, C: float = 1.0, max_iter: int = 1000, label: str = "label", features: str = "features"
+    train: DataFrame,
+    C: float = 1.0,
+    max_iter: int = 1000,
+    label: str = "label",
+    features: str = "features",
+    random_state: int | None = None,
 ) -> Model:
-    """L2 logistic regression. With the penalty 1 / (C * n) the objective is that of the C formulation over n rows."""
+    """L2 logistic regression; the solver draws nothing, so ``random_state`` has no effect. With the penalty 1 / (C * n) the objective is that of the C formulation over n rows."""
     rows, n = _for_linear_solver(train)
     return LogisticRegression(
         labelCol=label,
@@ -56,9 +63,14 @@ def fit_logistic(
 
 
 def fit_svm(
-    train: DataFrame, C: float = 1.0, max_iter: int = 1000, label: str = "label", features: str = "features"
+    train: DataFrame,
+    C: float = 1.0,
+    max_iter: int = 1000,
+    label: str = "label",
+    features: str = "features",
+    random_state: int | None = None,
 ) -> Model:
-    """Linear support vector machine with hinge loss and L2 penalty."""
+    """Linear support vector machine with hinge loss and L2 penalty; ``random_state`` has no effect."""
     rows, n = _for_linear_solver(train)
     return LinearSVC(
         labelCol=label,
@@ -79,16 +91,20 @@ def fit_forest(
     seed: int = 42,
     label: str = "label",
     features: str = "features",
+    random_state: int | None = None,
 ) -> Model:
+    """Random forest. ``max_depth`` None means 30, the deepest that is possible; more is an error."""
+    if max_depth is not None and max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth is at most {MAX_DEPTH}: {max_depth}")
     return RandomForestClassifier(
         labelCol=label,
         featuresCol=features,
         numTrees=n_estimators,
-        maxDepth=MAX_DEPTH if max_depth is None else min(max_depth, MAX_DEPTH),
+        maxDepth=MAX_DEPTH if max_depth is None else max_depth,
         minInstancesPerNode=math.ceil(min_samples_split / 2),
         featureSubsetStrategy="sqrt",
         maxMemoryInMB=1024,
-        seed=seed,
+        seed=seed if random_state is None else random_state,
     ).fit(train)
 
 
@@ -176,7 +192,8 @@ def predict_all(fitted: Sequence[FittedModel], df: DataFrame, keys: Sequence[str
 def linear_scores(cells: DataFrame, weights: DataFrame, intercept: float, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """A linear model as a query: ``cells(keys, idx, value)`` joined to ``weights(idx, weight)``; label 1 above 0."""
     margin = F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)) + F.lit(intercept)
-    scored = cells.join(weights, "idx", "left").groupBy(*keys).agg(margin.alias("margin"))
+    met = lookup_join(cells, settle(weights, "weights"), "idx", keys, "left")
+    scored = met.groupBy(*keys).agg(margin.alias("margin"))
     return scored.withColumn("prediction", (F.col("margin") > 0).cast("int")).withColumn("score", sigmoid(F.col("margin")))
 
 

@@ -113,14 +113,15 @@ def stem_terms(terms: DataFrame) -> DataFrame:
 def replace_terms(df: DataFrame, tokens: str, mapping: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace tokens by a ``(term, new_term)`` mapping, keeping their order; unmapped tokens stay.
 
-    Returns one row per key with the token array. Only the mapping's changed terms are joined, as a broadcast when
-    its measured size allows; the tokens of a document meet again in one shuffle on the key.
+    Returns one row per row of ``df`` with the token array, also where keys repeat. Only the mapping's changed terms are joined, as a broadcast when
+    its measured size allows; the tokens of a row meet again in one shuffle on its number.
     """
     changed = settle(mapping.where(F.col("new_term") != F.col("term")).select("term", "new_term"), "term-map")
-    placed = df.select(*keys, tokens).repartition(*keys).select(*keys, F.posexplode_outer(tokens).alias("pos", "term"))
-    joined = lookup_join(placed, changed, "term", [*keys, "pos"], "left")
+    rows = df.select(*keys, tokens).withColumn("_row", F.monotonically_increasing_id())
+    placed = rows.repartition("_row").select(*keys, "_row", F.posexplode_outer(tokens).alias("pos", "term"))
+    joined = lookup_join(placed, changed, "term", ["_row", "pos"], "left")
     token = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("new_term", "term").alias("term")))
-    regrouped = joined.groupBy(*keys).agg(F.sort_array(F.collect_list(token)).alias("_placed"))
+    regrouped = joined.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(token)).alias("_placed"))
     return regrouped.select(*keys, F.col("_placed.term").alias(tokens))
 
 
@@ -158,7 +159,7 @@ def process(
 ) -> DataFrame:
     """Raw text to the space-joined string of normalized tokens: ``keys`` and ``processed``.
 
-    The keys must identify a row; columns to carry along (labels, sources) may be listed with them.
+    Columns to carry along (labels, sources) may be listed with the keys. Every row gives one row, also where keys repeat.
     """
     tokens = df.select(*keys, filtered_tokens(F.col(text), config).alias("_tokens"))
     normalized = normalize(tokens, "_tokens", config, keys, lexicon, exceptions)
@@ -184,8 +185,9 @@ def explain_steps(
     steps = steps.withColumn("tokens_raw", raw_tokens(F.col("after_cleaning"), config))
     steps = steps.withColumn("tokens_normalized", kept_tokens(F.col("tokens_raw"), config))
     if config.lemmatization or config.stemming:
-        # only keys and tokens pass through the set job; the wide columns come back by one join on the key
-        narrow = steps.select(*keys, "tokens_normalized")
-        normalized = normalize(narrow, "tokens_normalized", config, keys, lexicon, exceptions)
-        steps = steps.drop("tokens_normalized").join(normalized, list(keys))
+        # only row numbers and tokens pass through the set job; the wide columns come back by one join
+        steps = settle(steps.withColumn("_row", F.monotonically_increasing_id()), "explained")
+        narrow = steps.select("_row", "tokens_normalized")
+        normalized = normalize(narrow.withColumnRenamed("_row", "_step"), "tokens_normalized", config, ["_step"], lexicon, exceptions)
+        steps = steps.drop("tokens_normalized").join(normalized, F.col("_row") == F.col("_step")).drop("_row", "_step")
     return steps.withColumn("final", join_tokens(F.col("tokens_normalized")))

@@ -66,44 +66,59 @@ def shuffle(df: DataFrame, seed: int, keys: Sequence[str] = ("doc_id",)) -> Data
     return numbered.withColumn("position", F.col("_number") - 1).drop("_key", "_number")
 
 
-def _first_by_hash(df: DataFrame, quotas: DataFrame, group: str, keys: Sequence[str], seed: int) -> DataFrame:
+def _group_key(group: str) -> Column:
+    """A key that is never null, with null as a group of its own."""
+    return F.to_json(F.struct(F.col(group).alias("g")))
+
+
+def _narrow(df: DataFrame, group: str, keys: Sequence[str]) -> DataFrame:
+    """Keys and group, written once: all counting and sorting of a split reads this table and not its input."""
+    return settle(df.select(group, *[key for key in keys if key != group]), "split-keys")
+
+
+def _first_by_hash(df: DataFrame, narrow: DataFrame, quotas: DataFrame, group: str, keys: Sequence[str], seed: int) -> DataFrame:
     """Mark (``_chosen``) the ``quota`` rows with the smallest shuffle keys of every group.
 
     Instead of sorting the table, the bucket that holds each group's last chosen row is found from counts, only that
     bucket is sorted, and its cut key is compared with every row. The large table is never shuffled.
     """
-    keyed = df.withColumn("_key", shuffle_key(seed, keys)).withColumn(
-        "_id", F.concat_ws("|", *[F.col(key).cast("string") for key in keys])
-    )
+    def with_keys(rows: DataFrame) -> DataFrame:
+        names = F.concat_ws("|", *[F.col(key).cast("string") for key in keys])
+        return rows.withColumn("_key", shuffle_key(seed, keys)).withColumn("_id", names).withColumn("_group", _group_key(group))
+
+    keyed = with_keys(narrow)
+    quotas = quotas.select(_group_key(group).alias("_group"), "quota")
     bucket = F.substring("_key", 1, _BUCKET_DIGITS)
-    counts = keyed.groupBy(group, bucket.alias("_bucket")).count()
-    up_to_here = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    counts = keyed.groupBy("_group", bucket.alias("_bucket")).count()
+    up_to_here = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     # one row per group: the bucket in which the quota is used up, and how many of its rows are still needed
     last = settle(
         counts.withColumn("_seen", F.sum("count").over(up_to_here))
-        .join(quotas, group)
+        .join(quotas, "_group")
         .where((F.col("_seen") >= F.col("quota")) & (F.col("_seen") - F.col("count") < F.col("quota")))
-        .select(group, "_bucket", (F.col("quota") - F.col("_seen") + F.col("count")).alias("_need")),
+        .select("_group", "_bucket", (F.col("quota") - F.col("_seen") + F.col("count")).alias("_need")),
         "last-bucket",
     )
-    inside = Window.partitionBy(group, "_bucket").orderBy("_key", "_id")
+    inside = Window.partitionBy("_group", "_bucket").orderBy("_key", "_id")
     cut = settle(
         keyed.withColumn("_bucket", bucket)
-        .join(F.broadcast(last) if fits_broadcast(last) else last, [group, "_bucket"])
+        .join(F.broadcast(last) if fits_broadcast(last) else last, ["_group", "_bucket"])
         .withColumn("_place", F.row_number().over(inside))
         .where(F.col("_place") == F.col("_need"))
-        .select(group, F.struct("_key", "_id").alias("_cut")),
+        .select("_group", F.struct("_key", "_id").alias("_cut")),
         "cut",
     )
     chosen = F.coalesce(F.struct("_key", "_id") <= F.col("_cut"), F.lit(False))
-    return lookup_join(keyed, cut, group, keys, "left").withColumn("_chosen", chosen).drop("_key", "_id", "_cut")
+    marked = lookup_join(with_keys(df), cut, "_group", keys, "left").withColumn("_chosen", chosen)
+    return marked.drop("_key", "_id", "_cut", "_group")
 
 
 def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The first ``n`` rows of the seeded shuffle (all rows if there are fewer)."""
     grouped = df.withColumn("_all", F.lit(0))
-    rows = grouped.groupBy("_all").agg(F.least(F.count("*"), F.lit(n)).alias("quota"))
-    return _first_by_hash(grouped, rows, "_all", keys, seed).where("_chosen").select(*df.columns)
+    narrow = _narrow(grouped, "_all", keys)
+    rows = narrow.groupBy("_all").agg(F.least(F.count("*"), F.lit(n)).alias("quota"))
+    return _first_by_hash(grouped, narrow, rows, "_all", keys, seed).where("_chosen").select(*df.columns)
 
 
 def holdout_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
@@ -126,8 +141,9 @@ def stratified_split(
     df: DataFrame, label: str = "label", test_size: float = 0.2, seed: int = 42, keys: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
     """Add ``split`` (``train``/``test``) with exact sizes and class quotas, in the order of the seeded shuffle."""
-    quotas = holdout_quotas(df, label, test_size)
-    marked = _first_by_hash(df, quotas, label, keys, seed)
+    narrow = _narrow(df, label, keys)
+    quotas = holdout_quotas(narrow, label, test_size)
+    marked = _first_by_hash(df, narrow, quotas, label, keys, seed)
     return marked.withColumn("split", F.when(F.col("_chosen"), "test").otherwise("train")).select(*df.columns, "split")
 
 

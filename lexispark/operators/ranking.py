@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,20 +161,18 @@ def cosine_topk(
     Every candidate row keeps its place in the result, also without a shared term (similarity 0).
     """
     vectors = model.transform(docs)
-    query = settle(
-        vectors.where(F.col(doc_id) == document)
-        .select(F.explode(stored_values("features")).alias("q"))
-        .select("q.idx", F.col("q.value").alias("weight")),
-        "query-vector",
-    )
-    others = (vectors if candidates is None else model.transform(candidates)).where(F.col(doc_id) != document)
-    cells = others.select(doc_id, F.explode_outer(stored_values("features")).alias("c")).select(doc_id, "c.idx", "c.value")
     # one document's vector: no larger than the vocabulary, whose size has been checked
-    met = lookup_join(cells, query, "idx", [doc_id], "left")
-    query_norm = F.lit(query.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")))).first()[0] or 0.0)
-    dot = F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0))
-    norm = F.sqrt(F.sum(F.col("value") * F.col("value"))) * query_norm
+    query = vectors.where(F.col(doc_id) == document).select("features").first()
+    weights = query.features.toArray() if query else [0.0] * model.vocabulary.size
+    query_norm = float(sum(w * w for w in weights)) ** 0.5
+    others = (vectors if candidates is None else model.transform(candidates)).where(F.col(doc_id) != document)
+    # the products are made inside the row: nothing is exploded or shuffled before the top k
+    product = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="features", outputCol="_products")
+    rows = product.transform(others.select(doc_id, "features"))
+    dot = F.aggregate(stored_values("_products"), F.lit(0.0), lambda total, c: total + c["value"])
+    square = F.aggregate(stored_values("features"), F.lit(0.0), lambda total, c: total + c["value"] * c["value"])
+    norm = F.sqrt(square) * query_norm
     similarity = F.when(norm > 0, dot / norm).otherwise(F.lit(0.0))
-    compared = met.groupBy(doc_id).agg(similarity.alias("similarity"))
+    compared = rows.select(doc_id, similarity.alias("similarity"))
     order = [F.round("similarity", SCORE_DIGITS).desc(), F.col(doc_id)]
     return first_rows(compared, order, k, "rank").select("rank", doc_id, "similarity")

@@ -98,13 +98,16 @@ def running_totals(
         blocks.groupBy(*group, "_block")
         .agg(*[F.sum(m).alias(f"_{out}") for out, m in totals.items()])
         .select(
-            *group,
-            "_block",
+            *[F.col(g).alias(f"_of_{g}") for g in group],
+            F.col("_block").alias("_of_block"),
             *[F.coalesce(F.sum(f"_{out}").over(earlier), F.lit(0)).alias(f"_{out}") for out in totals],
         ),
         f"{name}-starts",
     )
-    joined = local.join(F.broadcast(starts) if fits_broadcast(starts) else starts, [*group, "_block"])
+    same = F.col("_block") == F.col("_of_block")
+    for g in group:  # null is a group like any other
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    joined = local.join(F.broadcast(starts) if fits_broadcast(starts) else starts, same)
     return joined.select(
         *df.columns, *[(F.col(out) + F.col(f"_{out}")).alias(out) for out in totals]
     )

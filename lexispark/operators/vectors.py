@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from lexispark.config import VectorConfig
 from lexispark.functions.analyzer import analyze
+from lexispark.functions.tokens import term_bag
 from lexispark.operators.scale import lookup_join
-from lexispark.operators.vocabulary import Vocabulary, fit_vocabulary, postings
+from lexispark.operators.vocabulary import Vocabulary, fit_vocabulary
 
 BOW, TFIDF = "bow", "tfidf"
 
@@ -73,22 +74,26 @@ class BagModel:
 
     def joined_form(self, df: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
         """The long form by a join on the term, for vocabularies of any size."""
-        counted = postings(df, self.text, self.vocabulary.config, keys)
+        bag = term_bag(analyze(F.col(self.text), self.vocabulary.config))
+        numbered = df.withColumn("_row", F.monotonically_increasing_id())  # before the terms are exploded
+        counted = numbered.select(*keys, "_row", F.explode_outer(bag).alias("t"))
+        counted = counted.select(*keys, "_row", "t.term", F.col("t.tf").cast("bigint").alias("tf"))
         table = self.vocabulary.table.select("term", "idx", "idf")
         weight = F.col("tf").cast("double") if self.method == BOW else F.col("tf") * F.col("idf")
-        known = lookup_join(counted, table, "term", keys, "inner", self.vocabulary.small)
-        rows = known.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("idx", weight.alias("w")))).alias("_cells"))
+        known = lookup_join(counted, table, "term", ["_row"], "left", self.vocabulary.small)
+        # rows are told apart by their number, so that a repeated key keeps its rows; a row without a known term stays
+        cell = F.when(F.col("idx").isNotNull(), F.struct("idx", weight.alias("w")))
+        rows = known.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(cell)).alias("_cells"))
         norm = F.sqrt(F.aggregate("_cells", F.lit(0.0), lambda acc, cell: acc + cell["w"] * cell["w"]))
         scale = F.lit(1.0) if self.method == BOW else norm
-        rows = df.select(*keys).join(rows.withColumn("_scale", scale), list(keys), "left")
-        cells = rows.select(*keys, "_scale", F.explode_outer("_cells").alias("cell"))
+        cells = rows.withColumn("_scale", scale).select(*keys, "_scale", F.explode_outer("_cells").alias("cell"))
         return cells.select(*keys, "cell.idx", (F.col("cell.w") / F.col("_scale")).alias("value"))
 
 
 def fit_bag(df: DataFrame, config: VectorConfig, method: str = TFIDF, text: str = "processed") -> BagModel:
     method = method.lower()
     if method not in (BOW, TFIDF):
-        raise ValueError(f"Unknown vectorizer: {method}")
+        raise ValueError(f"no such representation: {method}")
     return BagModel(fit_vocabulary(df, text, config), method, text)
 
 

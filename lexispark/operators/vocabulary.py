@@ -25,6 +25,9 @@ def term_stats(term_postings: DataFrame) -> DataFrame:
 
 
 def prune_min_df(stats: DataFrame, min_df: int) -> DataFrame:
+    """Terms of at least ``min_df`` documents; a number of documents, not a share."""
+    if min_df != int(min_df):
+        raise ValueError(f"min_df counts documents and must be whole: {min_df}")
     return stats.where(F.col("df") >= min_df)
 
 
@@ -86,5 +89,5 @@ def fit_vocabulary(df: DataFrame, text: str, config: VectorConfig) -> Vocabulary
     table = settle(indexed.select("term", "idx", "df", "cf", "idf"), "vocabulary")
     size = table.count()
     if size == 0:
-        raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
+        raise ValueError("No term is left in the vocabulary with these document frequency limits")
     return Vocabulary(table, n_docs, size, fits_broadcast(table), config)

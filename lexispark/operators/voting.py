@@ -16,7 +16,7 @@ def majority_vote(predictions: DataFrame, keys: Sequence[str] = ("doc_id", "labe
 def average_score(predictions: DataFrame, keys: Sequence[str] = ("doc_id", "label")) -> DataFrame:
     """1 where the mean score is strictly above one half. Missing scores are skipped; a key without any is an error."""
     averaged = predictions.groupBy(*keys).agg(F.avg("score").alias("score"))
-    checked = F.when(F.col("score").isNull(), F.raise_error(F.lit("No probabilities available for averaging")))
+    checked = F.when(F.col("score").isNull(), F.raise_error(F.lit("a row without any score has no average")))
     return averaged.withColumn("prediction", checked.otherwise((F.col("score") > 0.5).cast("int")))
 
 
@@ -25,4 +25,4 @@ def ensemble(predictions: DataFrame, method: str = "majority_vote", keys: Sequen
         return majority_vote(predictions, keys)
     if method == "average_proba":
         return average_score(predictions, keys)
-    raise ValueError(f"Unknown voting method: {method}")
+    raise ValueError(f"no such way to combine predictions: {method}")

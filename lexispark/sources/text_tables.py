@@ -12,12 +12,13 @@ PROCESSED_SCHEMA = "processed string, label int"
 TWEET_SCHEMA = "polarity int, id bigint, date string, query string, user string, text string"
 
 
-def read_reviews(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """Headed review CSV, reduced to ``Text`` and ``Score``. Quoted fields may span lines.
+def read_reviews(spark: SparkSession, path: str, header: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """Headed review CSV, reduced to ``Text`` and ``Score``. Quoted fields may span lines unless ``multi_line`` is switched
+    off, which lets Spark split large files.
 
     The schema covers the file's columns by position, so the header names come from ``header`` or one line of a file.
     """
-    options = {"header": True, "multiLine": True, "escape": '"'}
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
     names = header or spark.read.options(**options).option("inferSchema", False).csv(path).columns
     schema = ", ".join(f"`{name}` {'int' if name == 'Score' else 'string'}" for name in names)
     return spark.read.options(**options).schema(schema).csv(path).select("Text", "Score")
@@ -38,9 +39,9 @@ def read_processed(spark: SparkSession, path: str, format: str = "csv") -> DataF
 
 
 def write_processed(df: DataFrame, path: str, format: str = "csv") -> None:
-    """CSV holds ``processed`` and ``label``; Parquet is partitioned by ``source`` where there is one."""
+    """CSV holds ``processed`` and ``label``; Parquet keeps ``doc_id`` and is partitioned by ``source``, where there are such."""
     if format == "parquet":
-        columns = [c for c in ("processed", "label", "source") if c in df.columns]
+        columns = [c for c in ("doc_id", "processed", "label", "source") if c in df.columns]
         writer = df.select(*columns).write.mode("overwrite")
         (writer.partitionBy("source") if "source" in columns else writer).parquet(path)
         return

@@ -1,5 +1,6 @@
 """The text processing on a stream. Cleaning and tokenizing are stateless column expressions, so a stream of raw
-texts is processed with the plan of a batch; only the lemma map, which needs a whole corpus, must be given."""
+texts is processed with the plan of a batch. Lemmas and stems are made for a whole corpus's vocabulary and are not offered
+on a stream."""
 
 from __future__ import annotations
 

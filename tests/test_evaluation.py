@@ -72,7 +72,7 @@ def test_votes(spark, rows):
     assert averaged == [(0, 0), (1, 1), (2, 1)]  # a mean of exactly one half is class 0
     with pytest.raises(ValueError):
         voting.ensemble(df, "weighted")
-    with pytest.raises(Exception, match="No probabilities"):
+    with pytest.raises(Exception, match="without any score"):
         voting.average_score(long_form(spark, [[(1, None)]])).collect()
 
 

@@ -60,8 +60,8 @@ def test_terms_are_replaced_with_one_shuffle(docs):
     processed = normalize.process(docs, "processed", review_config())
     text = plan(processed)
     # before the tokens are exploded, not after
-    assert text.count("hashpartitioning(doc_id") == 1
-    assert text.index("Generate posexplode") < text.index("hashpartitioning(doc_id")
+    assert text.count("hashpartitioning(_row") == 1
+    assert text.index("Generate posexplode") < text.index("hashpartitioning(_row")
 
 
 def test_cosine_keeps_only_the_top_rows(docs):

@@ -128,3 +128,34 @@ def test_histogram_of_one_length(spark, rows):
 def test_top_tokens_skip_missing_texts(spark, rows):
     df = spark.createDataFrame([("x", "b a a"), ("x", None), ("x", "b c")], "source string, processed string")
     assert rows(profile.top_tokens(df, 2).select("rank", "term", "count")) == [(1, "a", 2), (2, "b", 2)]
+
+
+def test_null_groups_stay_beyond_the_task_local_limit(spark):
+    from lexispark.operators import prep
+
+    rows = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 3 = 0, NULL, 'a') AS source")
+    for n in (1000, 1001):
+        got = dict(map(tuple, prep.head_per_source(rows, n).groupBy("source").count().collect()))
+        assert got == {"a": n, None: 1000}
+
+
+def test_split_counts_null_labels_as_a_class(spark):
+    from lexispark.operators import prep
+
+    rows = spark.range(1000).selectExpr("id AS doc_id", "IF(id % 5 = 0, NULL, id % 2) AS label")
+    split = prep.stratified_split(rows).where("split = 'test'").groupBy("label").count()
+    assert dict(map(tuple, split.collect())) == {None: 40, 0: 80, 1: 80}
+
+
+def test_rows_with_equal_keys_are_kept_apart(spark):
+    from lexispark.config import VectorConfig, review_config
+    from lexispark.operators import normalize, vectors
+
+    rows = spark.createDataFrame([(1, "boxes boxes dogs"), (1, "cats boxes"), (None, "dogs"), (1, "boxes boxes dogs")], "doc_id bigint, text string")
+    done = normalize.process(rows, "text", review_config(), lexicon=spark.createDataFrame([("box",), ("dog",), ("cat",)], "form string"))
+    assert sorted(r["processed"] for r in done.collect()) == ["box box dog", "box box dog", "cat box", "dog"]
+    steps = normalize.explain_steps(rows, "text", review_config(), lexicon=spark.createDataFrame([("box",), ("dog",), ("cat",)], "form string"))
+    assert sorted((r["original"], r["final"]) for r in steps.collect())[-1] == ("dogs", "dog") and steps.count() == 4
+    model = vectors.fit_bag(done, VectorConfig(min_df=1, max_df=1.0), "tfidf")
+    cells = lambda df: sorted((r["doc_id"] is None, r["idx"], round(r["value"], 9)) for r in df.collect())
+    assert cells(model.joined_form(done)) == cells(model.long_form(done))
