@@ -28,7 +28,7 @@ from lexispark.llm.words import LANES, Words, grams, mix, signed, slices
 from lexispark.operators.scale import fits_broadcast, settle
 
 MOST_MATCHES = 8
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 6
 ORDER_BITS = 20  # cells of the sketch that orders the shingles, per row
 CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 27
 
