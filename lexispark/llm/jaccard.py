@@ -7,19 +7,24 @@ of their two m. Each document picks its m by the estimated cost of its candidate
 1. Documents with equal shingle sets form one class (map-side minima); only a class's smallest document goes on.
 2. Count-min sketches give the order and the costs. Documents without a prefix shingle that occurs elsewhere are done; a
    sketch over the prefixes removes shingles that no other prefix holds, before anything is shuffled.
-3. Pivot rounds: the members of a shingle's list meet one pivot, not each other, and each component verifies its pair
-   with most common shingles on the whole sets. This joins most copies without looking at all their pairs.
+3. Pivot rounds: the members of a shingle's list meet one pivot, a document with few shingles of its own, not each other,
+   and each component verifies its pair with most common shingles on the whole sets. This joins most copies without
+   looking at all their pairs.
 4. Then every pair from different components that still shares enough prefix shingles is verified: in each list the
-   members outside its largest component meet all others. Pairs inside a component can't change the result.
+   members outside its largest component meet all others. Pairs inside a component can't change the result. A pair
+   leaves the join once, at its smallest common prefix shingle, and only if two upper bounds of the common shingles
+   reach the similarity: the shingles that occur elsewhere at all, and those whose bit is set in the other's bitmap.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.llm.graph import components
@@ -28,7 +33,9 @@ from lexispark.llm.words import LANES, Words, grams, mix, signed, slices
 from lexispark.operators.scale import fits_broadcast, settle
 
 MOST_MATCHES = 8
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 4
+BITMAP_BITS = 10  # a set's bitmap has two to this power bits, kept as 64-bit columns
+BITMAP = [f"bits{i}" for i in range(1 << BITMAP_BITS >> 6)]
 ORDER_BITS = 20  # cells of the sketch that orders the shingles, per row
 CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 27
 
@@ -67,6 +74,13 @@ def _prefix(order: np.ndarray, est: np.ndarray, size: int, common: int) -> tuple
     return best, base + best
 
 
+def _bitmap(found: np.ndarray) -> np.ndarray:
+    """Bits of a set's hashes as 64-bit numbers."""
+    bits = np.zeros(1 << BITMAP_BITS, bool)
+    bits[(found >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -136,23 +150,26 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                     m, length = _prefix(order, est, size, common)
                     head = order[:length]
                     if other[head].any():
-                        out.append((i, size, m, found[head[other[head]]].tobytes(), found))
+                        out.append((i, size, other.sum(), m, found[head[other[head]]].tobytes(), found))
                 if out:
-                    at, size, m, head, whole = zip(*out)
+                    at, size, known, m, head, whole = zip(*out)
+                    bitmaps = np.array([_bitmap(x) for x in whole])
                     offsets = np.cumsum([0, *map(len, whole)])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            ids.take(pa.array(at)), pa.array(size, pa.int64()), pa.array(m, pa.int32()), pa.array(head, pa.binary()),
-                            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), signed(np.concatenate(whole))),
+                            ids.take(pa.array(at)), pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(m, pa.int32()),
+                            pa.array(head, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), signed(np.concatenate(whole))),
+                            *(pa.array(np.ascontiguousarray(x)) for x in bitmaps.T),
                         ],
-                        ["doc_id", "size", "m", "head", "tokens"],
+                        ["doc_id", "size", "known", "m", "head", "tokens", *BITMAP],
                     )
 
-    found = docs.where("doc_id is not null").mapInArrow(prefixes, "doc_id bigint, size bigint, m int, head binary, tokens array<bigint>")
-    sets = settle(found, "sets")
+    columns = "doc_id bigint, size bigint, known bigint, m int, head binary, tokens array<bigint>" + "".join(f", {b} bigint" for b in BITMAP)
+    found = docs.where("doc_id is not null").mapInArrow(prefixes, columns)
+    sets = settle(found.withColumn("text_no", F.monotonically_increasing_id()), "sets")
     several.destroy()
     counts.destroy()
-    heads = settle(sets.select("doc_id", "size", "m", "head").join(reps, "doc_id", "left_semi"), "heads")
+    heads = settle(sets.select("doc_id", "text_no", "size", "known", "m", "head").join(reps, "doc_id", "left_semi"), "heads")
 
     # shingles of at least two prefixes
     head_bits = bits_for(float(total[1]), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
@@ -168,10 +185,11 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             keep = reached(shared.value, token, head_bits)
             at, token = pa.array(at[keep]), token[keep]
             yield pa.RecordBatch.from_arrays(
-                [signed(token), *(batch.column(c).take(at) for c in ("doc_id", "size", "m"))], ["token", "rep", "size", "m"]
+                [signed(token), *(batch.column(c).take(at) for c in ("doc_id", "text_no", "size", "known", "m"))],
+                ["token", "rep", "text_no", "size", "known", "m"],
             )
 
-    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, size bigint, m int"), "lists")
+    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, text_no bigint, size bigint, known bigint, m int"), "lists")
     shared.destroy()
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -187,17 +205,13 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         both = side("a", "left").join(side("b", "right"), ["a", "b"])
         return both.where(100 * common >= percent * union).select("a", "b").distinct()
 
-    def met(x: str, y: str) -> list:
-        both = lambda f, c: f(f"{x}.{c}", f"{y}.{c}")
-        return [
-            both(F.least, "rep").alias("a"), both(F.greatest, "rep").alias("b"), both(F.least, "m").alias("m"),
-            both(F.least, "size").alias("low"), both(F.greatest, "size").alias("high"),
-        ]
+    total_size = F.col("x.size") + F.col("y.size")
 
-    def counted(met: DataFrame, *keep: str) -> DataFrame:
-        """Number of common prefix shingles of the pairs of fitting size, of rows with one common shingle each."""
-        sized = met.where(100 * F.col("low") >= percent * F.col("high"))
-        return sized.groupBy("a", "b", *keep).agg(F.count("*").alias("shared"), F.max("m").alias("m"))
+    def reachable(common: Column) -> Column:
+        """Whether sets with at most so many common shingles can be linked."""
+        return 100 * common >= percent * (total_size - common)
+
+    known = reachable(F.least("x.known", "y.known"))
 
     # documents of several texts are linked through their doc_id; classes by their smallest document
     links = mapped.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -205,11 +219,13 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     placed = components(links.join(repeated, "b", "left_semi").select("a", "b"))
     for round_ in range(PIVOT_ROUNDS):
         now = _placed(lists, placed)
-        pivot = now.groupBy("token").agg(F.min(F.struct(F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "m", "comp")).alias("p"))
-        pivot = pivot.select("token", "p.rep", "p.size", "p.m", "p.comp")
-        pairs = now.alias("x").join(pivot.alias("y"), "token").where("x.comp <> y.comp").select(*met("x", "y"), F.col("x.comp").alias("comp"))
+        own_share = F.floor(16 * (F.col("size") - F.col("known")) / F.col("size"))
+        first = F.struct(own_share.alias("own"), F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "known", "m", "comp")
+        pivot = now.groupBy("token").agg(F.min(first).alias("p")).select("token", "p.rep", "p.size", "p.known", "p.m", "p.comp")
+        pairs = now.alias("x").join(pivot.alias("y"), "token").where(F.expr("x.comp <> y.comp") & known)
+        pairs = pairs.select(F.col("x.comp").alias("comp"), F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         # one pair for each component: the one with most common shingles
-        best = counted(pairs, "comp").groupBy("comp").agg(F.max(F.struct("shared", "a", "b")).alias("p"))
+        best = pairs.groupBy("a", "b", "comp").agg(F.count("*").alias("shared")).groupBy("comp").agg(F.max(F.struct("shared", "a", "b")).alias("p"))
         placed = _joined(placed, verified(best.select("p.a", "p.b").distinct()))
     now = _placed(lists, placed)
     # lists of one component have nothing left to compare
@@ -217,10 +233,23 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     now = settle(now.join(split, "token", "left_semi"), "open-lists")
     largest = now.groupBy("token", "comp").count().groupBy("token").agg(F.max(F.struct("count", "comp")).alias("top"))
     tagged = now.join(largest.select("token", F.col("top.comp").alias("top")), "token").withColumn("minor", F.expr("comp <> top"))
+    bits_set = reduce(add, [F.bit_count(b) for b in BITMAP])
+    tokens = now.groupBy("text_no").agg(F.sort_array(F.collect_set("token")).alias("prefix"))  # not longer than a set's prefix
+    tagged = tagged.join(tokens.join(sets.select("text_no", (F.col("size") - bits_set).alias("folded"), *BITMAP), "text_no"), "text_no")
     one, other = tagged.where("minor").alias("x"), tagged.alias("y")
-    differ = F.expr("x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
-    pairs = counted(one.join(other, "token").where(differ).select(*met("x", "y"))).where("shared >= m")
-    placed = _joined(placed, verified(pairs.select("a", "b")))
+    differ = F.expr("x.token = y.token AND x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
+
+    # shingles of both sets at most: a bit that the other lacks is one that is not common
+    both_bits = reduce(add, [F.bit_count(F.col(f"x.{b}").bitwiseAND(F.col(f"y.{b}"))) for b in BITMAP])
+    matched = reachable(F.least("x.folded", "y.folded") + both_bits)
+    shared = F.array_intersect("x.prefix", "y.prefix")  # in rising order, so the first is the smallest
+    # few rows can meet in many pairs, so a small table must not go to a single task as a broadcast join would send it
+    met = one.join(other.hint("merge"), differ & known & matched & (F.get(shared, F.lit(0)) == F.col("x.token")))
+    pairs = met.select(
+        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.least("x.m", "y.m").alias("m"), F.size(shared).alias("shared")
+    )
+    pairs = settle(pairs, "met").where("shared >= m").select("a", "b")
+    placed = _joined(placed, verified(pairs.distinct()))
 
     of_class = placed.select(F.col("node").alias("rep"), "component")
     result = members.join(mapped.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left").join(of_class, "rep", "left")
