@@ -10,8 +10,12 @@ from lexispark.operators.scale import settle
 MOST_ROUNDS = 60
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether distinct links ``a < b`` are stars: no node has two smaller neighbours, or a smaller and a larger one."""
+    smaller = edges.select(F.col("b").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger"))
+    larger = edges.select(F.col("a").alias("node"), F.lit(0).alias("smaller"), F.lit(1).alias("larger"))
+    ends = smaller.unionByName(larger).groupBy("node").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger"))
+    return ends.where("smaller > 1 OR smaller = 1 AND larger = 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,22 +27,17 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = settle(edges, "links")
-    before = _state(edges)
-    if not before[0]:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(MOST_ROUNDS):
+        if _settled(edges):
+            return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
+                edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
+            )
         # large star: the larger neighbours of a node move to the smallest node around it
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("least").alias("a"), "b").distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("least").alias("a"), "b")  # a row for each link, repeated or not
         # small star: the smaller neighbours of a node, and the node itself, move to the smallest of them
         least = large.groupBy("b").agg(F.min("a").alias("least"))
         moved = large.join(least, "b").where("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b"))
         edges = settle(moved.unionByName(least.select(F.col("least").alias("a"), "b")).distinct(), "stars")
-        after = _state(edges)
-        if after == before:
-            return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
-                edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
-            )
-        before = after
     raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
