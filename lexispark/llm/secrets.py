@@ -1,16 +1,21 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests on long tokens with false-discovery control.
 
-The base kinds ``assign``, ``access`` and ``hex`` are reported whenever they match. The kind ``random`` adds tokens of 24 and
+The base kinds ``assign``, ``access`` and ``hex`` are reported whenever they match. The kind ``random`` adds tokens of 16 and
 more characters that look drawn at random from their encoding's alphabet:
 
-* the encoding (hex, base32, base36, base64) is inferred from the characters, which must mix letters and digits;
+* runs of token characters are cut into parts at every inner ``=``. A part of both cases is one token, measured without
+  leading single-case words (``sk_live_``); if it has one case only, or holds a single-case piece of token length, each
+  piece between ``-``, ``_``, ``/`` and ``+`` is a token of its own;
+* the encoding (hex, base32, base36, base64) is inferred from the characters, which must mix letters and digits; every
+  token that does has one;
 * chi-squared uniformity over the alphabet, a runs test about the alphabet's middle and a lag-one serial correlation test
   must each not reject randomness (``BATTERY_Z``);
 * the probability of so even a spread under text-like frequencies, which falls with the length of the token, must pass a
   Benjamini-Hochberg threshold at ``FALSE_DISCOVERIES``, taken over all tokens of the table with the same encoding and
   length band. The thresholds come from counts per bin of the logarithm of that probability.
 
-Everything is a projection or an aggregation of built-in functions; formulas are SQL text that DuckDB reads as well.
+Everything is a projection or an aggregation of built-in functions; formulas are SQL text that DuckDB reads as well. The
+SQL twin still takes runs of 24 characters (``TOKEN``) as uncut tokens, so its ``random`` spans are fewer.
 """
 
 from __future__ import annotations
@@ -30,6 +35,12 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{24,}"
+LEAST_TOKEN = 16
+RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST_TOKEN},}}"
+PART = r"[^=]+(?:=+$)?"
+PIECE = rf"[A-Za-z0-9]{{{LEAST_TOKEN},}}"
+SINGLE = rf"(?<![A-Za-z0-9])(?:[0-9a-z]{{{LEAST_TOKEN},}}|[0-9A-Z]{{{LEAST_TOKEN},}})(?![A-Za-z0-9])"
+WORDS = r"^(?:(?:[a-z]{2,20}|[A-Z]{2,20})[-_/]){1,4}"
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "abcdefghijklmnopqrstuvwxyz234567",
@@ -109,17 +120,40 @@ def _base(text: Column) -> list[Column]:
     return [F.coalesce(found[k], spans.none()).alias(k) for k in BASE]
 
 
+def _within(outer: Column, inner: Column) -> Column:
+    """Spans of places within a span, as spans of the text."""
+    return F.transform(
+        inner, lambda s: F.struct(s["kind"].alias("kind"), (outer["start"] + s["start"]).alias("start"), (outer["start"] + s["end"]).alias("end"), s["value"].alias("value"))
+    )
+
+
+def _parts(run: Column) -> Column:
+    """A run of token characters, cut at every ``=`` that is not its padding."""
+    return _within(run, spans.found(run["value"], PART, "random"))
+
+
+def _pieces(part: Column) -> Column:
+    """The tokens of a part, their values without padding, in the base64 alphabet and without leading words."""
+    value = F.rtrim(part["value"], F.lit("="))
+    value = F.regexp_replace(value, WORDS, "")
+    one_case = ~(value.rlike("[a-z]") & value.rlike("[A-Z]"))
+    whole = F.array(F.struct(part["kind"].alias("kind"), part["start"].alias("start"), part["end"].alias("end"), F.translate(value, "-_", "+/").alias("value")))
+    return F.when(one_case | value.rlike(SINGLE), _within(part, spans.found(part["value"], PIECE, "random"))).otherwise(whole)
+
+
 def scanned(docs: DataFrame, *keep: str) -> DataFrame:
     """Base spans and measured candidate tokens of each row: the kept columns, base(kind, start, end, value), tokens."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(*keep, text.alias("_text")).select(*keep, "_text", *_base(F.col("_text")))
     rows = rows.withColumn("base", F.concat(*BASE)).drop(*BASE)
-    tokens = F.coalesce(F.when(F.col("_text").rlike(TOKEN), spans.found(F.col("_text"), TOKEN, "random")), spans.none())
+    runs = F.coalesce(F.when(F.col("_text").rlike(RUN), spans.found(F.col("_text"), RUN, "random")), spans.none())
+    mixed = lambda t: t["value"].rlike("[0-9]") & t["value"].rlike("[A-Za-z]")
     free = lambda t: ~F.exists(F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    rows = rows.withColumn("tokens", tokens).withColumn("tokens", F.filter("tokens", free))
-    rows = rows.withColumn("tokens", F.expr("transform(tokens, t -> named_struct('start', t.start, 'end', t.end, 'value', rtrim('=', translate(t.value, '-_', '+/'))))"))
+    rows = rows.withColumn("tokens", F.filter(runs, mixed))
+    for cut in (_parts, _pieces):
+        rows = rows.withColumn("tokens", F.filter(F.flatten(F.transform("tokens", cut)), lambda t: mixed(t) & (F.length(t["value"]) >= LEAST_TOKEN)))
+    rows = rows.withColumn("tokens", F.filter("tokens", free))
     rows = rows.withColumn("tokens", F.expr("transform(tokens, t -> struct(t.start, t.end, t.value, " + _ENCODING.replace("v,", "t.value,") + " AS e))"))
-    rows = rows.withColumn("tokens", F.filter("tokens", lambda t: t["e"].isNotNull() & (F.length(t["value"]) >= 16)))
     measured = F.transform("tokens", lambda t: _measured(t, t["e"], _codes(t["value"], t["e"])))
     rows = rows.withColumn("tokens", measured).drop("_text")
     judge = "named_struct('start', t.start, 'end', t.end, 'e', t.e, 'band', " + _of("t", BAND) + ", 'bin', " + _of("t", BIN) + ", 'passes', " + _of("t", PASSES) + ")"
