@@ -2,7 +2,9 @@
 
 Both models are variable-order: a character's probability interpolates the orders 1 to 5 by Witten-Bell smoothing, where a
 context that was never seen leaves the shorter one's estimate as it is. They are built over all distinct URLs with a
-rule, except a quarter (by hash) that calibrates the threshold on the mean log-likelihood difference per character.
+rule, except a quarter (by hash) that calibrates the threshold on the mean log-likelihood difference per character. Rules
+read host and path; the models read the whole URL, its scheme, query string and fragment included (the SQL twin's models
+still read host and path only).
 Counts, smoothing and scores are aggregations and joins on the n-gram table; log-ratios are kept in thousandths as
 integers, so that sums do not depend on their order.
 """
@@ -104,15 +106,15 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, ratio (thousandths of a nat per character).
 
     ``pages`` has page_id and url; other columns are not read. Null URLs and those without ``://`` have an empty host and
-    path, no rule, and are judged by the models as an empty URL. ``ratio`` is null where a rule decides. If no URL of
+    path, no rule, and are judged by the models like any other, null as the empty URL. ``ratio`` is null where a rule decides. If no URL of
     one verdict is there to learn from or to calibrate with, the threshold is 0. Repeated rows are kept; an empty
     table gives an empty result.
     """
     host, path = parts(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("by_rule", verdict)
-    urls = settle(rows.groupBy(F.concat("host", "path").alias("url"), F.col("by_rule").alias("verdict")).count().drop("count"), "urls")
+    urls = settle(rows.groupBy("url", F.col("by_rule").alias("verdict")).count().drop("count"), "urls")
     held = F.crc32(F.col("url").cast("binary")) % 4 == 0
     learned = urls.where(F.col("verdict").isNotNull() & ~held)
     trained = _grams(learned, "verdict").groupBy("gram").agg(
@@ -127,7 +129,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     sums = settle(sums, "url-scores").withColumn("bin", F.floor(F.col("ratio") / BIN))
     least = _threshold(sums.where("verdict is not null"))
     decided = sums.where("verdict is null").select("url", "ratio", F.when(F.col("bin") >= least, "allow").otherwise("block").alias("by_model"))
-    judged = rows.withColumn("url", F.when(F.col("by_rule").isNull(), F.concat("host", "path"))).join(decided, "url", "left")
+    judged = rows.withColumn("url", F.when(F.col("by_rule").isNull(), F.col("url"))).join(decided, "url", "left")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_model").alias("verdict"), "ratio")
 
 

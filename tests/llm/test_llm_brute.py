@@ -230,6 +230,16 @@ def test_urls(spark):
     assert len(out) == 10
 
 
+def test_url_models_read_the_whole_url(spark):
+    good, bad = "?q=" + "garden" * 6, "?ad=" + "xxx77" * 6
+    rows = [(i, f"http://site{i}.com/a{good if i % 2 else ''}") for i in range(40)] + [(i + 40, f"http://site{i}.net/es/a{bad}") for i in range(40)]
+    asked = {100: f"http://y.org/a{good}", 101: f"http://y.org/a{bad}", 102: good[1:], 103: bad[1:], 104: "http://y.org/a#garden", 105: "http://y.org/a#xxx77", 106: None, 107: ""}
+    out = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows + list(asked.items()), "page_id bigint, url string")).collect()}
+    assert [(out[i]["verdict"], out[i]["host"], out[i]["path"]) for i in (100, 101)] == [("allow", "y.org", "/a"), ("block", "y.org", "/a")]
+    assert [out[i]["verdict"] for i in (102, 103)] == ["allow", "block"] and out[104]["ratio"] > out[105]["ratio"]
+    assert out[106]["ratio"] == out[107]["ratio"] and all(out[i]["ratio"] is None for i in range(80)) and len(out) == 88
+
+
 def test_empty_tables(spark):
     docs = frame(spark, [])
     assert substring.remove_repeats(docs).count() == 0 and jaccard.shingle_classes(docs).count() == 0
