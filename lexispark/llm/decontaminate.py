@@ -3,7 +3,8 @@
 Texts and items are compared in lower case with white space runs as one space. An item of m characters has an error budget
 of e edits and is cut into e + 1 pieces; a text that holds it with at most e insertions, deletions and substitutions holds
 one of the pieces unchanged. All pieces are searched in one pass per text; each hit fixes a stretch of the text, in which
-the least distance of the item to any substring is computed.
+the least distance of the item to any substring is computed, unless the stretch lacks more than e of the item's disjoint
+blocks, as then no substring can be near enough.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import types as T
 
 # Items are searched in blocks of at most about this many bytes, so that what a task holds does not grow with them.
 BLOCK_BYTES = 4 << 20
+# An edit spoils at most one of an item's disjoint blocks of so many characters.
+PROBE = 5
 _HIT = T.ArrayType(
     T.StructType([T.StructField(n, T.LongType()) for n in ("item_id", "distance", "start", "end", "budget")])
 )
@@ -27,9 +30,9 @@ def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def budget(length: int, error_rate: float, least_piece: int) -> int:
-    """Edits allowed for an item: a share of its length, as long as every piece keeps ``least_piece`` characters."""
-    return max(0, min(int(error_rate * length), length // least_piece - 1))
+def budget(length: int, error_rate: float) -> int:
+    """Edits allowed for an item: a share of its length, but never as many as leave a piece without characters."""
+    return max(0, min(int(error_rate * length), length - 1))
 
 
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
@@ -71,17 +74,28 @@ def myers(pattern: str, text: str, anchored: bool = False, masks: dict[str, int]
     return best, at
 
 
+def may_hold(stretch: str, blocks: list[str], edits: int) -> bool:
+    """Whether at most ``edits`` of the blocks are missing in the stretch."""
+    for block in blocks:
+        if block not in stretch:
+            edits -= 1
+            if edits < 0:
+                return False
+    return True
+
+
 class Matcher:
     """Search of a block of items; built once per task."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, least_piece: int):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float):
         self.items = []
         owners: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             item = normal(text)
             if item:
-                edits = budget(len(item), error_rate, least_piece)
-                self.items.append((item_id, item, edits, _masks(item), item[::-1]))
+                edits = budget(len(item), error_rate)
+                blocks = [item[i : i + PROBE] for i in range(0, len(item) - PROBE + 1, PROBE)]
+                self.items.append((item_id, item, edits, _masks(item), item[::-1], blocks))
                 for offset, piece in pieces(item, edits):
                     owners.setdefault(piece, []).append((len(self.items) - 1, offset))
         self.automaton = ahocorasick.Automaton()
@@ -98,7 +112,7 @@ class Matcher:
         stretches: dict[int, list[list[int]]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for n, offset in where:
-                _, item, edits, _, _ = self.items[n]
+                _, item, edits, _, _, _ = self.items[n]
                 a = max(0, end + 1 - length - offset - edits)
                 b = min(len(text), end + 1 - length - offset + len(item) + edits)
                 mine = stretches.setdefault(n, [])
@@ -109,9 +123,11 @@ class Matcher:
                     mine.append([a, b])
         found = []
         for n, mine in stretches.items():
-            item_id, item, edits, masks, backwards = self.items[n]
+            item_id, item, edits, masks, backwards, blocks = self.items[n]
             best = None
             for a, b in mine:
+                if not may_hold(text[a:b], blocks, edits):
+                    continue
                 distance, end = myers(item, text[a:b], masks=masks)
                 if distance <= edits and (best is None or distance < best[0]):
                     best = (distance, a, a + end)
@@ -131,19 +147,19 @@ def item_blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
     return [[(r[0], r[1]) for r in items.where(block == n).orderBy("item_id", "text").collect()] for n in range(count)]
 
 
-def hits_column(text: Column, block: list[tuple[int, str]], error_rate: float, least_piece: int) -> Column:
+def hits_column(text: Column, block: list[tuple[int, str]], error_rate: float) -> Column:
     """Hits of one block of items in each text, as an array column; none for null and empty texts."""
 
     @F.pandas_udf(_HIT)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(block, error_rate, least_piece)
+        matcher = Matcher(block, error_rate)
         for texts in batches:
             yield pd.Series([matcher.hits(t) for t in texts])
 
     return search(text)
 
 
-def leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1, least_piece: int = 12) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1) -> DataFrame:
     """One row per document row and test item found in it: doc_id, item_id, distance, budget, start, end.
 
     ``start`` and ``end`` count characters of the normalised text. ``docs`` has doc_id and text, ``items`` item_id and text;
@@ -153,7 +169,7 @@ def leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1, least_piec
     """
     parts = []
     for block in item_blocks(items):
-        hits = docs.select("doc_id", F.explode(hits_column(F.col("text"), block, error_rate, least_piece)).alias("hit"))
+        hits = docs.select("doc_id", F.explode(hits_column(F.col("text"), block, error_rate)).alias("hit"))
         parts.append(hits.select("doc_id", "hit.item_id", "hit.distance", "hit.budget", "hit.start", "hit.end"))
     found = parts[0]
     for part in parts[1:]:
@@ -161,8 +177,8 @@ def leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1, least_piec
     return found
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1, least_piece: int = 12) -> DataFrame:
+def without_leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1) -> DataFrame:
     """The rows of ``docs``, with all columns, whose text holds no test item."""
     for block in item_blocks(items):
-        docs = docs.where(F.size(hits_column(F.col("text"), block, error_rate, least_piece)) == 0)
+        docs = docs.where(F.size(hits_column(F.col("text"), block, error_rate)) == 0)
     return docs

@@ -138,6 +138,32 @@ def test_myers_and_leaks(spark):
     assert kept.columns == [c.split()[0] for c in DOCS.split(", ")] and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]
 
 
+def test_leaks_at_the_stated_budget(spark):
+    rng = random.Random(8)
+    item, short = "".join(rng.choice("abcdefgh ijklmnop") for _ in range(95)).replace("  ", " x").strip(), "what is 9 times 13?"
+    assert " ".join(item.split()) == item
+    at = [len(item) * (2 * i + 1) // 22 for i in range(10)]  # spread evenly, so that edits leave no long piece
+
+    def edited(text, places):
+        return "".join("#" if i in places else c for i, c in enumerate(text))
+
+    n = len(item) // 10
+    assert decontaminate.budget(len(item), 0.1) == n and decontaminate.budget(len(short), 0.1) == 1 and decontaminate.budget(9, 0.1) == 0
+    rows = [(1, "so " + edited(item, at[:n]) + " it", None), (2, edited(item, at[: n + 1]), None), (3, "so: " + edited(short, [4]), None), (4, edited(short, [4, 9]), None)]
+    items = spark.createDataFrame([(1, item), (2, short)], "item_id bigint, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["distance"], r["budget"]) for r in decontaminate.leaks(frame(spark, rows), items).collect())
+    assert got == [(1, 1, n, n), (3, 2, 1, 1)]
+    assert sorted(r["doc_id"] for r in decontaminate.without_leaks(frame(spark, rows), items).collect()) == [2, 4]
+    for _ in range(300):  # the block probe loses nothing that Myers would find
+        p = "".join(rng.choice("abc ") for _ in range(rng.randrange(5, 60)))
+        t, e = list("".join(rng.choice("abc ") for _ in range(8)) + p), len(p) // 10
+        for _ in range(rng.randrange(e + 2)):
+            i = rng.randrange(len(t))
+            t[i : i + rng.randrange(2)] = rng.choice(["", "x", "ab"])
+        blocks = [p[i : i + decontaminate.PROBE] for i in range(0, len(p) - decontaminate.PROBE + 1, decontaminate.PROBE)]
+        assert decontaminate.may_hold("".join(t), blocks, e) or decontaminate.myers(p, "".join(t))[0] > e
+
+
 def test_language(spark):
     rng = random.Random(1)
     words = {"aa": ["ka", "kala", "talo"], "bb": ["sch", "nicht", "zug"]}
