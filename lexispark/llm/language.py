@@ -20,6 +20,8 @@ TOP = 300
 # Profiles are learned from at most so many documents per language, those of smallest hash.
 SAMPLE = 1000
 UNKNOWN = "und"
+# A text is not in a learned language below this share of the score that all but LOW of that language's texts reach.
+SHARE, LOW = 0.5, 0.01
 
 
 @lru_cache(maxsize=1)
@@ -110,6 +112,42 @@ def predicted(text: Column, profiles: Profiles) -> Column:
     return predict(text)
 
 
+def limits(docs: DataFrame, profiles: Profiles, sample: int = SAMPLE) -> dict[tuple[str, int], float]:
+    """Least score of a text, per language and bit length of the text's length.
+
+    Calibrated on about ``sample`` held-out documents per language (by hash) that are recognised as what they are labelled.
+    """
+    held = docs.select("doc_id", "text", "lang").where(held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    share = held.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    chosen = held.join(F.broadcast(share), "lang").where(part < F.col("share"))
+    scored = chosen.select("lang", F.length(F.bin(F.length("text"))).alias("bits"), predicted(F.col("text"), profiles).alias("p"))
+    right = scored.where((F.col("p.lang_pred") == F.col("lang")) & (F.col("p.score") > 0))
+    # bounded: languages x 32
+    low = right.groupBy("lang", "bits").agg(F.percentile("p.score", F.lit(LOW)).alias("low")).collect()
+    return {(r["lang"], r["bits"]): SHARE * r["low"] for r in low}
+
+
+def recognised(text: Column, profiles: Profiles, least: dict[tuple[str, int], float]) -> Column:
+    """Whether a text is in a learned language: its score is above 0 and not below its limit, if there is one.
+
+    If no language could be learned, every text with a letter is.
+    """
+
+    def known(text: str | None) -> bool:
+        if not profiles.names:
+            return len(gram_counts(text)[0]) > 0
+        name, score = profiles.predict(text)
+        return score > 0 and score >= least.get((name, len(text).bit_length()), 0.0)
+
+    @F.pandas_udf("boolean")
+    def decide(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([known(t) for t in texts], dtype=bool)
+
+    return decide(text)
+
+
 def identify(docs: DataFrame, top: int = TOP, sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score.
 

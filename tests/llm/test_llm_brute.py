@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lexispark.llm import chat, decontaminate, graph, jaccard, language, neighbours, packing, pii, secrets, substring, urls
 from lexispark.llm.words import grams, slices, sliding_min
 
@@ -175,6 +176,30 @@ def test_language(spark):
     assert language.identify(frame(spark, rows[:0])).count() == 0
 
 
+def test_language_stage(spark):
+    import zlib
+
+    rng = random.Random(4)
+    words = {"aa": ["ka", "kala", "talo", "vene"], "bb": ["sch", "nicht", "zug", "der"]}
+    rows = [(i, " ".join(rng.choice(words[g]) for _ in range(rng.choice([4, 30]))), g) for i, g in enumerate(["aa", "bb"] * 80)]
+    noise = ["дом и сад " * 9, "".join(rng.choice("qxwjyfpm") for _ in range(60)), "qx wj pyf " * 9]  # an unlearned script, letter noise, an unlearned language
+    rows += [(200 + i, t, None) for i, t in enumerate(noise)] + [(300, None, "aa"), (301, "12 !", "bb"), (302, "", None), (None, "nicht zug der sch", None), (0, *rows[0][1:])]
+    docs = frame(spark, rows)
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in corpus_pipeline.language_id(spark, docs, "").collect())
+    profiles = language.learn(docs)
+    scores = {}
+    for i, t, g in rows:
+        name, score = profiles.predict(t)
+        if i is not None and zlib.crc32(str(i).encode()) % 3 == 1 and g == name and score > 0:
+            scores.setdefault((g, len(t).bit_length()), []).append(score)
+    least = {k: language.SHARE * np.percentile(v, 100 * language.LOW) for k, v in scores.items()}
+    want = [(i is None, i or 0) for i, t, _ in rows for name, score in [profiles.predict(t)] if score > 0 and score >= least.get((name, len(t).bit_length()), 0)]
+    assert got == sorted(want) == sorted([(False, i) for i in range(160)] + [(False, 0), (True, 0)])
+    unlabelled = corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert unlabelled.columns == docs.columns
+    assert sorted(r["doc_id"] or 0 for r in unlabelled.collect()) == sorted(i or 0 for i, t, _ in rows if any(c.isalpha() for c in t or ""))
+
+
 def test_packing(spark):
     rng = random.Random(2)
     rows = [(i, "w " * rng.choice([0, 3, 70, 100, 500]), None) for i in range(300)] + [(300, None, None), (7, "w", None), (None, "w w", None)]
