@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexispark.operators.scale import settle
+
 # Items are searched in blocks of at most about this many bytes, so that what a task holds does not grow with them.
 BLOCK_BYTES = 4 << 20
 # An edit spoils at most one of an item's disjoint blocks of so many characters.
@@ -87,7 +89,7 @@ def may_hold(stretch: str, blocks: list[str], edits: int) -> bool:
 class Matcher:
     """Search of a block of items; built once per task."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
+    def __init__(self, items: list[tuple[int | None, str]], error_rate: float):
         self.items = []
         owners: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
@@ -104,7 +106,7 @@ class Matcher:
         if owners:
             self.automaton.make_automaton()
 
-    def hits(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
+    def hits(self, text: str | None) -> list[tuple[int | None, int, int, int, int]]:
         """(item_id, distance, start, end, budget) of each item within its budget: the least distance, first place."""
         if not text or not self.items:
             return []
@@ -135,19 +137,23 @@ class Matcher:
                 distance, a, end = best
                 _, length = myers(backwards, text[a:end][::-1], anchored=True)
                 found.append((item_id, distance, end - length, end, edits))
-        return sorted(found)
+        return sorted(found, key=lambda hit: (hit[0] is None, hit[0] or 0, *hit[1:]))
+
 
+def item_blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
+    """The test items, in blocks of bounded size by a hash of their id and text, one collected at a time.
 
-def item_blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The test items, in blocks of bounded size by a hash of their id and text. Rows without id or text are left out."""
-    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
+    Rows without text are left out, those that only lack an id are not.
+    """
+    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     count = 1 + size // BLOCK_BYTES
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
-    return [[(r[0], r[1]) for r in items.where(block == n).orderBy("item_id", "text").collect()] for n in range(count)]
+    for n in range(count):
+        yield [(r[0], r[1]) for r in items.where(block == n).orderBy("item_id", "text").collect()]
 
 
-def hits_column(text: Column, block: list[tuple[int, str]], error_rate: float) -> Column:
+def hits_column(text: Column, block: list[tuple[int | None, str]], error_rate: float) -> Column:
     """Hits of one block of items in each text, as an array column; none for null and empty texts."""
 
     @F.pandas_udf(_HIT)
@@ -164,21 +170,20 @@ def leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1) -> DataFra
 
     ``start`` and ``end`` count characters of the normalised text. ``docs`` has doc_id and text, ``items`` item_id and text;
     other columns are not read. Null and empty texts hold nothing, empty items are in nothing. Rows with a null doc_id
-    are reported with it; repeated rows are reported each. Of several places the one of least distance counts, the
+    are reported with it, and so are items with a null item_id; repeated rows are reported each. Of several places the one of least distance counts, the
     first of equals; of several texts under one item_id the least distance. Empty tables give an empty result.
     """
-    parts = []
+    found = None
     for block in item_blocks(items):
         hits = docs.select("doc_id", F.explode(hits_column(F.col("text"), block, error_rate)).alias("hit"))
-        parts.append(hits.select("doc_id", "hit.item_id", "hit.distance", "hit.budget", "hit.start", "hit.end"))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+        part = settle(hits.select("doc_id", "hit.item_id", "hit.distance", "hit.budget", "hit.start", "hit.end"), "leaks")
+        found = part if found is None else found.unionByName(part)
     return found
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, error_rate: float = 0.1) -> DataFrame:
     """The rows of ``docs``, with all columns, whose text holds no test item."""
-    for block in item_blocks(items):
+    for n, block in enumerate(item_blocks(items)):
+        docs = settle(docs, "clean") if n else docs  # the block before is done with
         docs = docs.where(F.size(hits_column(F.col("text"), block, error_rate)) == 0)
     return docs

@@ -165,6 +165,20 @@ def test_leaks_at_the_stated_budget(spark):
         assert decontaminate.may_hold("".join(t), blocks, e) or decontaminate.myers(p, "".join(t))[0] > e
 
 
+def test_leaks_one_block_at_a_time(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [sentence(rng, 20, 900) for _ in range(6)]
+    items = spark.createDataFrame([(i if i % 2 else None, t) for i, t in enumerate(texts)] + [(7, None)], "item_id bigint, text string")
+    docs = frame(spark, [(i, f"a {t} b", None) for i, t in enumerate(texts)] + [(9, "clean", None), (None, texts[0], None)])
+    for block_bytes in (decontaminate.BLOCK_BYTES, 600):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+        blocks = decontaminate.item_blocks(items)
+        assert len(next(blocks)) < 7 and not isinstance(blocks, list)
+        got = [(r["doc_id"], r["item_id"], r["distance"]) for r in decontaminate.leaks(docs, items).collect()]
+        assert sorted(got, key=repr) == sorted([(i, i if i % 2 else None, 0) for i in range(6)] + [(None, None, 0)], key=repr)
+        assert [r["doc_id"] for r in decontaminate.without_leaks(docs, items).collect()] == [9]
+
+
 def test_language(spark):
     rng = random.Random(1)
     words = {"aa": ["ka", "kala", "talo"], "bb": ["sch", "nicht", "zug"]}
