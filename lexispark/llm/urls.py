@@ -155,13 +155,13 @@ def _sql() -> str:
         fold = f"list_transform([{fold}], lambda y: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)[1]"
     return f"""
 WITH cut AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest, coalesce(url, '') AS url FROM pages
 ), named AS (
-  SELECT page_id, coalesce({host}, '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1), '') AS path FROM cut
+  SELECT page_id, url, coalesce({host}, '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1), '') AS path FROM cut
 ), rows AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS by_rule FROM named),
 urls AS MATERIALIZED (
   SELECT url, verdict, xor({crc.format(step=fold)}, 4294967295) % 4 = 0 AS held
-  FROM (SELECT DISTINCT host || path AS url, by_rule AS verdict FROM rows)
+  FROM (SELECT DISTINCT url, by_rule AS verdict FROM rows)
 ), grams AS MATERIALIZED (
   SELECT url, verdict, held, substr(repeat(chr(2), {ORDER - 1}) || url || chr(3), i, {ORDER}) AS gram
   FROM (SELECT *, unnest(range(1, length(url) + 2)) AS i FROM urls)
@@ -184,7 +184,7 @@ quality AS (
 )
 SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN floor(ratio / {BIN}.0) >= least THEN 'allow' ELSE 'block' END) AS verdict,
        CASE WHEN by_rule IS NULL THEN ratio END AS ratio
-FROM rows LEFT JOIN (SELECT url, ratio FROM scores WHERE verdict IS NULL) s ON by_rule IS NULL AND s.url = host || path, least
+FROM rows LEFT JOIN (SELECT url, ratio FROM scores WHERE verdict IS NULL) s ON by_rule IS NULL AND s.url = rows.url, least
 """
 
 
