@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import chat, decontaminate, jaccard, language, negatives, neighbours, packing, pii, secrets, substring, urls
+from lexispark.llm import chat, decontaminate, jaccard, language, mixing, negatives, neighbours, packing, pii, secrets, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,3 +164,59 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+MIX_SQL = r"""
+WITH sized AS MATERIALIZED (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place,
+         ([3.0, 1.0, 2.0])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM sources
+), held AS (
+  SELECT *, 1.5 * sum(source_size) OVER () AS tokens, sum(weight) OVER () AS weights,
+         sum(2.0 * source_size) OVER w AS caps, sum(weight) OVER w AS weighs
+  FROM weighed WINDOW w AS (ORDER BY 2 * source_size / weight, place)
+), level AS (
+  SELECT greatest(max(tokens::DOUBLE / weights), max((tokens - caps)::DOUBLE / (weights - weighs)) FILTER (weighs < weights)) AS level FROM held
+), aimed AS MATERIALIZED (
+  SELECT source, source_size, place, least(2.0::DOUBLE * source_size, level * weight) AS target FROM weighed, level
+), copies AS (
+  SELECT s.*, place, source_size, target, row_number() OVER (PARTITION BY s.source, doc_id, size) - 1 AS copy
+  FROM sized s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source
+), named AS (
+  SELECT *, concat_ws('|', 42, place, coalesce(doc_id::VARCHAR, '-'), size, copy) AS token FROM copies
+), placed AS MATERIALIZED (
+  SELECT *, ('0x' || substr(md5(token), 1, 8))::BIGINT % (source_size // 1000000 + 1) AS shard, md5('order|' || token) AS ord FROM named
+), streams AS MATERIALIZED (
+  SELECT *, sum(size) OVER (PARTITION BY place, shard ORDER BY ord) AS ends FROM placed
+), shards AS MATERIALIZED (
+  SELECT place, shard, ceil(sum(size) / 16)::BIGINT AS blocks, any_value(source_size) AS source_size, any_value(target) AS target
+  FROM placed GROUP BY ALL HAVING sum(size) > 0
+), worth AS (
+  SELECT place, sum(blocks)::BIGINT AS blocks, any_value(target) / any_value(source_size) * sum(blocks) AS worth FROM shards GROUP BY place
+), source_quotients AS (
+  SELECT place, blocks, worth / (2 * k - 1) AS q, k FROM (SELECT *, unnest(range(1, 2 * blocks + 2)) AS k FROM worth)
+), source_quota AS (
+  SELECT place, least(count(*), any_value(2 * blocks)) AS quota
+  FROM (SELECT * FROM source_quotients QUALIFY row_number() OVER (ORDER BY q DESC, place, k) <= (SELECT round(sum(worth::DECIMAL(38,6))) FROM worth)) GROUP BY place
+), shard_quotients AS (
+  SELECT place, shard, blocks, quota, blocks / (2 * k - 1) AS q, k
+  FROM (SELECT shards.*, quota, unnest(range(1, 2 * blocks + 2)) AS k FROM shards JOIN source_quota USING (place))
+), shard_quota AS (
+  SELECT place, shard, least(count(*), any_value(2 * blocks)) AS quota
+  FROM (SELECT * FROM shard_quotients QUALIFY row_number() OVER (PARTITION BY place ORDER BY q DESC, shard, k) <= quota) GROUP BY ALL
+), blocks AS MATERIALIZED (
+  SELECT place, shard, b, quota // blocks + (row_number() OVER (PARTITION BY place, shard ORDER BY md5(concat_ws('|', 42, place, shard, b))) <= quota % blocks)::INT AS times
+  FROM (SELECT shards.*, unnest(range(blocks)) AS b FROM shards) JOIN shard_quota USING (place, shard)
+), taken AS (
+  SELECT place, shard, ord, sum(times * (least(ends, 16 * b + 16) - greatest(ends - size, 16 * b)))::BIGINT AS taken
+  FROM streams JOIN blocks USING (place, shard) WHERE 16 * b < ends AND 16 * b + 16 > ends - size GROUP BY ALL
+)
+SELECT doc_id, source, size, source_size, target, coalesce(taken, 0) AS taken FROM streams LEFT JOIN taken USING (place, shard, ord)
+"""
+
+
+@register("op12_source_mix", MIX_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), packing.word_count(F.col("text")))
