@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import chat, decontaminate, jaccard, language, mixing, negatives, neighbours, packing, pii, secrets, substring, urls
+from lexispark.llm import chat, decontaminate, jaccard, language, merkle, mixing, negatives, neighbours, packing, pii, secrets, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,3 +220,64 @@ SELECT doc_id, source, size, source_size, target, coalesce(taken, 0) AS taken FR
 @register("op12_source_mix", MIX_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), packing.word_count(F.col("text")))
+
+
+MERKLE_SQL = r"""
+WITH RECURSIVE rows AS MATERIALIZED (
+  SELECT doc_id, source,
+         concat_ws('', {fields}) AS head, {text} AS body,
+         CASE WHEN {crc} % 2 = 0 THEN {cut} ELSE {text} END AS body_after
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT doc_id, source, sha256(head || body) AS leaf, sha256(head || body_after) AS after,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, sha256(head || body)) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM rows
+), nodes AS (
+  SELECT 0 AS level, source, i, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT level + 1, source, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY level, source, i // 3, n
+), subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, i, subroot AS h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM upper WHERE n > 1 GROUP BY level, i // 3, n
+), steps AS (
+  SELECT x.level, x.source, x.i, string_agg(CASE WHEN y.i = x.i THEN '*' ELSE y.h END, '' ORDER BY y.i) AS step
+  FROM nodes x JOIN nodes y ON x.level = y.level AND x.source IS NOT DISTINCT FROM y.source AND x.i // 3 = y.i // 3 WHERE x.n > 1 GROUP BY ALL
+), upper_steps AS (
+  SELECT x.level, x.i, string_agg(CASE WHEN y.i = x.i THEN '*' ELSE y.h END, '' ORDER BY y.i) AS step
+  FROM upper x JOIN upper y ON x.level = y.level AND x.i // 3 = y.i // 3 WHERE x.n > 1 GROUP BY ALL
+), paths AS (
+  SELECT l.source, l.i, list(step ORDER BY level) AS path FROM leaves l JOIN steps s ON s.source IS NOT DISTINCT FROM l.source AND s.i = l.i // (3 ** s.level)::BIGINT GROUP BY ALL
+), upper_paths AS (
+  SELECT b.source, list(step ORDER BY level) AS path FROM subroots b JOIN upper_steps s ON s.i = b.i // (3 ** s.level)::BIGINT GROUP BY ALL
+), proved AS (
+  SELECT l.*, subroot, (SELECT h FROM upper WHERE n = 1) AS root, coalesce(p.path, []) || coalesce(u.path, []) AS path
+  FROM leaves l JOIN subroots b ON b.source IS NOT DISTINCT FROM l.source
+  LEFT JOIN paths p ON p.source IS NOT DISTINCT FROM l.source AND p.i = l.i LEFT JOIN upper_paths u ON u.source IS NOT DISTINCT FROM l.source
+), folded AS (
+  SELECT *, list_reduce(list_prepend(after, path), lambda h, step: sha256(replace(step, '*', h))) AS folded_root FROM proved
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '*', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""
+
+
+def _merkle_sql() -> str:
+    def framed(value: str) -> str:
+        return f"coalesce(octet_length({value}::BLOB) || ':' || {value}, '-')"
+
+    fold = "xor(a, x)"
+    for _ in range(8):
+        fold = f"list_transform([{fold}], lambda y: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)[1]"
+    digits = "list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda a, x: {fold}), 4294967295)"
+    # a text becomes bytes by encode(), as a cast would read backslashes as escapes
+    text, cut = (f"coalesce(octet_length(encode({t})) || ':' || {t}, '-')" for t in ("text", r"replace(text, chr(10), '')"))
+    fields = ", ".join(framed(c) for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR"))
+    return MERKLE_SQL.replace("{fields}", fields).replace("{text}", text).replace("{cut}", cut).replace("{crc}", crc)
+
+
+@register("op13_merkle_manifest", _merkle_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(table(spark, folder, "documents"))
