@@ -90,6 +90,8 @@ class Search:
     def __init__(self, anchors: Rows, low: np.ndarray, high: np.ndarray, k: int, same_label: bool):
         self.anchors, self.low, self.high, self.k, self.same = anchors, low, high, k, same_label
         self.bands = low.shape[1]
+        # bounds know no end of the range at which scores stay
+        self.from_, self.to = np.where(low == -_FULL, -np.inf, low.astype(float)), np.where(high == _FULL, np.inf, high.astype(float))
         self.best = [np.zeros(0, np.int64) for _ in range(3)]  # anchor and band, score, id; in order
         self.least = np.full(low.shape, -np.inf)  # k-th best score of each band so far, or a bound below it
 
@@ -109,8 +111,7 @@ class Search:
         dense = low.ndim == 2
         yes = np.zeros(low.shape, bool)
         for b in range(self.bands):
-            least = np.maximum(self.low[i, b].astype(float), self.least[i, b])
-            most = self.high[i, b].astype(float)
+            least, most = np.maximum(self.from_[i, b], self.least[i, b]), self.to[i, b]
             yes |= (high >= (least[:, None] if dense else least)) & (low <= (most[:, None] if dense else most))
         return yes
 
@@ -121,8 +122,8 @@ class Search:
         for b in range(self.bands):
             few = np.flatnonzero(np.isneginf(self.least[:, b]))
             if len(few):
-                inside = open_[few] & (low[few] >= self.low[few, b, None]) & (high[few] <= self.high[few, b, None])
-                certain = np.where(inside, low[few], -np.inf)
+                inside = open_[few] & (low[few] >= self.from_[few, b, None]) & (high[few] <= self.to[few, b, None])
+                certain = np.where(inside, np.minimum(low[few], float(_FULL)), -np.inf)
                 self.least[few, b] = np.partition(certain, -self.k, axis=1)[:, -self.k]
 
     def meet(self, rows: Rows) -> None:
