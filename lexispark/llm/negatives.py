@@ -25,10 +25,11 @@ from lexispark.operators.scale import lookup_join, settle
 
 PART_BYTES = 32 << 20  # of vectors that a task keeps
 LEAST_PART = 1024  # rows; smaller tables are not split further for more tasks
-ANCHOR_TILE, CANDIDATE_TILE = 256, 4096
+ANCHOR_TILE, CANDIDATE_TILE = 256, 1024
 SPLIT = 4  # segments that one segment becomes on the next level
 PAIRS = 1 << 21  # components of pairs that are gathered at once
-SPARSE = 1 / 8  # share of pairs of a tile below which they are bounded one by one
+SPARSE = 1 / 16  # share of pairs of a tile below which they are bounded one by one
+IDLE = 0.9  # a level that leaves a larger share of the open pairs is passed over in the following tiles
 _FULL = np.int64(2**63 - 1)
 _FOUND = "anchor_id bigint, band int, vec_id bigint, score bigint"
 
@@ -74,11 +75,16 @@ class Rows:
         return rows
 
 
+def _small(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether inner products of these whole numbers are exact in double precision."""
+    return not a.size or not b.size or a.shape[1] * np.abs(a).max() * np.abs(b).max() < 2**53
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of rows of whole numbers; beyond the range of 64 bits they stay at its ends."""
     if not a.size:
         return np.zeros(len(a), np.int64)
-    if a.shape[1] * np.abs(a).max() * np.abs(b).max() < 2**53:
+    if _small(a, b):
         return np.einsum("ij,ij->i", a, b).astype(np.int64)
     exact = (sum(int(x) * int(y) for x, y in zip(r, s)) for r, s in zip(a, b))
     return np.array([max(-int(_FULL), min(int(_FULL), x)) for x in exact], np.int64)
@@ -93,6 +99,7 @@ class Search:
         # bounds know no end of the range at which scores stay
         self.from_, self.to = np.where(low == -_FULL, -np.inf, low.astype(float)), np.where(high == _FULL, np.inf, high.astype(float))
         self.best = [np.zeros(0, np.int64) for _ in range(3)]  # anchor and band, score, id; in order
+        self.idle: set[int] = set()  # levels that left nearly all pairs of a tile open
         self.least = np.full(low.shape, -np.inf)  # k-th best score of each band so far, or a bound below it
 
     def _bounds(self, rows: Rows, level: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,13 +113,15 @@ class Search:
             around[a : a + step] = np.einsum("ij,ij->i", deviation[x], d[y])
         return middle, around + 1e-10 * self.anchors.norm[i] * rows.norm[j]
 
-    def _chance(self, low: np.ndarray, high: np.ndarray, i: np.ndarray | slice) -> np.ndarray:
-        """Whether scores within the bounds can be among the best of a band of their anchor."""
-        dense = low.ndim == 2
+    def _hull(self) -> tuple[np.ndarray, np.ndarray]:
+        """Per anchor the least and the largest score that any of its bands still takes."""
+        return np.maximum(self.from_, self.least).min(axis=1), self.to.max(axis=1)
+
+    def _chance(self, low: np.ndarray, high: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Whether pairs of scores within the bounds can be among the best of a band of their anchor."""
         yes = np.zeros(low.shape, bool)
         for b in range(self.bands):
-            least, most = np.maximum(self.from_[i, b], self.least[i, b]), self.to[i, b]
-            yes |= (high >= (least[:, None] if dense else least)) & (low <= (most[:, None] if dense else most))
+            yes |= (high >= np.maximum(self.from_[i, b], self.least[i, b])) & (low <= self.to[i, b])
         return yes
 
     def _raise(self, low: np.ndarray, high: np.ndarray, open_: np.ndarray) -> None:
@@ -129,37 +138,57 @@ class Search:
     def meet(self, rows: Rows) -> None:
         same = self.anchors.labels[:, None] == rows.labels[None, :]
         open_ = (same == self.same) & (self.anchors.ids[:, None] != rows.ids[None, :])
-        pairs = None
+        left, pairs = np.count_nonzero(open_), None
         for level, (mean, deviation) in enumerate(rows.levels):
-            if pairs is None and open_.mean() >= SPARSE:
+            if level in self.idle:
+                continue
+            if pairs is None and left >= SPARSE * open_.size:
                 m, d = self.anchors.levels[level]
-                middle = m @ mean.T
-                around = d @ deviation.T + 1e-10 * self.anchors.norm[:, None] * rows.norm[None, :]
-                self._raise(middle - around, middle + around, open_)
-                open_ &= self._chance(middle - around, middle + around, slice(None))
+                middle, high = m @ mean.T, d @ deviation.T
+                high += (1e-10 * self.anchors.norm)[:, None] * rows.norm[None, :]
+                low = middle - high
+                high += middle
+                self._raise(low, high, open_)
+                least, most = self._hull()
+                open_ &= high >= least[:, None]
+                open_ &= low <= most[:, None]
+                now = np.count_nonzero(open_)
             else:
                 pairs = np.nonzero(open_) if pairs is None else pairs
                 middle, around = self._bounds(rows, level, *pairs)
                 chance = self._chance(middle - around, middle + around, pairs[0])
                 pairs = pairs[0][chance], pairs[1][chance]
-        self._keep(rows, *(np.nonzero(open_) if pairs is None else pairs))
-
-    def _keep(self, rows: Rows, i: np.ndarray, j: np.ndarray) -> None:
+                now = len(pairs[0])
+            if level + 1 < len(rows.levels) and now > IDLE * left and not np.isneginf(self.least).any():
+                self.idle.add(level)
+            left = now
+        if pairs is None and left >= SPARSE * open_.size and _small(self.anchors.codes, rows.codes):
+            pairs = np.nonzero(open_)
+            self._keep(rows, *pairs, (self.anchors.codes @ rows.codes.T)[pairs].astype(np.int64))
+            return
+        i, j = np.nonzero(open_) if pairs is None else pairs
         step = max(1, PAIRS // max(1, rows.codes.shape[1]))
         for a in range(0, len(i), step):
             x, y = i[a : a + step], j[a : a + step]
-            score = products(self.anchors.codes[x], rows.codes[y])
-            for b in range(self.bands):
-                inside = (score >= self.low[x, b]) & (score <= self.high[x, b])
-                new = (x[inside] * self.bands + b, score[inside], rows.ids[y[inside]])
-                band, found, ids = (np.concatenate(both) for both in zip(self.best, new))
-                order = np.lexsort((ids, -found, band))
-                band, found, ids = band[order], found[order], ids[order]
-                place = np.arange(len(band)) - np.searchsorted(band, band)
-                first = place < self.k
-                self.best = [band[first], found[first], ids[first]]
-                full = place == self.k - 1
-                self.least[band[full] // self.bands, band[full] % self.bands] = found[full]
+            self._keep(rows, x, y, products(self.anchors.codes[x], rows.codes[y]))
+
+    def _keep(self, rows: Rows, i: np.ndarray, j: np.ndarray, score: np.ndarray) -> None:
+        least, most = self._hull()
+        within = (score >= least[i]) & (score <= most[i])
+        i, j, score = i[within], j[within], score[within]
+        for b in range(self.bands):
+            inside = (score >= self.low[i, b]) & (score <= self.high[i, b]) & (score >= self.least[i, b])
+            if not inside.any():
+                continue
+            new = (i[inside] * self.bands + b, score[inside], rows.ids[j[inside]])
+            band, found, ids = (np.concatenate(both) for both in zip(self.best, new))
+            order = np.lexsort((ids, -found, band))
+            band, found, ids = band[order], found[order], ids[order]
+            place = np.arange(len(band)) - np.searchsorted(band, band)
+            first = place < self.k
+            self.best = [band[first], found[first], ids[first]]
+            full = place == self.k - 1
+            self.least[band[full] // self.bands, band[full] % self.bands] = found[full]
 
     def found(self) -> pa.RecordBatch:
         band, score, ids = self.best
