@@ -14,7 +14,7 @@ import hashlib
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,17 +152,17 @@ def mix(
     claims = sums.select("place", "shard", "blocks", "tokens").join(quotas, "place")
     given = seats(claims, ("place",), "blocks", [F.col("shard")], "of_source").select("place", "shard", F.least("quota", most_epochs * F.col("blocks")).alias("quota"))
 
-    def take(key: tuple, rows: pd.DataFrame, quota: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("at", kind="stable")
-        n = rows["size"].to_numpy(np.int64)
+    def take(key: tuple, rows: pa.Table, quota: pa.Table) -> pa.Table:
+        rows = rows.sort_by("at")
+        n = rows["size"].to_numpy()
         ends = np.cumsum(n)
         blocks = -(-int(ends[-1]) // block_tokens) if len(n) else 0
         times = np.zeros(blocks + 1, np.int64)
-        if blocks and len(quota):
-            full, rest = divmod(int(quota["quota"].iloc[0]), blocks)
+        if blocks and quota.num_rows:
+            full, rest = divmod(quota["quota"][0].as_py(), blocks)
             times[:blocks] = full
             if rest:
-                stem = f"{seed}|{key[0]}|{key[1]}|"
+                stem = f"{seed}|{key[0].as_py()}|{key[1].as_py()}|"
                 order = sorted(range(blocks), key=lambda b: hashlib.md5(f"{stem}{b}".encode()).digest())
                 times[order[:rest]] += 1
         before = np.concatenate([[0], np.cumsum(times[:blocks])]) * block_tokens  # tokens taken before each block
@@ -170,10 +170,10 @@ def mix(
         def taken_until(x: np.ndarray) -> np.ndarray:
             return before[x // block_tokens] + times[x // block_tokens] * (x % block_tokens)
 
-        rows["taken"] = taken_until(ends) - taken_until(ends - n)
-        return rows[["doc_id", "source", "size", "source_size", "target", "taken"]].astype({"doc_id": "Int64", "taken": "int64"})
+        taken = pa.array(taken_until(ends) - taken_until(ends - n), pa.int64())
+        return rows.select(["doc_id", "source", "size", "source_size", "target"]).append_column("taken", taken)
 
     # a document without tokens has no place in a stream
     streams = placed.where("size > 0").groupBy("place", "shard").cogroup(given.groupBy("place", "shard"))
-    taken = streams.applyInPandas(take, "doc_id bigint, source string, size bigint, source_size bigint, target double, taken bigint")
+    taken = streams.applyInArrow(take, "doc_id bigint, source string, size bigint, source_size bigint, target double, taken bigint")
     return taken.unionByName(placed.where("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken")))

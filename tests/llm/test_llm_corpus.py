@@ -102,7 +102,7 @@ def test_mix(spark):
     rng = np.random.default_rng(5)
     rows = [(i, "w " * int(rng.integers(1, 90)), "en", s, 1) for i in range(400) for s in [["b", "a", "é", None, "a"][i % 5]]]
     rows += [(1000, "hot " * 200, "en", "a", 1)] * 30 + [(None, "x y", "en", "b", 1)] * 40  # repeated rows
-    rows += [(1001, "long " * 5000, "en", "c", 1), (1002, None, "en", "c", 1), (1003, " \n", None, None, None), (1004, "", "en", "only blank", 1)]
+    rows += [(1001, "long " * 5000, "en", "c", 1), (2**60 + 1, "big id", "en", "b", 1), (1002, None, "en", "c", 1), (1003, " \n", None, None, None), (1004, "", "en", "only blank", 1)]
     size = F.regexp_count("text", F.lit(r"\S+"))
     got = mixing.mix(docs(spark, rows), size, shard_tokens=4000).collect()
     assert Counter((r["doc_id"], r["source"], r["size"]) for r in got) == Counter((i, s, len((t or "").split())) for i, t, _, s, _ in rows)
