@@ -399,3 +399,46 @@ check("r07_cosine_tfidf", cosine_sql("SELECT doc_id, idx, v FROM tfidf"))(cosine
 def bm25_similar(spark, folder):
     similar = bm25(spark, folder).similar(processed_docs(spark, folder), 5, 25)
     return similar.withColumn("score", F.round("score", 4))
+
+
+@lru_cache(maxsize=4)
+def posting_index(spark, folder):
+    return bm25(spark, folder).index(processed_docs(spark, folder))
+
+
+@check("r02_index_scores", f"WITH {SCORE_CTES} SELECT query_id, doc_id, round(score, 4) AS score FROM scores")
+def index_scores(spark, folder):
+    scores = posting_index(spark, folder).scores(benchmark_queries(spark, folder))
+    return scores.withColumn("score", F.round("score", 4))
+
+
+@check(
+    "r03_index_rank",
+    f"""WITH {SCORE_CTES} {ranked_sql('''
+      SELECT q.query_id, d.doc_id, coalesce(s.score, 0) AS score FROM asked q CROSS JOIN docs d
+      LEFT JOIN scores s ON s.query_id = q.query_id AND s.doc_id = d.doc_id''', 10)}""",
+)
+def index_rank(spark, folder):
+    ranked = posting_index(spark, folder).rank(benchmark_queries(spark, folder), 10)
+    return ranked.withColumn("score", F.round("score", 4))
+
+
+def document_queries(spark, folder):
+    """The first words of every document: one query for each, so a set that grows with the corpus."""
+    words = F.array_join(F.slice(F.split("processed", " "), 1, 8), " ")
+    return processed_docs(spark, folder).select(F.col("doc_id").alias("query_id"), words.alias("query"))
+
+
+@check(
+    "r03_rank_document_queries",
+    f"""WITH {RANK_CTES},
+    asked AS (SELECT doc_id AS query_id, string_split(processed, ' ')[1:8] AS words FROM docs),
+    qterms AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest(words) AS term FROM asked) GROUP BY ALL),
+    scores AS (SELECT query_id, doc_id, sum(qtf * part) AS score FROM qterms JOIN gain USING (term) GROUP BY ALL)
+    {ranked_sql('''
+      SELECT q.query_id, d.doc_id, coalesce(s.score, 0) AS score FROM asked q CROSS JOIN docs d
+      LEFT JOIN scores s ON s.query_id = q.query_id AND s.doc_id = d.doc_id''', 5)}""",
+)
+def rank_document_queries(spark, folder):
+    ranked = posting_index(spark, folder).rank(document_queries(spark, folder), 5)
+    return ranked.withColumn("score", F.round("score", 4))

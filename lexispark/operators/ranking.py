@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import ElementwiseProduct
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexispark.functions.tokens import term_bag, tokenize_whitespace
-from lexispark.operators.scale import first_rows, fits_broadcast, lookup_join, number_rows, settle
+from lexispark.operators.blockmax import SCORE_DIGITS, Asked, Gain, index_reader, index_table, query_sets, searched, texts_reader, totals
+from lexispark.operators.scale import TASK_LOCAL_TOP_K, first_rows, fits_broadcast, lookup_join, number_rows, settle
 from lexispark.operators.vectors import BagModel, stored_values
 
-# Scores are summed in no fixed order; ranking compares them at this many digits, so that exact copies tie.
-SCORE_DIGITS = 9
-
 
 def _tokens(column: str):
     return tokenize_whitespace(F.coalesce(F.col(column), F.lit("")))
@@ -55,10 +55,28 @@ class BM25:
         gain = F.col("tf") * (self.k1 + 1) / (F.col("tf") + self.k1 * length)
         return matched.select("query_id", doc_id, "term", (F.col("weight") * gain).alias("score"))
 
+    @property
+    def gain(self) -> Gain:
+        return Gain(self.k1, self.b, self.mean_length)
+
+    def _asked(self, queries: DataFrame, text: str) -> list[Asked]:
+        asked = settle(queries.select("query_id", text), "queries")
+        return query_sets(asked, self.weighted_queries(asked, text))
+
+    def _texts(self, docs: DataFrame, doc_id: str) -> DataFrame:
+        return docs.select(doc_id, _tokens(self.text).alias("_tokens"))
+
+    def index(self, docs: DataFrame, doc_id: str = "doc_id") -> PostingIndex:
+        """The written inverted index of a corpus, for many query sets. No text is shuffled to make it."""
+        table = settle(index_table(self._texts(docs, doc_id), self.gain), "postings")
+        return PostingIndex(self, table, doc_id)
+
     def scores(self, docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str = "query") -> DataFrame:
         """Scores of all matching (query, document) pairs; a pair that shares no term scores 0 and has no row."""
-        parts = self.contributions(docs, self.weighted_queries(queries, text), doc_id)
-        return parts.groupBy("query_id", doc_id).agg(F.sum("score").alias("score"))
+        return self._scores(self._texts(docs, doc_id), texts_reader(self.gain), queries, docs.schema[doc_id].dataType, doc_id, text)
+
+    def _scores(self, source: DataFrame, read: Callable, queries: DataFrame, kind: T.DataType, doc_id: str, text: str) -> DataFrame:
+        return searched(source, read, self._asked(queries, text), queries.schema["query_id"].dataType, kind, doc_id, None)
 
     def rank(
         self,
@@ -72,23 +90,19 @@ class BM25:
 
         Where fewer than ``top_k`` documents score above zero, documents with score 0 fill up in id order.
         """
+        return self._rank(self._texts(docs, doc_id), texts_reader(self.gain), docs, queries, top_k, doc_id, text)
+
+    def _rank(self, source: DataFrame, read: Callable, docs: DataFrame, queries: DataFrame, top_k: int | None, doc_id: str, text: str) -> DataFrame:
         columns = ["query_id", "rank", doc_id, "score"]
         order = [F.round("score", SCORE_DIGITS).desc(), F.col(doc_id)]
-        if not top_k:
-            return self._rank_with_zeros(docs, queries, self.n_docs, order, doc_id, text).select(*columns)
-        # top_k rows per query are kept; the scores of all other pairs are never written
-        scores = self.scores(docs, queries, doc_id, text)
-        best = settle(first_rows(scores, order, top_k, "rank", ["query_id"]).select(*columns), "ranked")
-        positive = best.where(F.col("score") > 0).groupBy("query_id").agg(F.count("*").alias("positive"))
-        full = positive.where(F.col("positive") == top_k).select("query_id")
-        short = settle(queries.join(full, "query_id", "left_anti"), "short-queries")
-        if short.isEmpty():
-            return best
-        filled = self._rank_with_zeros(docs, short, top_k, order, doc_id, text).select(*columns)
-        return best.join(short.select("query_id").distinct(), "query_id", "left_anti").select(*columns).unionByName(filled)
-
-    def _rank_with_zeros(self, docs, queries, wanted: int, order, doc_id: str, text: str) -> DataFrame:
-        scored = settle(self.scores(docs, queries, doc_id, text), "scores")
+        kind = docs.schema[doc_id].dataType
+        if not top_k or top_k > TASK_LOCAL_TOP_K:
+            scored = settle(self._scores(source, read, queries, kind, doc_id, text), "scores")
+            return self._rank_with_zeros(docs, queries, scored, top_k or self.n_docs, order, doc_id).select(*columns)
+        best = searched(source, read, self._asked(queries, text), queries.schema["query_id"].dataType, kind, doc_id, top_k)
+        return first_rows(best, order, top_k, "rank", ["query_id"]).select(*columns)
+
+    def _rank_with_zeros(self, docs: DataFrame, queries: DataFrame, scored: DataFrame, wanted: int, order, doc_id: str) -> DataFrame:
         matched = scored.groupBy("query_id").agg(F.count("*").alias("matched"))
         counts = queries.select("query_id").distinct().join(matched, "query_id", "left").na.fill(0, ["matched"])
         every = scored.unionByName(self._unmatched(docs, scored, counts, wanted, doc_id))
@@ -110,21 +124,24 @@ class BM25:
         )
 
     def summary(self, docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str = "query") -> DataFrame:
-        """Mean and maximum over the whole query x corpus block, with the zero pairs counted, not materialized."""
+        """Mean and maximum over the whole query x corpus block, with the zero pairs counted; null without queries."""
+        return self._summary(self._texts(docs, doc_id), texts_reader(self.gain), queries, text)
+
+    def _summary(self, source: DataFrame, read: Callable, queries: DataFrame, text: str) -> DataFrame:
         pairs = F.lit(self.n_docs * queries.count()).cast("bigint")
-        scored = self.scores(docs, queries, doc_id, text).agg(
-            F.count("*").alias("matched"),
-            F.count_if(F.col("score") != 0).alias("nonzero"),
-            F.coalesce(F.sum("score"), F.lit(0.0)).alias("total"),
-            F.max("score").alias("best"),
+        scored = totals(source, read, self._asked(queries, text)).agg(
+            F.coalesce(F.sum("matched"), F.lit(0)).alias("matched"),
+            F.coalesce(F.sum("nonzero"), F.lit(0)).alias("nonzero"),
+            F.coalesce(F.sum("total"), F.lit(0.0)).alias("total"),
+            F.max("best").alias("best"),
         )
         best = F.when(F.col("matched") < pairs, F.greatest("best", F.lit(0.0))).otherwise(F.col("best"))
         return scored.select(
             pairs.alias("n_pairs"),
             F.col("nonzero").alias("n_nonzero"),
-            (F.col("total") / pairs).alias("mean_score"),
+            F.try_divide("total", pairs).alias("mean_score"),
             best.alias("max_score"),
-            (1 - F.col("nonzero") / pairs).alias("sparsity"),
+            (1 - F.try_divide("nonzero", pairs)).alias("sparsity"),
         )
 
     def similar(self, docs: DataFrame, document: int, top_k: int, doc_id: str = "doc_id") -> DataFrame:
@@ -135,6 +152,29 @@ class BM25:
         return self.rank(docs, query, top_k, doc_id)
 
 
+@dataclass(frozen=True)
+class PostingIndex:
+    """A corpus as a written table of segments, searched without reading a text again."""
+
+    model: BM25
+    table: DataFrame
+    doc_id: str = "doc_id"
+
+    @property
+    def _id_type(self) -> T.DataType:
+        return self.table.schema["ids"].dataType.elementType
+
+    def scores(self, queries: DataFrame, text: str = "query") -> DataFrame:
+        return self.model._scores(self.table, index_reader, queries, self._id_type, self.doc_id, text)
+
+    def rank(self, queries: DataFrame, top_k: int | None = None, text: str = "query") -> DataFrame:
+        docs = self.table.select(F.explode("ids").alias(self.doc_id))
+        return self.model._rank(self.table, index_reader, docs, queries, top_k, self.doc_id, text)
+
+    def summary(self, queries: DataFrame, text: str = "query") -> DataFrame:
+        return self.model._summary(self.table, index_reader, queries, text)
+
+
 def fit_bm25(docs: DataFrame, text: str = "processed", k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> BM25:
     """Document frequencies and idf of every whitespace token: ln(N - df + 0.5) - ln(df + 0.5).
 
