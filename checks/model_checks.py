@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.base import LABELLED_SQL, PREDICTIONS_SQL, check, labelled, predictions, table
 from checks.table_checks import split_sql
-from checks.vector_checks import CTES, fitted, texts, vocabulary_ctes
+from checks.vector_checks import CTES, beyond, fitted, texts, vocabulary_ctes
 from lexispark.config import TrainConfig
 from lexispark.operators import metrics, models, vectors, voting
 from lexispark.operators.scale import settle, work_dir
@@ -137,6 +137,15 @@ def saved(spark, folder):
 check("s06_save_models")(lambda s, f: model_store.manifest(s, saved(s, f)))
 
 
+@check("s06_joined_save_and_score")
+def joined_save_and_score(spark, folder):
+    """Models behind a vocabulary that is saved as a table, loaded and applied."""
+    bag, _, fitted_models = trained(spark, folder)
+    path = f"{work_dir(spark)}/lexispark/models-{uuid.uuid4().hex}"
+    model_store.save_ensemble(beyond(bag), fitted_models, path)
+    return model_store.score_saved(spark, path, labelled(spark, folder), ("source", "doc_id", "label"))
+
+
 @check("s07_score_saved")
 def score_saved(spark, folder):
     return model_store.score_saved(spark, saved(spark, folder), labelled(spark, folder), ("source", "doc_id", "label"))
@@ -284,21 +293,28 @@ def training_metadata(spark, folder):
     return training.training_metadata(features, bag, TRAIN)
 
 
-@check(
-    "e16_vectorize_split",
-    f"""{TRAIN_CTES},
+VECTORIZE_SQL = f"""{TRAIN_CTES},
     words AS (SELECT doc_id, split, unnest(list_filter(string_split_regex(strip_accents(lower(processed)),
               '[^\\p{{L}}\\p{{N}}_]+'), lambda w: length(w) >= 2)) AS term FROM sp),
     cells AS (SELECT doc_id, split, idx, count(*) * any_value(idf) AS w FROM words JOIN vocab USING (term) GROUP BY ALL)
     SELECT sp.doc_id, sp.split, idx, round(w / sqrt(sum(w * w) OVER (PARTITION BY sp.doc_id)), 6) AS value
-    FROM sp LEFT JOIN cells c ON c.doc_id = sp.doc_id""",
-)
-def vectorize_split(spark, folder):
-    _, features, _ = trained(spark, folder)
+    FROM sp LEFT JOIN cells c ON c.doc_id = sp.doc_id"""
+
+
+def split_cells(features):
     cells = features.select("doc_id", "split", F.explode_outer(vectors.stored_values("features")).alias("c"))
     return cells.select("doc_id", "split", "c.idx", F.round("c.value", 6).alias("value"))
 
 
+check("e16_vectorize_split", VECTORIZE_SQL)(lambda s, f: split_cells(trained(s, f)[1]))
+
+
+@check("e16_joined_vectorize_split", VECTORIZE_SQL)
+def joined_vectorize_split(spark, folder):
+    bag, features, _ = trained(spark, folder)
+    return split_cells(beyond(bag).transform(features.drop("features")))
+
+
 @check("e17_train_and_record")
 def train_and_record(spark, folder):
     """The whole run; its result is what the run log holds afterwards."""

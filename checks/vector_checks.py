@@ -1,5 +1,6 @@
 """V and R: vocabulary, vectors, ranking and similarity."""
 
+from dataclasses import replace
 from functools import lru_cache
 
 from pyspark.sql import functions as F
@@ -55,6 +56,22 @@ def fitted(spark, folder, method=vectors.TFIDF):
     return vectors.BagModel(vocab(spark, folder), method, "text")
 
 
+def beyond(model):
+    """The model as if its vocabulary were beyond the broadcast bounds."""
+    return replace(model, vocabulary=replace(model.vocabulary, small=False))
+
+
+def fitted_beyond(spark, folder, method=vectors.TFIDF):
+    return beyond(fitted(spark, folder, method))
+
+
+def both_forms(name, sql, make):
+    """Register a query with vectors made in the row, and once more with vectors assembled from joined cells."""
+    place, _, rest = name.partition("_")
+    check(name, sql)(lambda spark, folder: make(spark, folder, fitted))
+    check(f"{place}_joined_{rest}", sql)(lambda spark, folder: make(spark, folder, fitted_beyond))
+
+
 @check(
     "v01_analyzer",
     f"SELECT doc_id, array_to_string(tokens, ' ') AS tokens, len(tokens)::INT AS n FROM ({analyzed_sql(DOCS)})",
@@ -139,21 +156,27 @@ def joined_bow_transform(spark, folder):
     return cells.withColumn("value", F.col("value").cast("bigint"))
 
 
-@check(
-    "v09_fit_transform",
-    "WITH "
-    + vocabulary_ctes("SELECT page_id AS doc_id, html AS text FROM pages")
-    + "SELECT doc_id, count(*) AS n_terms, sum(tf)::BIGINT AS n_tokens FROM bow GROUP BY doc_id",
-)
-def fit_transform(spark, folder):
+def fit_transform(spark, folder, model_of):
     pages = table(spark, folder, "pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"))
-    counted = vectors.fit_transform(pages, CONFIG, vectors.BOW, "text")
+    if model_of is fitted:
+        counted = vectors.fit_transform(pages, CONFIG, vectors.BOW, "text")
+    else:
+        counted = beyond(vectors.fit_bag(pages, CONFIG, vectors.BOW, "text")).transform(pages)
     total = F.aggregate(F.unwrap_udt("features")["values"], F.lit(0.0), lambda acc, x: acc + x)
     return counted.select(
         "doc_id", vectors.nonzero_count("features").cast("bigint").alias("n_terms"), total.cast("bigint").alias("n_tokens")
     )
 
 
+both_forms(
+    "v09_fit_transform",
+    "WITH "
+    + vocabulary_ctes("SELECT page_id AS doc_id, html AS text FROM pages")
+    + "SELECT doc_id, count(*) AS n_terms, sum(tf)::BIGINT AS n_tokens FROM bow GROUP BY doc_id",
+    fit_transform,
+)
+
+
 @check("v10_idf", f"{CTES} SELECT term, round(idf, 6) AS idf FROM vocab")
 def idf(spark, folder):
     return vocab(spark, folder).idf().withColumn("idf", F.round("idf", 6))
@@ -190,33 +213,42 @@ def dense_vectors(spark, folder):
     return dense.select("doc_id", F.array_join(F.col("dense").cast("array<bigint>"), " ").alias("dense"))
 
 
-@check(
+def sparsity(spark, folder, model_of):
+    model = model_of(spark, folder)
+    zeros = vectors.sparsity(model.transform(texts(spark, folder)), model.vocabulary.size)
+    return zeros.withColumn("sparsity", F.round("sparsity", 6))
+
+
+both_forms(
     "v14_sparsity",
     f"""{CTES} SELECT n AS n_docs, (SELECT count(*) FROM bow) AS n_nonzero,
         round(1 - (SELECT count(*) FROM bow) / (n * (SELECT count(*) FROM vocab)), 6) AS sparsity FROM n""",
+    sparsity,
 )
-def sparsity(spark, folder):
-    model = fitted(spark, folder)
-    zeros = vectors.sparsity(model.transform(texts(spark, folder)), model.vocabulary.size)
-    return zeros.withColumn("sparsity", F.round("sparsity", 6))
 
 
-@check(
+def nonzero_features(spark, folder, model_of):
+    return vectors.nonzero_features(model_of(spark, folder).transform(texts(spark, folder)))
+
+
+both_forms(
     "v15_nonzero_features",
     f"{CTES} SELECT a.doc_id, count(idx)::INT AS n_nonzero FROM ana a LEFT JOIN bow b ON a.doc_id = b.doc_id GROUP BY a.doc_id",
+    nonzero_features,
 )
-def nonzero_features(spark, folder):
-    return vectors.nonzero_features(fitted(spark, folder).transform(texts(spark, folder)))
 
 
-@check(
+def top_terms(spark, folder, model_of):
+    model = model_of(spark, folder, vectors.BOW)
+    return vectors.top_terms(model.transform(texts(spark, folder)), model.vocabulary, 15)
+
+
+both_forms(
     "v16_top_terms",
     f"""{CTES} SELECT doc_id, rank, term, tf::DOUBLE AS weight FROM (
         SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf DESC, term) AS rank FROM bow) WHERE rank <= 15""",
+    top_terms,
 )
-def top_terms(spark, folder):
-    model = fitted(spark, folder, vectors.BOW)
-    return vectors.top_terms(model.transform(texts(spark, folder)), model.vocabulary, 15)
 
 
 # ------------------------------------------------------------------ the three methods on the processed corpus
@@ -255,6 +287,11 @@ def methods(spark, folder):
     return fit_methods(processed_docs(spark, folder), "processed", CONFIG)
 
 
+def methods_beyond(spark, folder):
+    both = methods(spark, folder)
+    return replace(both, bow=beyond(both.bow), tfidf=beyond(both.tfidf))
+
+
 METHOD_CTES = "WITH " + vocabulary_ctes(f"SELECT doc_id, processed AS text FROM ({PROCESSED_SQL})")
 SIZES_SQL = """SELECT 'BOW' AS method, count(*) AS n_terms FROM vocab UNION ALL SELECT 'TF-IDF', count(*) FROM vocab
                UNION ALL SELECT 'BM25', count(*) FROM bidf"""
@@ -262,37 +299,43 @@ SIZES_SQL = """SELECT 'BOW' AS method, count(*) AS n_terms FROM vocab UNION ALL
 check("v17_vocabulary_sizes", f"{METHOD_CTES}, {RANK_CTES} {SIZES_SQL}")(lambda s, f: methods(s, f).vocabulary_sizes())
 
 
-@check(
-    "v18_compare_document",
-    f"""{METHOD_CTES}, {RANK_CTES},
+COMPARE_DOCUMENT_SQL = f"""{METHOD_CTES}, {RANK_CTES},
     parts AS (SELECT 'BOW' AS method, term, tf::DOUBLE AS weight FROM bow WHERE doc_id = 0
       UNION ALL SELECT 'TF-IDF', term, v FROM tfidf WHERE doc_id = 0
       UNION ALL SELECT 'BM25', term, tf * part FROM gain JOIN bpost USING (doc_id, term) WHERE doc_id = 0 AND part <> 0)
     SELECT method, n_nonzero, rank, term, round(weight, 4) AS weight FROM (
       SELECT *, count(*) OVER (PARTITION BY method) AS n_nonzero,
              row_number() OVER (PARTITION BY method ORDER BY round(weight, 9) DESC, term) AS rank FROM parts)
-    WHERE rank <= 5""",
-)
-def compare_document(spark, folder):
-    compared = methods(spark, folder).compare_document(processed_docs(spark, folder), 0)
+    WHERE rank <= 5"""
+
+
+@check("v18_compare_document", COMPARE_DOCUMENT_SQL)
+def compare_document(spark, folder, of=methods):
+    compared = of(spark, folder).compare_document(processed_docs(spark, folder), 0)
     return compared.withColumn("weight", F.round("weight", 4))
 
 
-@check(
-    "v19_method_comparison",
-    f"""{METHOD_CTES}, {SCORE_CTES}, sizes AS ({SIZES_SQL}),
+check("v18_joined_compare_document", COMPARE_DOCUMENT_SQL)(lambda s, f: compare_document(s, f, methods_beyond))
+
+
+METHOD_COMPARISON_SQL = f"""{METHOD_CTES}, {SCORE_CTES}, sizes AS ({SIZES_SQL}),
     cells AS (SELECT 1 - (SELECT count(*) FROM bow) / (n * (SELECT count(*) FROM vocab)) AS s FROM n),
     pairs AS (SELECT 1 - (SELECT count(*) FROM scores WHERE score <> 0) / (nd * (SELECT count(*) FROM asked)) AS s FROM bn)
     SELECT method, n_terms, round(CASE method WHEN 'BM25' THEN pairs.s ELSE cells.s END, 6) AS sparsity,
            CASE method WHEN 'BM25' THEN 'dense' ELSE 'sparse' END AS vector_type,
            CASE method WHEN 'TF-IDF' THEN '[0, 1]' ELSE '[0, inf)' END AS output_range,
-           method = 'BM25' AS handles_length FROM sizes, cells, pairs""",
-)
-def method_comparison(spark, folder):
-    table_ = methods(spark, folder).method_comparison(processed_docs(spark, folder), benchmark_queries(spark, folder))
+           method = 'BM25' AS handles_length FROM sizes, cells, pairs"""
+
+
+@check("v19_method_comparison", METHOD_COMPARISON_SQL)
+def method_comparison(spark, folder, of=methods):
+    table_ = of(spark, folder).method_comparison(processed_docs(spark, folder), benchmark_queries(spark, folder))
     return table_.withColumn("sparsity", F.round("sparsity", 6))
 
 
+check("v19_joined_method_comparison", METHOD_COMPARISON_SQL)(lambda s, f: method_comparison(s, f, methods_beyond))
+
+
 @check(
     "v20_fit_all",
     f"""{METHOD_CTES}, {RANK_CTES}
@@ -379,15 +422,15 @@ def cosine_sql(vector: str) -> str:
 
 
 def cosine(method):
-    def query(spark, folder):
-        similar = ranking.cosine_topk(texts(spark, folder), fitted(spark, folder, method), 5, 25)
+    def query(spark, folder, model_of):
+        similar = ranking.cosine_topk(texts(spark, folder), model_of(spark, folder, method), 5, 25)
         return similar.withColumn("similarity", F.round("similarity", 4))
 
     return query
 
 
-check("r06_cosine_bow", cosine_sql("SELECT doc_id, idx, tf::DOUBLE AS v FROM bow"))(cosine(vectors.BOW))
-check("r07_cosine_tfidf", cosine_sql("SELECT doc_id, idx, v FROM tfidf"))(cosine(vectors.TFIDF))
+both_forms("r06_cosine_bow", cosine_sql("SELECT doc_id, idx, tf::DOUBLE AS v FROM bow"), cosine(vectors.BOW))
+both_forms("r07_cosine_tfidf", cosine_sql("SELECT doc_id, idx, v FROM tfidf"), cosine(vectors.TFIDF))
 
 
 @check(

@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
@@ -206,7 +207,7 @@ def feature_importance(fitted: FittedModel, vocabulary: DataFrame) -> DataFrame
         values = model.featureImportances
     else:
         return None
-    # one number per vocabulary entry, and in-row vectors exist only for a vocabulary of checked size
-    rows = [(i, float(v)) for i, v in enumerate(values.toArray())]
-    table = vocabulary.sparkSession.createDataFrame(rows, "idx int, importance double")
+    # one number per vocabulary entry, which the model holds on the driver anyway; they leave it as one column of numbers
+    numbers = values.toArray()
+    table = vocabulary.sparkSession.createDataFrame(pa.table({"idx": pa.array(range(len(numbers)), pa.int32()), "importance": pa.array(numbers, pa.float64())}))
     return vocabulary.join(table, "idx").select("term", "importance")

@@ -201,13 +201,13 @@ def cosine_topk(
     Every candidate row keeps its place in the result, also without a shared term (similarity 0).
     """
     vectors = model.transform(docs)
-    # one document's vector: no larger than the vocabulary, whose size has been checked
-    query = vectors.where(F.col(doc_id) == document).select("features").first()
-    weights = query.features.toArray() if query else [0.0] * model.vocabulary.size
-    query_norm = float(sum(w * w for w in weights)) ** 0.5
+    # one document's vector: no larger than its terms, whatever the size of the vocabulary
+    found = vectors.where(F.col(doc_id) == document).select("features").first()
+    query = found.features if found else Vectors.sparse(model.vocabulary.size, {})
+    query_norm = float(sum(w * w for w in query.values)) ** 0.5
     others = (vectors if candidates is None else model.transform(candidates)).where(F.col(doc_id) != document)
     # the products are made inside the row: nothing is exploded or shuffled before the top k
-    product = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="features", outputCol="_products")
+    product = ElementwiseProduct(scalingVec=query, inputCol="features", outputCol="_products")
     rows = product.transform(others.select(doc_id, "features"))
     dot = F.aggregate(stored_values("_products"), F.lit(0.0), lambda total, c: total + c["value"])
     square = F.aggregate(stored_values("features"), F.lit(0.0), lambda total, c: total + c["value"] * c["value"])

@@ -1,8 +1,9 @@
 """Bag-of-words and TF-IDF vectors.
 
 With a vocabulary of checked size (the configured ``max_features``) a document becomes a SparseVector inside its own
-row: Spark ML's count, scale and normalize transformers, no join and no shuffle. A vocabulary beyond the broadcast
-bounds is joined instead, with salted keys.
+row: Spark ML's count, scale and normalize transformers, no join and no shuffle. With a vocabulary beyond the broadcast
+bounds the terms are joined to it with salted keys, and the cells of a document meet again by its row number and become
+the same SparseVector, so that nothing that takes vectors depends on the size of the vocabulary.
 """
 
 from __future__ import annotations
@@ -14,14 +15,15 @@ from functools import cached_property
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexispark.config import VectorConfig
 from lexispark.functions.analyzer import analyze
 from lexispark.functions.tokens import term_bag
-from lexispark.operators.scale import lookup_join
+from lexispark.operators.scale import lookup_join, settle
 from lexispark.operators.vocabulary import Vocabulary, fit_vocabulary
 
 BOW, TFIDF = "bow", "tfidf"
@@ -49,7 +51,7 @@ class BagModel:
     def stages(self) -> PipelineModel:
         """Spark ML stages from ``_tokens`` to ``features``. Only built for a vocabulary of checked size."""
         if not self.vocabulary.small:
-            raise ValueError("The vocabulary is too large for in-row vectors; use long_form()")
+            raise ValueError("The vocabulary is too large for in-row stages; transform() joins it instead")
         terms = self.vocabulary.table.orderBy("idx").select("term", "idf").collect()
         counted = "features" if self.method == BOW else "_counts"
         count = CountVectorizerModel.from_vocabulary([t.term for t in terms], "_tokens", counted)
@@ -62,9 +64,51 @@ class BagModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add the SparseVector column ``features``; a document without a known term gets a zero vector."""
+        if not self.vocabulary.small:
+            return self._assembled(df)
         tokens = df.withColumn("_tokens", analyze(F.col(self.text), self.vocabulary.config))
         return self.stages.transform(tokens).drop("_tokens", "_counts", "_weights")
 
+    def _assembled(self, df: DataFrame) -> DataFrame:
+        """``transform`` by a join. Rows and their cells are told apart by a written number, so keys may repeat.
+
+        Only row numbers and cells cross the two exchanges, and the vectors are made by built-in functions: the stored
+        form of a vector is written, and read back as vectors.
+        """
+        rows = settle(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        cells = self._cells(rows.select("_row", self.text), ("_row",), outer=False)
+        held = cells.select("_row", F.col("_cells.idx").alias("idx"), self._values().alias("value"))
+        none = [F.array().cast("array<int>"), F.array().cast("array<double>")]
+        stored = F.struct(
+            F.lit(0).cast("tinyint").alias("type"),
+            F.lit(self.vocabulary.size).cast("int").alias("size"),
+            F.coalesce("idx", none[0]).alias("indices"),
+            F.coalesce("value", none[1]).alias("values"),
+        )
+        joined = rows.join(held, "_row", "left").select(*[F.col(f"`{c}`") for c in df.columns], stored.alias("features"))
+        return settle(joined, "vectors", T.StructType([*df.schema, T.StructField("features", VectorUDT())]))
+
+    def _cells(self, numbered: DataFrame, keys: Sequence[str], outer: bool) -> DataFrame:
+        """``(keys, _cells)``: per row of ``numbered`` its known terms as sorted array<struct<idx, w>>, not yet normalized."""
+        bag = term_bag(analyze(F.col(self.text), self.vocabulary.config))
+        exploded = F.explode_outer(bag) if outer else F.explode(bag)
+        counted = numbered.select(*keys, exploded.alias("t"))
+        counted = counted.select(*keys, "t.term", F.col("t.tf").cast("bigint").alias("tf"))
+        table = self.vocabulary.table.select("term", "idx", "idf")
+        weight = F.col("tf").cast("double") if self.method == BOW else F.col("tf") * F.col("idf")
+        known = lookup_join(counted, table, "term", ["_row"], "left" if outer else "inner", self.vocabulary.small)
+        cell = F.when(F.col("idx").isNotNull(), F.struct("idx", weight.alias("w")))
+        return known.groupBy(*keys).agg(F.sort_array(F.collect_list(cell)).alias("_cells"))
+
+    def _values(self) -> Column:
+        """The values of ``_cells``, those of TF-IDF divided by their norm."""
+        if self.method == BOW:
+            return F.col("_cells.w")
+        # bound once, not once for each cell
+        norm = F.sqrt(F.aggregate("_cells", F.lit(0.0), lambda total, cell: total + cell["w"] * cell["w"]))
+        scaled = F.transform(F.array(norm), lambda whole: F.transform("_cells", lambda cell: cell["w"] / whole))
+        return F.get(scaled, F.lit(0))
+
     def long_form(self, df: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
         """``(keys, idx, value)``, one row per non-zero cell; a zero row appears once with null ``idx``."""
         if self.vocabulary.small:
@@ -74,20 +118,11 @@ class BagModel:
 
     def joined_form(self, df: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
         """The long form by a join on the term, for vocabularies of any size."""
-        bag = term_bag(analyze(F.col(self.text), self.vocabulary.config))
         numbered = df.withColumn("_row", F.monotonically_increasing_id())  # before the terms are exploded
-        counted = numbered.select(*keys, "_row", F.explode_outer(bag).alias("t"))
-        counted = counted.select(*keys, "_row", "t.term", F.col("t.tf").cast("bigint").alias("tf"))
-        table = self.vocabulary.table.select("term", "idx", "idf")
-        weight = F.col("tf").cast("double") if self.method == BOW else F.col("tf") * F.col("idf")
-        known = lookup_join(counted, table, "term", ["_row"], "left", self.vocabulary.small)
         # rows are told apart by their number, so that a repeated key keeps its rows; a row without a known term stays
-        cell = F.when(F.col("idx").isNotNull(), F.struct("idx", weight.alias("w")))
-        rows = known.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(cell)).alias("_cells"))
-        norm = F.sqrt(F.aggregate("_cells", F.lit(0.0), lambda acc, cell: acc + cell["w"] * cell["w"]))
-        scale = F.lit(1.0) if self.method == BOW else norm
-        cells = rows.withColumn("_scale", scale).select(*keys, "_scale", F.explode_outer("_cells").alias("cell"))
-        return cells.select(*keys, "cell.idx", (F.col("cell.w") / F.col("_scale")).alias("value"))
+        rows = self._cells(numbered, ("_row", *keys), outer=True).withColumn("_value", self._values())
+        cells = rows.select(*keys, F.explode_outer(F.arrays_zip(F.col("_cells.idx").alias("idx"), F.col("_value").alias("value"))).alias("cell"))
+        return cells.select(*keys, "cell.idx", "cell.value")
 
 
 def fit_bag(df: DataFrame, config: VectorConfig, method: str = TFIDF, text: str = "processed") -> BagModel:

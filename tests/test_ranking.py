@@ -171,3 +171,21 @@ def test_methods_side_by_side(spark, toy, rows):
     assert weights == pytest.approx(
         {("BOW", 2, "hello"): 1.0, ("TF-IDF", 2, "hello"): 1 / math.sqrt(2), ("BM25", 2, "hello"): part}
     )
+
+
+def test_vectors_of_any_vocabulary_size(spark, toy, tmp_path, monkeypatch):
+    """A vocabulary beyond the bounds gives the same vectors, also for repeated keys, null texts and odd column names."""
+    docs = spark.createDataFrame([(1, "aa bb bb", 5), (1, "cc", 6), (1, None, 7), (2, "unknown", 8), (2, "aa bb bb", 5)], "doc_id int, processed string, `a.b` int")
+    for method in ("bow", "tfidf"):
+        inside = vectors.fit_bag(docs, ANY, method)
+        monkeypatch.setattr("lexispark.operators.scale.MAX_BROADCAST_ROWS", 1)
+        beyond = vectors.fit_bag(docs, ANY, method)
+        assert inside.vocabulary.small and not beyond.vocabulary.small
+        made = beyond.transform(docs)
+        assert made.columns == inside.transform(docs).columns
+        rounded = lambda df: sorted((r["a.b"], r["doc_id"], r["features"].size, str([(int(i), round(float(v), 9)) for i, v in zip(r["features"].indices, r["features"].values)])) for r in df.collect())
+        assert rounded(made) == rounded(inside.transform(docs))
+        assert ranking.cosine_topk(docs, beyond, 2, 5).count() == 3
+        with pytest.raises(ValueError):
+            beyond.stages
+        monkeypatch.undo()
