@@ -1,7 +1,7 @@
 """Count-min sketches of hashes over a whole table: one sparse sketch per partition, merged block by block.
 
 The hashes of a partition fall into ``2**bits`` cells of ``DEPTH`` rows. What leaves a task is one compressed message per
-row and block of cells for every couple of million hashes. The merge deals the blocks to tasks, which add up the messages as they stream in; nothing but
+row and block of cells for every million hashes, a few hundred messages at a time. The merge deals the blocks to tasks, which add up the messages as they stream in; nothing but
 the merged sketch, whose size is fixed by ``bits``, reaches the driver.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from lexispark.llm.words import mix
 
 DEPTH = 2
 BLOCK_BITS = 16
-HELD = 1 << 21  # hashes that a task gathers before it sends messages
+HELD = 1 << 20  # hashes that a task gathers before it sends messages
+MESSAGES = 256  # that leave a task in one batch
 _ROWS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 _MESSAGE = "block int, data binary"
 
@@ -38,6 +40,7 @@ def _messages(parts: list[list[np.ndarray]], bits: int) -> Iterator[tuple[int, b
         if not found:
             continue
         cell, count = np.unique(np.concatenate(found), return_counts=True)
+        found.clear()
         ends = np.searchsorted(cell, np.arange(blocks + 1, dtype=np.int64) << BLOCK_BITS)
         for block in range(blocks):
             a, b = ends[block], ends[block + 1]
@@ -70,9 +73,9 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
         yield from sent(parts)
 
     def sent(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        messages = list(_messages(parts, bits))
-        if messages:
-            block, data = zip(*messages)
+        messages = _messages(parts, bits)
+        while some := list(islice(messages, MESSAGES)):
+            block, data = zip(*some)
             yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -70,15 +70,17 @@ def slices(text: pa.Array, lower: bool = False, lanes: int = 2) -> Iterator[Word
     """Words of a text column, slice by slice. Null texts have no words."""
     if isinstance(text, pa.ChunkedArray):
         text = text.combine_chunks()
-    text = pc.fill_null(text.cast(pa.large_string()), "")
-    _, offsets, data = text.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     first = 0
     while first < len(text):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
-        last = min(last, len(text))
-        part, at = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        before = int(ends[first - 1]) if first else 0
+        last = min(max(first + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))), len(text))
+        # only a slice is ever copied, not the batch
+        held = pc.fill_null(text.slice(first, last - first).cast(pa.large_string()), "")
+        _, offsets, data = held.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[held.offset : held.offset + len(held) + 1]
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        part, at = data[offsets[0] : offsets[-1]], offsets - offsets[0]
         if lower:
             part = _LOWER[part]
         inside = ~_SEPARATOR[part]
