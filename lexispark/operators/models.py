@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -13,17 +14,19 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
-    LinearSVC,
     LinearSVCModel,
     LogisticRegression,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
+from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from lexispark.operators.newton import fit_squared_hinge
 from lexispark.operators.scale import lookup_join, settle
 
 logger = logging.getLogger(__name__)
@@ -71,17 +74,21 @@ def fit_svm(
     features: str = "features",
     random_state: int | None = None,
 ) -> Model:
-    """Linear support vector machine with hinge loss and L2 penalty; ``random_state`` has no effect."""
-    rows, n = _for_linear_solver(train)
-    return LinearSVC(
-        labelCol=label,
-        featuresCol=features,
-        regParam=1.0 / (C * n),
-        standardization=False,
-        maxIter=max_iter,
-        # the hinge loss has kinks; a tighter bound doubles the passes without changing predictions
-        tol=1e-3,
-    ).fit(rows)
+    """Linear support vector machine with squared hinge loss and an intercept that is penalised like the weights.
+
+    A trust-region Newton method, see ``newton``; it draws nothing, so ``random_state`` has no effect.
+    """
+    rows, _ = _for_linear_solver(train.select(label, features))
+    first = rows.select(F.max(F.coalesce(F.unwrap_udt(features)["size"], F.size(F.unwrap_udt(features)["values"])))).first()
+    if first[0] is None:
+        raise ValueError("Cannot fit a model without rows")
+    weights = fit_squared_hinge(rows, first[0], C, max_iter, label, features)
+    jvm = train.sparkSession.sparkContext._jvm
+    # Spark has no public way to make a model of given weights
+    made = jvm.org.apache.spark.ml.classification.LinearSVCModel(
+        f"LinearSVC_{uuid.uuid4().hex[:12]}", _py2java(train.sparkSession.sparkContext, Vectors.dense(weights[:-1])), float(weights[-1])
+    )
+    return LinearSVCModel(made).setFeaturesCol(features)
 
 
 def fit_forest(

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from lexispark.config import NOUN_EXCEPTIONS, CleanConfig
 from lexispark.functions.clean import clean
 from lexispark.functions.stemming import stem
 from lexispark.functions.tokens import filtered_tokens, join_tokens, kept_tokens, raw_tokens
-from lexispark.operators.scale import lookup_join, settle, spread
+from lexispark.operators.scale import fits_broadcast, lookup_join, settle, spread
 
 # Noun endings and what may replace them, in the order in which candidates are preferred.
 NOUN_ENDINGS = (
@@ -113,13 +116,41 @@ def stem_terms(terms: DataFrame) -> DataFrame:
 def replace_terms(df: DataFrame, tokens: str, mapping: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Replace tokens by a ``(term, new_term)`` mapping, keeping their order; unmapped tokens stay.
 
-    Returns one row per row of ``df`` with the token array, also where keys repeat. Only the mapping's changed terms are joined, as a broadcast when
-    its measured size allows; the tokens of a row meet again in one shuffle on its number.
+    Returns one row per row of ``df`` with the token array, also where keys repeat. Only the mapping's changed terms matter.
+    Where their measured size allows, they are a dictionary in every task and tokens are replaced inside their row;
+    beyond that they are joined, and the tokens of a row meet again in one shuffle on its number.
     """
     changed = settle(mapping.where(F.col("new_term") != F.col("term")).select("term", "new_term"), "term-map")
+    if fits_broadcast(changed):
+        return df.select(*keys, _looked_up(changed)(F.coalesce(F.col(tokens), F.array().cast("array<string>"))).alias(tokens))
+    return _joined_terms(df, tokens, changed, keys)
+
+
+def _looked_up(changed: DataFrame):
+    """A function of token arrays that looks tokens up in the table ``(term, new_term)``, whose size has been checked.
+
+    A whole batch of tokens is looked up at once in a hash table; the built-in functions only have maps that are searched
+    from one end.
+    """
+    sent = changed.sparkSession.sparkContext.broadcast(changed.toArrow().combine_chunks())
+
+    @F.arrow_udf("array<string>")
+    def replaced(tokens: pa.Array) -> pa.Array:
+        table = sent.value
+        length = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+        flat = tokens.flatten()
+        if table.num_rows:
+            at = pc.index_in(flat, value_set=table["term"].combine_chunks())
+            flat = pc.coalesce(table["new_term"].combine_chunks().take(at), flat)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), flat)
+
+    return replaced
+
+
+def _joined_terms(df: DataFrame, tokens: str, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows = df.select(*keys, tokens).withColumn("_row", F.monotonically_increasing_id())
     placed = rows.repartition("_row").select(*keys, "_row", F.posexplode_outer(tokens).alias("pos", "term"))
-    joined = lookup_join(placed, changed, "term", ["_row", "pos"], "left")
+    joined = lookup_join(placed, changed, "term", ["_row", "pos"], "left", broadcast=False)
     token = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("new_term", "term").alias("term")))
     regrouped = joined.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(token)).alias("_placed"))
     return regrouped.select(*keys, F.col("_placed.term").alias(tokens))

@@ -56,9 +56,14 @@ def test_scores_need_no_exchange(docs):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_terms_are_replaced_with_one_shuffle(docs):
-    processed = normalize.process(docs, "processed", review_config())
-    text = plan(processed)
+def test_terms_are_replaced_inside_the_row(docs):
+    text = plan(normalize.process(docs, "processed", review_config()))
+    assert "posexplode" not in text and "Exchange" not in text and "ArrowEvalPython" in text
+
+
+def test_terms_beyond_the_bounds_are_replaced_with_one_shuffle(docs, monkeypatch):
+    monkeypatch.setattr("lexispark.operators.scale.MAX_BROADCAST_ROWS", -1)
+    text = plan(normalize.process(docs, "processed", review_config()))
     # before the tokens are exploded, not after
     assert text.count("hashpartitioning(_row") == 1
     assert text.index("Generate posexplode") < text.index("hashpartitioning(_row")
