@@ -78,11 +78,11 @@ def fit_svm(
 
     A trust-region Newton method, see ``newton``; it draws nothing, so ``random_state`` has no effect.
     """
-    rows, _ = _for_linear_solver(train.select(label, features))
+    rows, n = _for_linear_solver(train.select(label, features))
     first = rows.select(F.max(F.coalesce(F.unwrap_udt(features)["size"], F.size(F.unwrap_udt(features)["values"])))).first()
     if first[0] is None:
         raise ValueError("Cannot fit a model without rows")
-    weights = fit_squared_hinge(rows, first[0], C, max_iter, label, features)
+    weights = fit_squared_hinge(rows, first[0], n, C, max_iter, label, features)
     jvm = train.sparkSession.sparkContext._jvm
     # Spark has no public way to make a model of given weights
     made = jvm.org.apache.spark.ml.classification.LinearSVCModel(

@@ -22,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 _BLOCK = "y array<double>, at array<int>, idx array<int>, value array<double>"
 _PART = "loss double, part array<double>"
+TASK_ROWS = 20_000
 DIRECT = 16  # so many partial sums go to the driver at once, more are added up in a tree first
 
 # acceptance and growth of the trust region
@@ -86,16 +87,42 @@ def _part(loss: float, total: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([loss]), pa.ListArray.from_arrays(pa.array([0, len(total)], pa.int32()), pa.array(total))], ["loss", "part"])
 
 
+class Rows:
+    """The objective over blocks at hand; what a margin was is kept for the products that follow at the same weights."""
+
+    def __init__(self, held: list[Block], size: int, C: float):
+        self.held, self.size, self.C = held, size, C
+        self.active: list[np.ndarray] = []
+
+    def at(self, w: np.ndarray) -> tuple[float, np.ndarray]:
+        """Value and gradient."""
+        loss, total = 0.0, np.zeros(self.size)
+        self.tried = [np.maximum(0.0, 1.0 - block.y * block.times(w)) for block in self.held]
+        for block, short in zip(self.held, self.tried):
+            loss += float(short @ short)
+            total += block.weighted(-2.0 * block.y * short, self.size)
+        return 0.5 * float(w @ w) + self.C * loss, w + self.C * total
+
+    def bent(self, w: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """The Hessian at ``w``, where ``settle`` was called last, times ``v``: rows within their margin take no part."""
+        total = np.zeros(self.size)
+        for block, active in zip(self.held, self.active):
+            total += block.weighted(2.0 * active * block.times(v), self.size)
+        return v + self.C * total
+
+    def settle(self) -> None:
+        """The weights of the last ``at`` are those of the products that follow."""
+        self.active = [short > 0 for short in self.tried]
+
+
 class SquaredHinge:
-    """The objective over a persisted table of blocks."""
+    """The objective over a persisted table of blocks, one pass over it for each value or product."""
 
     def __init__(self, table: DataFrame, size: int, C: float):
         self.table, self.size, self.C = table, size, C
         self.partitions = table.rdd.getNumPartitions()
-        self.passes = 0
 
     def _pass(self, sent: tuple, of: Callable) -> tuple[float, np.ndarray]:
-        self.passes += 1
         size, held = self.size, self.table.sparkSession.sparkContext.broadcast(sent)
 
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +156,9 @@ class SquaredHinge:
 
         return v + self.C * self._pass((w, v), of)[1]
 
+    def settle(self) -> None:
+        """Nothing is kept between passes."""
+
 
 def _step(gradient: np.ndarray, times: Callable, radius: float) -> tuple[np.ndarray, np.ndarray]:
     """A step that lowers the quadratic model, by conjugate gradients up to the edge of the region, and what it leaves of
@@ -150,10 +180,11 @@ def _step(gradient: np.ndarray, times: Callable, radius: float) -> tuple[np.ndar
     return step, rest
 
 
-def minimise(objective: SquaredHinge, tol: float, max_iter: int) -> np.ndarray:
+def minimise(objective: Rows | SquaredHinge, tol: float, max_iter: int) -> np.ndarray:
     """Weights whose gradient is not longer than ``tol``, or those after ``max_iter`` steps."""
     w = np.zeros(objective.size)
     value, gradient = objective.at(w)
+    objective.settle()
     radius = float(np.linalg.norm(gradient))
     for _ in range(max_iter):
         if float(np.linalg.norm(gradient)) <= tol:
@@ -169,14 +200,29 @@ def minimise(objective: SquaredHinge, tol: float, max_iter: int) -> np.ndarray:
             radius = max(radius, min(_GROW * length, _GROW * radius))
         if won >= _ACCEPT * hoped - slack:
             w, value, gradient = w + step, then, new_gradient
+            objective.settle()
         elif radius < 1e-15:
             break
     return w
 
 
-def fit_squared_hinge(train: DataFrame, size: int, C: float = 1.0, max_iter: int = 1000, label: str = "label", features: str = "features", tol: float = 5e-4) -> np.ndarray:
-    """Weights of the ``size`` features and, last, the intercept. Labels are 0 and 1; rows without either are an error."""
-    table = blocks(train, label, features).persist(StorageLevel.MEMORY_AND_DISK)
+def fit_squared_hinge(
+    train: DataFrame, size: int, rows: int, C: float = 1.0, max_iter: int = 1000, label: str = "label", features: str = "features", tol: float = 5e-4
+) -> np.ndarray:
+    """Weights of the ``size`` features and, last, the intercept. Labels are 0 and 1.
+
+    ``rows`` is the number of rows. Up to ``TASK_ROWS`` all steps are made inside one task, which holds them; a job for each
+    pass over so few rows would cost far more than the pass. The steps are the same.
+    """
+    table = blocks(train, label, features)
+    if rows <= TASK_ROWS:
+
+        def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [Block(batch, row) for batch in batches for row in range(batch.num_rows)]
+            yield _part(0.0, minimise(Rows(held, size + 1, C), tol, max_iter))
+
+        return table.coalesce(1).mapInArrow(solved, _PART).toArrow()["part"][0].values.to_numpy()
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return minimise(SquaredHinge(table, size + 1, C), tol, max_iter)
     finally:

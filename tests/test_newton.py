@@ -51,6 +51,14 @@ def test_weights_are_those_of_a_plain_solver(spark, rows, C):
     assert [r["prediction"] for r in scored] == [float(v > 0) for v in np.hstack([x, np.ones((300, 1))]) @ want]
 
 
+def test_passes_over_partitions_find_the_same_weights(spark, rows, monkeypatch):
+    x, y = rows
+    data = [(int(b > 0), Vectors.dense(a)) for a, b in zip(x.tolist(), y)]
+    monkeypatch.setattr(newton, "TASK_ROWS", 10)
+    model = models.fit_svm(spark.createDataFrame(data, ["label", "features"]).repartition(3), C=0.5)
+    assert np.abs(np.append(model.coefficients.toArray(), model.intercept) - plain_solver(x, y, 0.5)).max() < 1e-3
+
+
 def test_partial_sums_are_added_in_a_tree(spark, rows, monkeypatch):
     x, y = rows
     data = [(int(b > 0), Vectors.dense(a)) for a, b in zip(x.tolist(), y)]
