@@ -13,7 +13,7 @@ from lexispark.config import TrainConfig
 from lexispark.operators import metrics, models, vectors, voting
 from lexispark.operators.scale import settle, work_dir
 from lexispark.plans import training
-from lexispark.sources import model_store, run_log
+from lexispark.sources import model_store, run_log, text_tables
 
 TRAIN = TrainConfig()
 
@@ -315,10 +315,39 @@ def joined_vectorize_split(spark, folder):
     return split_cells(beyond(bag).transform(features.drop("features")))
 
 
-@check("e17_train_and_record")
+METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "auc_score")
+
+
+def _recorded_sql() -> str:
+    """Every entry of a run: name, parent's name, kind and key; the values of the parameters."""
+    quoted = lambda *row: "(" + ", ".join("NULL" if x is None else f"'{x}'" for x in row) + ")"
+    rows = [quoted("full_pipeline", None, "artifact", "training_metadata.json", None)]
+    rows += [quoted("full_pipeline", None, "run", "name", "full_pipeline")] * 2  # running, finished
+    for name, params in TRAIN.classifiers.items():
+        rows += [quoted(name, "full_pipeline", "param", key, value) for key, value in params.items()]
+        rows += [quoted(name, "full_pipeline", "metric", key, None) for key in METRIC_NAMES]
+        rows += [quoted(name, "full_pipeline", "artifact", key, None) for key in ("classification_report.txt", name)]
+        rows += [quoted(name, "full_pipeline", "run", "name", name)]
+        rows += [quoted("ensemble", "full_pipeline", "metric", f"{name}/{key}", None) for key in METRIC_NAMES]
+    rows += [quoted("ensemble", "full_pipeline", "metric", f"ensemble_{key}", None) for key in METRIC_NAMES[:-1]]
+    rows += [quoted("ensemble", "full_pipeline", "run", "name", "ensemble")]
+    return f"""{TRAIN_CTES}, meta AS (
+      SELECT count(*)::VARCHAR AS dataset_size, count(*) FILTER (split = 'train')::VARCHAR AS train_size, count(*) FILTER (split = 'test')::VARCHAR AS test_size,
+             'tfidf' AS vectorizer, (SELECT count(*) FROM vocab)::VARCHAR AS vocab_size, '3' AS num_classifiers FROM sp)
+    SELECT 'full_pipeline' AS name, NULL AS parent, 'param' AS kind, key, value
+    FROM (UNPIVOT meta ON dataset_size, train_size, test_size, vectorizer, vocab_size, num_classifiers INTO NAME key VALUE value)
+    UNION ALL SELECT * FROM (VALUES {", ".join(rows)}) t(name, parent, kind, key, value)"""
+
+
+@check("e17_train_and_record", _recorded_sql())
 def train_and_record(spark, folder):
-    """The whole run; its result is what the run log holds afterwards."""
+    """The whole run from written files; its result is what the run log holds afterwards."""
     root = f"{work_dir(spark)}/lexispark/training-{uuid.uuid4().hex}"
-    rows = labelled(spark, folder)
-    training.run_training(spark, rows, TRAIN, f"{root}/models", f"{root}/runs")
-    return run_log.read_runs(spark, f"{root}/runs")
+    text_tables.write_processed(labelled(spark, folder), f"{root}/processed", "parquet")
+    sources = [r[0] for r in labelled(spark, folder).select("source").distinct().collect()]  # a file for each source
+    paths = {source: f"{root}/processed/source={source}" for source in sources}
+    training.run_files(spark, paths, TRAIN, None, f"{root}/models", f"{root}/runs", format="parquet")
+    runs = run_log.read_runs(spark, f"{root}/runs")
+    names = runs.where("kind = 'run'").select(F.col("run_id").alias("parent_id"), F.col("name").alias("parent")).distinct()
+    value = F.when(F.col("kind").isin("param", "run"), F.col("value"))
+    return runs.join(names, "parent_id", "left").select("name", "parent", "kind", "key", value.alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
@@ -129,12 +129,17 @@ class FittedModel:
 
 
 def fit_all(
-    classifiers: Mapping[str, Mapping[str, Any]], train: DataFrame, seed: int = 42, features: str = "features"
+    classifiers: Mapping[str, Mapping[str, Any]],
+    train: DataFrame,
+    seed: int = 42,
+    features: str = "features",
+    fit_one: Callable[[str, Callable[[], Model]], Model] = lambda name, fit: fit(),
 ) -> list[FittedModel]:
     """Fit all models on one cached feature table.
 
     Each fit is a chain of distributed jobs; the chains run side by side, so that the short jobs of one solver do not
-    leave the cluster idle. An unknown name is skipped with a warning.
+    leave the cluster idle. An unknown name is skipped with a warning. ``fit_one`` gets the name and the fit of each model and
+    may know the model from an earlier run.
     """
     known = {}
     for name, params in classifiers.items():
@@ -148,7 +153,7 @@ def fit_all(
     try:
         cached.count()
         inherit = inheritable_thread_target(train.sparkSession)
-        fit = inherit(lambda name: _FITTERS[name](cached, features=features, **known[name]))
+        fit = inherit(lambda name: fit_one(name, lambda: _FITTERS[name](cached, features=features, **known[name])))
         with ThreadPoolExecutor(max_workers=len(known)) as pool:
             models = list(pool.map(fit, known))
     finally:

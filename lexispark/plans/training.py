@@ -1,9 +1,10 @@
-"""The training run: split, vectorize on the training rows, fit, evaluate, vote, save and record."""
+"""The training run: load, split, vectorize on the training rows, fit, evaluate, vote, save and record."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from lexispark.operators.models import FittedModel, fit_all, predict_all
 from lexispark.operators.prep import combine, fill_text, head_per_source, stratified_split
 from lexispark.operators.scale import settle
 from lexispark.operators.vectors import BagModel, fit_bag
+from lexispark.plans.run_scope import RunScope, files_of
+from lexispark.sources import text_tables
 from lexispark.sources.model_store import save_ensemble
 from lexispark.sources.run_log import append_entries, new_run_id, run_entries
 
@@ -67,6 +70,36 @@ def _report_text(report: list, name: str) -> str:
     return "\n".join(lines)
 
 
+def read_sources(spark: SparkSession, paths: Mapping[str, str], sample_size: int | None = None, format: str = "csv") -> DataFrame:
+    """Processed files to training rows, by source. Rows of files without ids are numbered in the order of the file."""
+    frames = {}
+    for source, path in paths.items():
+        df = text_tables.read_processed(spark, path, format)
+        df = df if "doc_id" in df.columns else df.withColumn("doc_id", F.monotonically_increasing_id())
+        frames[source] = df.select("doc_id", "processed", "label")
+    return load_sources(frames, sample_size)
+
+
+def run_files(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    config: TrainConfig = TrainConfig(),
+    sample_size: int | None = None,
+    model_path: str | None = None,
+    run_path: str | None = None,
+    experiment: str = "sentiment-classification",
+    format: str = "csv",
+) -> TrainingResult:
+    """The whole run from written files, on request from the first ``sample_size`` rows of each.
+
+    The same call after a failure goes on with the stages that are missing: they are known by the files' names, lengths
+    and times and by the settings.
+    """
+    key = {"files": files_of(spark, paths.values()), "sources": sorted(paths), "sample": sample_size, "config": _plain(config), "format": format}
+    rows = lambda: read_sources(spark, paths, sample_size, format)
+    return _run(spark, rows, key, config, model_path, run_path, experiment)
+
+
 def run_training(
     spark: SparkSession,
     rows: DataFrame,
@@ -75,30 +108,53 @@ def run_training(
     run_path: str | None = None,
     experiment: str = "sentiment-classification",
 ) -> TrainingResult:
-    """Rows are ``(source, doc_id, processed, label)``. Each model is fitted and evaluated once."""
-    # the split is written once: vocabulary, features and metadata all see the same rows
-    split = settle(stratified_split(rows, "label", config.test_size, config.random_state, KEYS), "split")
-    bag, vectors = vectorize_split(split, config)
-    is_train = F.col("split") == "train"
-    models = fit_all(config.classifiers, vectors.where(is_train), config.random_state)
-    predictions = settle(predict_all(models, vectors.where(~is_train), (*KEYS, "label")), "predictions")
-    vote = evaluate_vote(predictions, (*KEYS, "label"))
-    metrics = settle(evaluate_all(predictions).unionByName(vote), "metrics")
-    metadata = settle(training_metadata(split, bag, config), "metadata")
-    if model_path:
-        save_ensemble(bag, models, model_path)
-    run_id = None
-    if run_path:
-        # a handful of rows: one per model and metric
-        values = metrics_summary(metrics).collect()
-        report = classification_report(predictions).collect()
-        run_id = new_run_id()
-        entries = run_entries(experiment, "full_pipeline", params=metadata.first().asDict(), run_id=run_id)
-        for item in models:
-            found = {v["metric"]: v["value"] for v in values if v["model"] == item.name}
-            artifacts = {"classification_report.txt": _report_text(report, item.name)}
-            entries += run_entries(experiment, item.name, config.classifiers[item.name], found, artifacts, run_id)
-        voted = {f"ensemble_{v['metric']}": v["value"] for v in values if v["model"] == "ensemble"}
-        entries += run_entries(experiment, "ensemble", {"num_models": len(models)}, voted, parent_id=run_id)
-        append_entries(spark, run_path, entries)
-    return TrainingResult(bag, models, predictions, metrics, metadata, run_id)
+    """The run over rows ``(source, doc_id, processed, label)``. A DataFrame has no name to be known by, so it starts anew."""
+    return _run(spark, lambda: rows, {"call": new_run_id()}, config, model_path, run_path, experiment)
+
+
+def _plain(config: TrainConfig) -> dict:
+    return {"seed": config.random_state, "test": config.test_size, "vectorizer": config.vectorizer, "vector": asdict(config.vectorizer_config), "models": {k: dict(v) for k, v in config.classifiers.items()}}
+
+
+def _run(
+    spark: SparkSession, rows: Callable[[], DataFrame], key: Mapping, config: TrainConfig, model_path: str | None, run_path: str | None, experiment: str
+) -> TrainingResult:
+    """Each model is fitted and evaluated once. What the result holds is kept after the scope's folder is gone."""
+    with RunScope(spark, experiment, "full_pipeline", key, run_path) as run:
+        loaded = run.table("rows", rows)
+        # the split is written once: vocabulary, features and metadata all see the same rows
+        split = run.table("split", lambda: stratified_split(loaded, "label", config.test_size, config.random_state, KEYS))
+        bag, vectors = vectorize_split(split, config)
+        made = vectors
+        vectors = run.table("vectors", lambda: made)
+        is_train = F.col("split") == "train"
+        train = vectors.where(is_train)
+        fitted = fit_all(config.classifiers, train, config.random_state, fit_one=lambda name, fit: run.model(f"model-{name}", fit))
+        predictions = run.table("predictions", lambda: predict_all(fitted, vectors.where(~is_train), (*KEYS, "label")))
+        vote = evaluate_vote(predictions, (*KEYS, "label"))
+        metrics = run.table("metrics", lambda: evaluate_all(predictions).unionByName(vote))
+        metadata = run.table("metadata", lambda: training_metadata(split, bag, config))
+        if model_path:
+            save_ensemble(bag, fitted, model_path)
+        if run_path:
+            _record(spark, run, run_path, experiment, config, fitted, predictions, metrics, metadata, model_path)
+        kept = [settle(df, name) for df, name in ((predictions, "predictions"), (metrics, "metrics"), (metadata, "metadata"))]
+    return TrainingResult(bag, fitted, *kept, run.run_id if run_path else None)
+
+
+def _record(spark, run: RunScope, run_path: str, experiment: str, config: TrainConfig, fitted, predictions: DataFrame, metrics: DataFrame, metadata: DataFrame, model_path: str | None) -> None:
+    """A run for each model and one for the vote below the run itself. A handful of rows: one for each model and metric."""
+    values = metrics_summary(metrics).collect()
+    report = classification_report(predictions).collect()
+    described = metadata.first().asDict()
+    whole = run_entries(experiment, run.name, described, artifacts={"training_metadata.json": json.dumps(described)}, run_id=run.run_id, status="RUNNING")
+    entries = [e for e in whole if e[5] != "run"]  # the scope records the run itself
+    for item in fitted:
+        found = {"auc_score": 0} | {v["metric"]: v["value"] for v in values if v["model"] == item.name}
+        artifacts = {"classification_report.txt": _report_text(report, item.name)}
+        artifacts |= {item.name: f"{model_path}/models/{item.name}"} if model_path else {}
+        entries += run_entries(experiment, item.name, config.classifiers[item.name], found, artifacts, run.run_id)
+    voted = {f"{v['model']}/{v['metric']}": v["value"] for v in values if v["model"] != "ensemble"}
+    voted |= {f"ensemble_{v['metric']}": v["value"] for v in values if v["model"] == "ensemble"}
+    entries += run_entries(experiment, "ensemble", None, voted, parent_id=run.run_id)
+    append_entries(spark, run_path, entries)

@@ -1,13 +1,14 @@
 """Metrics, votes, models, the model store, the run log and the training run."""
 
 import math
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexispark.config import TrainConfig, VectorConfig
-from lexispark.operators import metrics, models, prep, voting
+from lexispark.operators import metrics, models, prep, scale, voting
 from lexispark.plans import training
 from lexispark.sources import model_store, run_log, text_tables
 
@@ -139,11 +140,47 @@ def test_runs_are_recorded(spark, run):
     result, root = run
     found = {r["name"]: r for r in run_log.search_runs(spark, f"{root}/runs", "sentiment-classification").collect()}
     assert set(found) == {"full_pipeline", "logistic_regression", "svm", "random_forest", "ensemble"}
-    assert found["svm"]["parent_id"] == result.run_id and found["svm"]["n_artifacts"] == 1
-    assert found["ensemble"]["n_metrics"] == 4 and found["svm"]["n_metrics"] == 5
+    assert found["svm"]["parent_id"] == result.run_id and found["svm"]["n_artifacts"] == 2  # the report and the model
+    # the vote's four metrics, and five of each model
+    assert found["ensemble"]["n_metrics"] == 4 + 3 * 5 and found["svm"]["n_metrics"] == 5
+    assert {r["status"] for r in found.values()} == {"FINISHED"} and found["full_pipeline"]["n_artifacts"] == 1
     assert run_log.run_counts(spark, f"{root}/runs").first()["n_runs"] == 5
 
 
+def test_a_failed_run_goes_on(spark, reviews, tmp_path, monkeypatch):
+    paths = {}
+    for source in ("reviews", "tweets"):
+        paths[source] = f"{tmp_path}/{source}"
+        text_tables.write_processed(reviews.where(F.col("source") == source).drop("source"), paths[source])
+    config = TrainConfig(vectorizer_config=VectorConfig(max_features=50), classifiers={"svm": {"C": 1.0}})
+    call = lambda: training.run_files(spark, paths, config, sample_size=90, run_path=f"{tmp_path}/runs")
+    folder = f"{scale.work_dir(spark)}/lexispark".removeprefix("file:")
+    before = {f for f in os.listdir(folder) if f.startswith("run-")}
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(training, "evaluate_vote", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            call()
+    counts = {r["status"]: r["n_runs"] for r in run_log.run_counts(spark, f"{tmp_path}/runs").collect()}
+    assert counts == {"FAILED": 1}
+    assert len({f for f in os.listdir(folder) if f.startswith("run-")} - before) == 1
+
+    # what is finished is read: neither split nor fit happens again
+    monkeypatch.setattr(training, "stratified_split", broken)
+    monkeypatch.setattr(models, "_FITTERS", {"svm": broken})
+    result = call()
+    assert result.metadata.first()["dataset_size"] == 180 and len(result.metrics.collect()) == 2
+    found = {r["name"]: r for r in run_log.search_runs(spark, f"{tmp_path}/runs", "sentiment-classification").collect()}
+    assert found["full_pipeline"]["status"] == "FINISHED" and found["svm"]["parent_id"] == found["full_pipeline"]["run_id"] == result.run_id
+    assert {f for f in os.listdir(folder) if f.startswith("run-")} == before  # nothing is left of the scope
+    monkeypatch.undo()
+    other = training.run_files(spark, paths, config, sample_size=30)
+    assert other.metadata.first()["dataset_size"] == 60 and other.run_id is None
+
+
 def test_saved_ensemble_predicts_the_same(spark, reviews, run, rows):
     result, root = run
     fresh = model_store.score_saved(spark, f"{root}/models", reviews, ("source", "doc_id", "label"))
