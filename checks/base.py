@@ -129,19 +129,20 @@ SNIPPETS = (
 
 
 def snippet_docs(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document with a snippet appended, so that no cleaning step is idle; some texts null or blank."""
-    docs = table(spark, folder, "documents")
-    number = (F.col("doc_id") % (len(SNIPPETS) + 1)).cast("int")
-    snippets = F.array(*[F.lit(s) for s in SNIPPETS])
+    """Every document with a snippet appended, so that no cleaning step is idle, and rows more with a null or blank text."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    number = F.pmod("doc_id", F.lit(len(SNIPPETS))).cast("int")
+    texts = docs.withColumn("text", F.concat_ws(" ", "text", F.get(F.array(*[F.lit(s) for s in SNIPPETS]), number)))
     missing = F.when(F.col("doc_id") % 16 == 7, F.lit(None).cast("string")).otherwise("   ")
-    text = F.when(number < len(SNIPPETS), F.concat_ws(" ", "text", F.get(snippets, number))).otherwise(missing)
-    return docs.select("doc_id", "lang", "source", text.alias("text"))
+    more = docs.where(F.col("doc_id") % 8 == 7).select((-1 - F.col("doc_id")).alias("doc_id"), "lang", "source", missing.alias("text"))
+    return texts.unionByName(more)
 
 
 SNIPPET_SQL = (
-    "SELECT doc_id, lang, source, CASE doc_id % 8 "
-    + " ".join(f"WHEN {i} THEN text || ' ' || {quoted(s)}" for i, s in enumerate(SNIPPETS))
-    + " ELSE CASE WHEN doc_id % 16 = 7 THEN NULL ELSE '   ' END END AS text FROM documents"
+    f"SELECT doc_id, lang, source, concat_ws(' ', text, CASE doc_id % {len(SNIPPETS)} "
+    + " ".join(f"WHEN {i} THEN {quoted(s)}" for i, s in enumerate(SNIPPETS))
+    + " END) AS text FROM documents UNION ALL "
+    "SELECT -1 - doc_id, lang, source, CASE WHEN doc_id % 16 <> 7 THEN '   ' END FROM documents WHERE doc_id % 8 = 7"
 )
 
 # without lemmas and stems, whose tables have checks of their own

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.sources.csv_records import records
+
 # Spark's CSV writer trims values by default
 VERBATIM = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
 
@@ -14,14 +16,17 @@ TWEET_SCHEMA = "polarity int, id bigint, date string, query string, user string,
 
 def read_reviews(spark: SparkSession, path: str, header: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """Headed review CSV, reduced to ``Text`` and ``Score``. Quoted fields may span lines unless ``multi_line`` is switched
-    off, which lets Spark split large files.
+    off; large files are read by many tasks either way, see ``csv_records``.
 
     The schema covers the file's columns by position, so the header names come from ``header`` or one line of a file.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    options = {"header": True, "escape": '"'}
     names = header or spark.read.options(**options).option("inferSchema", False).csv(path).columns
     schema = ", ".join(f"`{name}` {'int' if name == 'Score' else 'string'}" for name in names)
-    return spark.read.options(**options).schema(schema).csv(path).select("Text", "Score")
+    if not multi_line:
+        return spark.read.options(**options).schema(schema).csv(path).select("Text", "Score")
+    parsed = records(spark, path).select(F.from_csv("value", schema, {"escape": '"', "mode": "PERMISSIVE"}).alias("r"))
+    return parsed.select("r.Text", "r.Score")
 
 
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:
