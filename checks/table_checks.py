@@ -300,6 +300,26 @@ def length_stats(spark, folder):
     return profile.length_stats(counts(spark, folder)).withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
+QUANTILES, ACCURACY = (0.1, 0.5, 0.9, 0.99), 200
+
+
+@check(
+    "a04_length_quantiles",
+    f"""SELECT source, share::DOUBLE AS share, count(*) AS n, true AS within FROM documents, (VALUES {", ".join(f"({q})" for q in QUANTILES)}) q(share)
+        GROUP BY source, share""",
+)
+def length_quantiles(spark, folder):
+    """Whether each sketched quantile has a rank within the stated error, by the exact ranks of all rows."""
+    lengths = table(spark, folder, "documents").select("source", F.coalesce(F.length("text"), F.lit(0)).alias("n_tokens"))
+    sketched = profile.length_quantiles(lengths, QUANTILES, ACCURACY)
+    ranks = lengths.join(F.broadcast(sketched), "source").groupBy("source", "share").agg(
+        F.count("*").alias("n"), F.count_if(F.col("n_tokens") < F.col("quantile")).alias("below"), F.count_if(F.col("n_tokens") <= F.col("quantile")).alias("upto")
+    )
+    error = F.col("n") / ACCURACY + 1
+    within = (F.col("below") <= F.col("share") * F.col("n") + error) & (F.col("upto") >= F.col("share") * F.col("n") - error)
+    return ranks.select("source", "share", "n", within.alias("within"))
+
+
 @check(
     "a05_top_tokens",
     f"""SELECT source, term, count, rank FROM (

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.operators.scale import first_rows, fits_broadcast, lookup_join, number_rows, settle
+from lexispark.operators.scale import first_rows, fits_broadcast, lookup_join, running_totals, settle
 
 # The shuffle key is a hash, so its leading hex digits cut any table into even buckets.
 _BUCKET_DIGITS = 4
+BUCKET_ROWS = 100_000
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -59,11 +60,26 @@ def shuffle_key(seed: int, keys: Sequence[str]) -> Column:
 
 
 def shuffle(df: DataFrame, seed: int, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Seeded global shuffle: ``position`` numbers the rows from 0 in shuffled order."""
-    keyed = df.withColumn("_key", shuffle_key(seed, keys))
-    order = [F.col("_key"), *[F.col(key) for key in keys]]
-    numbered = number_rows(keyed, order, "_number")
-    return numbered.withColumn("position", F.col("_number") - 1).drop("_key", "_number")
+    """Seeded global shuffle: ``position`` numbers the rows from 0 in shuffled order.
+
+    A bucketed scatter: the rows of each prefix of the hash are counted, which gives every bucket its first position; then
+    each row crosses one exchange to its bucket, where it is numbered. Buckets have about ``BUCKET_ROWS`` rows. ``keys``
+    identify a row.
+    """
+    rows = df.count()
+    digits = 1
+    while rows / 16**digits > BUCKET_ROWS:
+        digits += 1
+    bucket = F.substring(shuffle_key(seed, keys), 1, digits)
+    counts = settle(df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n")), "bucket-counts")
+    ends = running_totals(counts, [F.col("_bucket")], {"_end": F.col("_n")}, name="bucket-ends")
+    starts = settle(ends.select("_bucket", (F.col("_end") - F.col("_n")).alias("_start")), "bucket-starts")
+    keyed = df.withColumn("_key", shuffle_key(seed, keys)).withColumn("_bucket", bucket)
+    # beyond the broadcast bounds both sides meet by bucket, which is the exchange that the numbering needs anyway
+    placed = keyed.join(F.broadcast(starts) if fits_broadcast(starts) else starts, "_bucket")
+    inside = Window.partitionBy("_bucket").orderBy("_key", *[F.col(key) for key in keys])
+    position = F.col("_start") + F.row_number().over(inside) - 1
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], position.alias("position"))
 
 
 def _group_key(group: str) -> Column:

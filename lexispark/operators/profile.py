@@ -52,6 +52,21 @@ def length_stats(counts: DataFrame, value: str = "n_tokens", source: str = "sour
     )
 
 
+def length_quantiles(
+    counts: DataFrame, shares: Sequence[float], accuracy: int = 10_000, value: str = "n_tokens", source: str = "source"
+) -> DataFrame:
+    """``(source, share, quantile)`` from mergeable sketches, for values with about as many distinct ones as rows.
+
+    The rank of a quantile is off by 1 / ``accuracy`` of the source's rows at most. A sketch has a bounded number of entries
+    however many values there are, where ``length_stats`` keeps one for each distinct value.
+    """
+    if not shares or not all(0 <= share <= 1 for share in shares):
+        raise ValueError(f"shares lie between 0 and 1: {shares}")
+    wanted = F.array(*[F.lit(float(share)) for share in shares])
+    found = counts.groupBy(source).agg(F.approx_percentile(value, list(map(float, shares)), accuracy).alias("_found"))
+    return found.select(source, F.explode(F.arrays_zip(wanted.alias("share"), F.col("_found").alias("quantile"))).alias("q")).select(source, "q.share", "q.quantile")
+
+
 def token_frequencies(df: DataFrame, by: Sequence[str], text: str = "processed") -> DataFrame:
     # a missing text has no tokens; filtering it first would repeat a computed text in the filter
     tokens = df.select(*by, F.explode(tokenize_whitespace(F.col(text))).alias("term"))

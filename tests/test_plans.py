@@ -69,6 +69,22 @@ def test_terms_beyond_the_bounds_are_replaced_with_one_shuffle(docs, monkeypatch
     assert text.index("Generate posexplode") < text.index("hashpartitioning(_row")
 
 
+def test_a_shuffled_text_crosses_one_exchange(docs, monkeypatch):
+    monkeypatch.setattr("lexispark.operators.prep.BUCKET_ROWS", 20)
+    conf, name = docs.sparkSession.conf, "spark.sql.autoBroadcastJoinThreshold"
+    before = conf.get(name)
+    try:
+        for rows, threshold, exchanges in ((1_000_000, before, 1), (0, "-1", 2)):  # the second one is that of the bucket starts
+            monkeypatch.setattr("lexispark.operators.scale.MAX_BROADCAST_ROWS", rows)
+            conf.set(name, threshold)
+            shuffled = prep.shuffle(docs, 1)
+            moved = [line for line in plan(shuffled).splitlines() if "Exchange hashpartitioning" in line or "Exchange range" in line]
+            assert len(moved) == exchanges and all("_bucket" in line for line in moved)
+            assert sorted(r["position"] for r in shuffled.collect()) == list(range(docs.count()))
+    finally:
+        conf.set(name, before)
+
+
 def test_cosine_keeps_only_the_top_rows(docs):
     model = vectors.fit_bag(docs, VectorConfig(max_features=50))
     text = plan(ranking.cosine_topk(docs, model, 3, 5))
