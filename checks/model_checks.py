@@ -1,13 +1,14 @@
 """M and E: models, voting, evaluation and the training run. What depends on a solver has no SQL twin."""
 
 import uuid
+from dataclasses import asdict
 from functools import lru_cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks.base import LABELLED_SQL, PREDICTIONS_SQL, check, labelled, predictions, table
-from checks.table_checks import split_sql
+from checks.table_checks import split_sql, written_results
 from checks.vector_checks import CTES, beyond, fitted, texts, vocabulary_ctes
 from lexispark.config import TrainConfig
 from lexispark.operators import metrics, models, vectors, voting
@@ -95,7 +96,6 @@ def feature_importance(spark, folder):
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
-@check("m07_fit_all")
 def fit_all(spark, folder):
     bag, _, fitted_models = trained(spark, folder)
     rows = [(m.position, m.name, m.model.numFeatures, bag.vocabulary.size) for m in fitted_models]
@@ -134,9 +134,6 @@ def saved(spark, folder):
     return path
 
 
-check("s06_save_models")(lambda s, f: model_store.manifest(s, saved(s, f)))
-
-
 @check("s06_joined_save_and_score")
 def joined_save_and_score(spark, folder):
     """Models behind a vocabulary that is saved as a table, loaded and applied."""
@@ -277,11 +274,34 @@ check("e14_comparison_table", f"{ALL_SQL} UNION ALL BY NAME {ENSEMBLE_SQL}")(
     lambda s, f: rounded(metrics.comparison_table(predictions(s, f)), *NUMBERS)
 )
 
+check("s05_write_results", f"{ALL_SQL} UNION ALL BY NAME {ENSEMBLE_SQL}")(lambda s, f: rounded(written_results(s, f), *NUMBERS))
+
 # ------------------------------------------------------------------ the training run
 SPLIT_SQL = split_sql(LABELLED_SQL, "'42|' || source || '|' || doc_id")
 TRAIN_CTES = "WITH sp AS (" + SPLIT_SQL + "), " + vocabulary_ctes("SELECT doc_id, processed AS text FROM sp WHERE split = 'train'")
 
 
+check(
+    "m07_fit_all",
+    f"""{TRAIN_CTES} SELECT position::INT AS position, model, (SELECT count(*) FROM vocab)::INT AS n_features, (SELECT count(*) FROM vocab)::INT AS vocab_size
+        FROM (VALUES {", ".join(f"({at}, '{name}')" for at, name in enumerate(TRAIN.classifiers))}) m(position, model)""",
+)(fit_all)
+
+
+def _manifest_sql() -> str:
+    """A row for each model, in their order, all behind the analyzer of the run's settings."""
+    config = asdict(TRAIN.vectorizer_config)
+    rows = ", ".join(f"({at}, '{name}')" for at, name in enumerate(TRAIN.classifiers))
+    return f"SELECT position::INT AS position, name, 'processed' AS text, {config['max_features']} AS max_features, {config['min_df']} AS min_df FROM (VALUES {rows}) m(position, name)"
+
+
+@check("s06_save_models", _manifest_sql())
+def save_models(spark, folder):
+    settings = F.col("settings")
+    number = lambda key: F.get_json_object(settings, f"$.analyzer.{key}").cast("int").alias(key)
+    return model_store.manifest(spark, saved(spark, folder)).select("position", "name", F.get_json_object(settings, "$.text").alias("text"), number("max_features"), number("min_df"))
+
+
 @check(
     "e15_training_metadata",
     f"""{TRAIN_CTES} SELECT count(*) AS dataset_size, count(*) FILTER (split = 'train') AS train_size,

@@ -88,8 +88,8 @@ def write_processed(spark, folder):
     return text_tables.read_processed(spark, path, "parquet")
 
 
-@check("s05_write_results")
-def write_results(spark, folder):
+def written_results(spark, folder):
+    """The comparison table as written and read back; registered next to the SQL of the table."""
     path = fresh(spark, "results")
     text_tables.write_results(metrics.comparison_table(predictions(spark, folder)), path)
     return spark.read.csv(path, header=True, schema="model string, accuracy double, precision double, recall double, f1 double, auc_score double")
