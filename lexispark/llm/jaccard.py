@@ -5,15 +5,18 @@ common ones has a prefix of n - o + m shingles; two linked documents share at le
 of their two m. Each document picks its m by the estimated cost of its candidates (see ``_prefix``).
 
 1. Documents with equal shingle sets form one class (map-side minima); only a class's smallest document goes on.
-2. Count-min sketches give the order and the costs. Documents without a prefix shingle that occurs elsewhere are done; a
-   sketch over the prefixes removes shingles that no other prefix holds, before anything is shuffled.
-3. Pivot rounds: the members of a shingle's list meet one pivot, a document with few shingles of its own, not each other,
-   and each component verifies its pair with most common shingles on the whole sets. This joins most copies without
+2. A count-min sketch of fixed size over all shingles gives the order and the costs. It may be as coarse as it likes: any
+   order that all documents share is right, and shingles that occur far more often than others stand out at every size.
+3. Only prefixes leave the scan. A sketch over them removes shingles that no other prefix holds, as far as its size
+   allows; from then on a list is kept only while it holds documents of two components. The whole sets are built for
+   documents that still have a list.
+4. Pivot rounds: the members of a shingle's list meet one pivot, a document with few prefix shingles of its own, not each
+   other, and each component verifies its pair with most common shingles on the whole sets. This joins most copies without
    looking at all their pairs.
-4. Then every pair from different components that still shares enough prefix shingles is verified: in each list the
+5. Then every pair from different components that still shares enough prefix shingles is verified: in each list the
    members outside its largest component meet all others. Pairs inside a component can't change the result. A pair
-   leaves the join once, at its smallest common prefix shingle, and only if two upper bounds of the common shingles
-   reach the similarity: the shingles that occur elsewhere at all, and those whose bit is set in the other's bitmap.
+   leaves the join once, at its smallest common prefix shingle, and only if the shingles whose bit is set in the other's
+   bitmap are enough for the similarity.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexispark.llm.graph import components
-from lexispark.llm.sketch import bits_for, estimated, merged, reached
+from lexispark.llm.sketch import bits_for, counted, estimated, merged, reached
 from lexispark.llm.words import LANES, Words, grams, mix, signed, slices
 from lexispark.operators.scale import fits_broadcast, settle
 
@@ -36,7 +39,7 @@ MOST_MATCHES = 8
 PIVOT_ROUNDS = 4
 BITMAP_BITS = 10  # a set's bitmap has two to this power bits, kept as 64-bit columns
 BITMAP = [f"bits{i}" for i in range(1 << BITMAP_BITS >> 6)]
-ORDER_BITS = 20  # cells of the sketch that orders the shingles, per row
+ORDER_BITS = 21  # cells of the sketch that orders the shingles, per row
 CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 27
 
 
@@ -74,6 +77,11 @@ def _prefix(order: np.ndarray, est: np.ndarray, size: int, common: int) -> tuple
     return best, base + best
 
 
+def _fingerprint(found: np.ndarray) -> np.ndarray:
+    """Of a set's hashes, whatever their order."""
+    return mix(found * np.uint64(LANES[1])).sum(dtype=np.uint64)
+
+
 def _bitmap(found: np.ndarray) -> np.ndarray:
     """Bits of a set's hashes as 64-bit numbers."""
     bits = np.zeros(1 << BITMAP_BITS, bool)
@@ -103,33 +111,26 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             for words in slices(batch.column("text"), lower=True, lanes=1):
                 for i, found in _sets(words, k):
                     size[i] = len(found)
-                    f1[i] = mix(found * np.uint64(LANES[1])).sum(dtype=np.uint64)
+                    f1[i] = _fingerprint(found)
                     f2[i] = mix(found ^ np.uint64(LANES[0])).sum(dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), signed(f1), signed(f2)], ["doc_id", "n", "f1", "f2"])
 
     members = settle(docs.mapInArrow(summaries, "doc_id bigint, n bigint, f1 bigint, f2 bigint"), "members")
     linkable = members.where("doc_id is not null and n > 0")
-    classes = linkable.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
+    classes = settle(linkable.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "class-heads")
     mapped = settle(linkable.join(classes, ["f1", "f2", "n"]).select("doc_id", "rep").distinct(), "classes")
-    reps = mapped.where("doc_id = rep").select("doc_id")
+    repeated = settle(members.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    each_once = repeated.isEmpty()
 
-    # which shingles occur in several texts, and about in how many
-    total = members.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.lit(0))).first()
-    bits = bits_for(float(total[0]), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
+    # about how many texts a shingle occurs in
+    total = members.agg(F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.lit(0))).first()[0]
 
     def all_tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for words in slices(batch.column("text"), lower=True, lanes=1):
-            found = [s for _, s in _sets(words, k)]
-            if found:
-                yield np.concatenate(found)
-
-    several = spark.sparkContext.broadcast(merged(docs, all_tokens, bits, at_least=2))
-
-    def common_tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for tokens in all_tokens(batch):
-            yield tokens[reached(several.value, tokens, bits)]
+            for _, found in _sets(words, k):
+                yield found
 
-    table = merged(docs, common_tokens, ORDER_BITS)
+    table = counted(docs, all_tokens, ORDER_BITS)
     noise = float(table[0].sum(dtype=np.float64)) / (1 << ORDER_BITS)
     counts = spark.sparkContext.broadcast(table)
     del table
@@ -141,38 +142,24 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                 out: list[tuple] = []
                 for i, found in _sets(words, k):
                     size = len(found)
-                    common = -(-percent * size // 100)
-                    other = reached(several.value, found, bits)
-                    if other.sum() < common:
-                        continue  # too few shingles occur elsewhere for any link
-                    est = np.where(other, np.maximum(2.0, estimated(counts.value, found, ORDER_BITS, noise)), 1.0)
+                    est = estimated(counts.value, found, ORDER_BITS, noise)
                     order = np.lexsort((found, np.floor(np.log2(est) * 2)))
-                    m, length = _prefix(order, est, size, common)
-                    head = order[:length]
-                    if other[head].any():
-                        out.append((i, size, other.sum(), m, found[head[other[head]]].tobytes(), found))
+                    m, length = _prefix(order, est, size, -(-percent * size // 100))
+                    out.append((i, _fingerprint(found), size, m, found[order[:length]].tobytes()))
                 if out:
-                    at, size, known, m, head, whole = zip(*out)
-                    bitmaps = np.array([_bitmap(x) for x in whole])
-                    offsets = np.cumsum([0, *map(len, whole)])
+                    at, text, size, m, head = zip(*out)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            ids.take(pa.array(at)), pa.array(size, pa.int64()), pa.array(known, pa.int64()), pa.array(m, pa.int32()),
-                            pa.array(head, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), signed(np.concatenate(whole))),
-                            *(pa.array(np.ascontiguousarray(x)) for x in bitmaps.T),
-                        ],
-                        ["doc_id", "size", "known", "m", "head", "tokens", *BITMAP],
+                        [ids.take(pa.array(at)), signed(np.array(text, np.uint64)), pa.array(size, pa.int64()), pa.array(m, pa.int32()), pa.array(head, pa.binary())],
+                        ["rep", "text_no", "size", "m", "head"],
                     )
 
-    columns = "doc_id bigint, size bigint, known bigint, m int, head binary, tokens array<bigint>" + "".join(f", {b} bigint" for b in BITMAP)
-    found = docs.where("doc_id is not null").mapInArrow(prefixes, columns)
-    sets = settle(found.withColumn("text_no", F.monotonically_increasing_id()), "sets")
-    several.destroy()
+    found = docs.where("doc_id is not null").mapInArrow(prefixes, "rep bigint, text_no bigint, size bigint, m int, head binary")
+    heads = found.join(classes.select("rep", F.col("f1").alias("text_no")), ["rep", "text_no"], "left_semi")
+    heads = settle(heads if each_once else heads.dropDuplicates(["rep", "text_no"]), "heads")
     counts.destroy()
-    heads = settle(sets.select("doc_id", "text_no", "size", "known", "m", "head").join(reps, "doc_id", "left_semi"), "heads")
 
     # shingles of at least two prefixes
-    head_bits = bits_for(float(total[1]), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
+    head_bits = bits_for(float(total), CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS)
     shared = spark.sparkContext.broadcast(
         merged(heads.select("head"), lambda batch: (np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("head")), head_bits, at_least=2)
     )
@@ -180,18 +167,57 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body = [x.as_py() for x in batch.column("head")]
+            length = np.array([len(x) // 8 for x in body])
             token = np.frombuffer(b"".join(body), np.uint64)
-            at = np.repeat(np.arange(batch.num_rows), [len(x) // 8 for x in body])
+            at = np.repeat(np.arange(batch.num_rows), length)
             keep = reached(shared.value, token, head_bits)
-            at, token = pa.array(at[keep]), token[keep]
+            at, token = at[keep], token[keep]
+            own = 16 - 16 * np.bincount(at, minlength=batch.num_rows) // np.maximum(length, 1)  # sixteenths of the prefix
+            at = pa.array(at)
             yield pa.RecordBatch.from_arrays(
-                [signed(token), *(batch.column(c).take(at) for c in ("doc_id", "text_no", "size", "known", "m"))],
-                ["token", "rep", "text_no", "size", "known", "m"],
+                [signed(token), *(batch.column(c).take(at) for c in ("rep", "text_no", "size", "m")), pa.array(own, pa.int32()).take(at)],
+                ["token", "rep", "text_no", "size", "m", "own"],
             )
 
-    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, text_no bigint, size bigint, known bigint, m int"), "lists")
+    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, text_no bigint, size bigint, m int, own int"), "lists")
     shared.destroy()
 
+    def narrowed(lists: DataFrame, placed: DataFrame, round_: int) -> DataFrame:
+        """Entries of lists with two components, with their own component and the list's pivot. Hot lists are joined, not gathered."""
+        now = _placed(lists, placed)
+        first = F.struct("own", F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "comp")
+        pivots = now.groupBy("token").agg(F.min(first).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+        pivots = settle(pivots.select("token", F.col("p.rep").alias("p_rep"), F.col("p.size").alias("p_size"), F.col("p.comp").alias("p_comp")), "pivots")
+        return settle(now.join(F.broadcast(pivots) if fits_broadcast(pivots) else pivots, "token"), "open-lists")
+
+    # documents of several texts are linked through their doc_id; classes by their smallest document
+    links = mapped.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    placed = components(links.join(repeated.withColumnRenamed("doc_id", "b"), "b", "left_semi").select("a", "b"))
+    now = narrowed(lists, placed, 0)
+
+    # whole sets of the documents that share a prefix shingle with another component
+    listed = settle(now.select(F.col("rep").alias("doc_id")).distinct(), "listed")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in slices(batch.column("text"), lower=True, lanes=1):
+                out = [(i, _fingerprint(found), found) for i, found in _sets(words, k)]
+                if out:
+                    at, text, tokens = zip(*out)
+                    bitmaps = np.array([_bitmap(x) for x in tokens])
+                    offsets = pa.array(np.cumsum([0, *map(len, tokens)]), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").take(pa.array(at)), signed(np.array(text, np.uint64)),
+                            pa.ListArray.from_arrays(offsets, signed(np.concatenate(tokens))), *(pa.array(np.ascontiguousarray(x)) for x in bitmaps.T),
+                        ],
+                        ["doc_id", "text_no", "tokens", *BITMAP],
+                    )
+
+    some = docs.join(F.broadcast(listed) if fits_broadcast(listed) else listed, "doc_id", "left_semi").select("doc_id", "text")
+    sets = some.mapInArrow(whole, "doc_id bigint, text_no bigint, tokens array<bigint>" + "".join(f", {b} bigint" for b in BITMAP))
+    sets = settle(sets if each_once else sets.dropDuplicates(["doc_id", "text_no"]), "sets")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` whose whole sets are similar enough. Only sets of the pairs are moved."""
         pairs = settle(pairs, "pairs")
@@ -205,46 +231,34 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         both = side("a", "left").join(side("b", "right"), ["a", "b"])
         return both.where(100 * common >= percent * union).select("a", "b").distinct()
 
-    total_size = F.col("x.size") + F.col("y.size")
-
-    def reachable(common: Column) -> Column:
-        """Whether sets with at most so many common shingles can be linked."""
-        return 100 * common >= percent * (total_size - common)
-
-    known = reachable(F.least("x.known", "y.known"))
+    def reachable(common: Column, one: Column, other: Column) -> Column:
+        """Whether sets of these sizes with at most so many common shingles can be linked."""
+        return 100 * common >= percent * (one + other - common)
 
-    # documents of several texts are linked through their doc_id; classes by their smallest document
-    links = mapped.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    repeated = members.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("b"))
-    placed = components(links.join(repeated, "b", "left_semi").select("a", "b"))
     for round_ in range(PIVOT_ROUNDS):
-        now = _placed(lists, placed)
-        own_share = F.floor(16 * (F.col("size") - F.col("known")) / F.col("size"))
-        first = F.struct(own_share.alias("own"), F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "known", "m", "comp")
-        pivot = now.groupBy("token").agg(F.min(first).alias("p")).select("token", "p.rep", "p.size", "p.known", "p.m", "p.comp")
-        pairs = now.alias("x").join(pivot.alias("y"), "token").where(F.expr("x.comp <> y.comp") & known)
-        pairs = pairs.select(F.col("x.comp").alias("comp"), F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+        sizes = F.col("size"), F.col("p_size")
+        pairs = now.where("comp <> p_comp").where(reachable(F.least(*sizes), *sizes))
+        pairs = pairs.select("comp", F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b"))
         # one pair for each component: the one with most common shingles
         best = pairs.groupBy("a", "b", "comp").agg(F.count("*").alias("shared")).groupBy("comp").agg(F.max(F.struct("shared", "a", "b")).alias("p"))
         placed = _joined(placed, verified(best.select("p.a", "p.b").distinct()))
-    now = _placed(lists, placed)
-    # lists of one component have nothing left to compare
-    split = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    now = settle(now.join(split, "token", "left_semi"), "open-lists")
+        # lists of one component have nothing left to compare
+        now = narrowed(now.select(*lists.columns), placed, round_ + 1)
     largest = now.groupBy("token", "comp").count().groupBy("token").agg(F.max(F.struct("count", "comp")).alias("top"))
     tagged = now.join(largest.select("token", F.col("top.comp").alias("top")), "token").withColumn("minor", F.expr("comp <> top"))
     bits_set = reduce(add, [F.bit_count(b) for b in BITMAP])
-    tokens = now.groupBy("text_no").agg(F.sort_array(F.collect_set("token")).alias("prefix"))  # not longer than a set's prefix
-    tagged = tagged.join(tokens.join(sets.select("text_no", (F.col("size") - bits_set).alias("folded"), *BITMAP), "text_no"), "text_no")
+    tokens = now.groupBy("rep", "text_no").agg(F.sort_array(F.collect_set("token")).alias("prefix"))  # not longer than a set's prefix
+    of_text = sets.select(F.col("doc_id").alias("rep"), "text_no", (F.size("tokens") - bits_set).alias("folded"), *BITMAP)
+    tagged = tagged.join(tokens.join(of_text, ["rep", "text_no"]), ["rep", "text_no"])
     one, other = tagged.where("minor").alias("x"), tagged.alias("y")
     differ = F.expr("x.token = y.token AND x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
 
     # shingles of both sets at most: a bit that the other lacks is one that is not common
     both_bits = reduce(add, [F.bit_count(F.col(f"x.{b}").bitwiseAND(F.col(f"y.{b}"))) for b in BITMAP])
-    matched = reachable(F.least("x.folded", "y.folded") + both_bits)
+    matched = reachable(F.least("x.folded", "y.folded") + both_bits, F.col("x.size"), F.col("y.size"))
     shared = F.array_intersect("x.prefix", "y.prefix")  # in rising order, so the first is the smallest
     # few rows can meet in many pairs, so a small table must not go to a single task as a broadcast join would send it
-    met = one.join(other.hint("merge"), differ & known & matched & (F.get(shared, F.lit(0)) == F.col("x.token")))
+    met = one.join(other.hint("merge"), differ & matched & (F.get(shared, F.lit(0)) == F.col("x.token")))
     pairs = met.select(
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.least("x.m", "y.m").alias("m"), F.size(shared).alias("shared")
     )

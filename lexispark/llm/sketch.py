@@ -45,10 +45,28 @@ def _messages(parts: list[list[np.ndarray]], bits: int) -> Iterator[tuple[int, b
         for block in range(blocks):
             a, b = ends[block], ends[block + 1]
             if a < b:
-                inside = (cell[a:b] & ((1 << BLOCK_BITS) - 1)).astype(np.uint16)
-                inside[1:] -= inside[:-1].copy()
-                body = inside.tobytes() + count[a:b].astype(np.uint32).tobytes()
-                yield row * blocks + block, zlib.compress(body, 1)
+                yield row * blocks + block, _encoded(cell[a:b] & ((1 << BLOCK_BITS) - 1), count[a:b])
+
+
+def _encoded(cell: np.ndarray, count: np.ndarray) -> bytes:
+    """Rising cells of a block as differences, and their counts."""
+    inside = cell.astype(np.uint16)
+    inside[1:] -= inside[:-1].copy()
+    return zlib.compress(inside.tobytes() + count.astype(np.uint32).tobytes(), 1)
+
+
+def _whole(totals: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
+    """Messages of a task that has counted all its cells."""
+    for number, block in enumerate(totals.reshape(-1, 1 << min(bits, BLOCK_BITS))):
+        cell = np.flatnonzero(block)
+        if len(cell):
+            yield number, _encoded(cell, block[cell])
+
+
+def _sent(messages: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(messages, MESSAGES)):
+        block, data = zip(*some)
+        yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
 
 
 def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, at_least: int | None = None) -> np.ndarray:
@@ -57,7 +75,6 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
     With ``at_least`` a packed bit per cell, set where the count reaches it; else the counts as 32-bit numbers. Shape:
     (DEPTH, cells or bytes of cells).
     """
-    width = 1 << min(bits, BLOCK_BITS)
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
@@ -68,15 +85,30 @@ def merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray
                     parts[row].append(cells(part, row, bits).astype(np.uint32))
                 held += len(part)
                 if held > HELD:
-                    yield from sent(parts)
+                    yield from _sent(_messages(parts, bits))
                     parts, held = [[] for _ in range(DEPTH)], 0
-        yield from sent(parts)
+        yield from _sent(_messages(parts, bits))
+
+    return _added(df, partition, bits, at_least)
+
 
-    def sent(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        messages = _messages(parts, bits)
-        while some := list(islice(messages, MESSAGES)):
-            block, data = zip(*some)
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
+def counted(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
+    """As ``merged`` without a bound, for a small sketch: each task holds all cells and sends them once, at its end."""
+
+    def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((DEPTH, 1 << bits), np.uint32)
+        for batch in batches:
+            for part in hashes(batch):
+                for row in range(DEPTH):
+                    np.add.at(totals[row], cells(part, row, bits), np.uint32(1))
+        yield from _sent(_whole(totals, bits))
+
+    return _added(df, partition, bits, None)
+
+
+def _added(df: DataFrame, partition: Callable, bits: int, at_least: int | None) -> np.ndarray:
+    """The sum of the messages that ``partition`` makes of each partition."""
+    width = 1 << min(bits, BLOCK_BITS)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
