@@ -2,7 +2,8 @@
 
 Shingles are ordered by their estimated number of documents, rare ones first. A document of n shingles whose links need o
 common ones has a prefix of n - o + m shingles; two linked documents share at least as many prefix shingles as the smaller
-of their two m. Each document picks its m by the estimated cost of its candidates (see ``_prefix``).
+of their two m. Each document picks its m by the estimated cost of its candidates (see ``_prefix``), from n - o on: then a
+document without so many prefix shingles in the prefixes of others (as many as the smallest partner may ask for) is done.
 
 1. Documents with equal shingle sets form one class (map-side minima); only a class's smallest document goes on.
 2. A count-min sketch of fixed size over all shingles gives the order and the costs. It may be as coarse as it likes: any
@@ -58,17 +59,24 @@ def _sets(words: Words, k: int) -> Iterator[tuple[int, np.ndarray]]:
             yield words.first + i, mix(grams(words.lanes[0][a:b], b - a, LANES[0]) + np.uint64(b - a))
 
 
-def _prefix(order: np.ndarray, est: np.ndarray, size: int, common: int) -> tuple[int, int]:
+def _least(size: int, percent: int) -> int:
+    """The fewest matches that a document of this size asks for; no smaller one asks for more."""
+    common = -(-percent * size // 100)
+    return max(1, min(common, size - common))
+
+
+def _prefix(order: np.ndarray, est: np.ndarray, size: int, percent: int) -> tuple[int, int]:
     """Required matches m and prefix length of least estimated cost.
 
     Cost of m: the list entries that the prefix meets, and a verification for each document that can share m of them (at
     most the entries divided by m), each as costly as reading a 16th of the set.
     """
+    common, lowest = -(-percent * size // 100), _least(size, percent)
     base = size - common
-    most = min(MOST_MATCHES, common)
+    most = min(lowest + MOST_MATCHES - 1, common)
     sums = np.cumsum(est[order[: base + most]])
-    best, least = 1, None
-    for m in range(1, most + 1):
+    best, least = lowest, None
+    for m in range(lowest, most + 1):
         entries = sums[base + m - 1]
         others = entries - (base + m)
         cost = entries + others / m * (1 + size / 16)
@@ -123,7 +131,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     each_once = repeated.isEmpty()
 
     # about how many texts a shingle occurs in
-    total = members.agg(F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.lit(0))).first()[0]
+    total = members.agg(F.coalesce(F.sum(F.floor(F.col("n") * (100 - percent) / 50) + 1), F.lit(0))).first()[0]
 
     def all_tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for words in slices(batch.column("text"), lower=True, lanes=1):
@@ -144,7 +152,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                     size = len(found)
                     est = estimated(counts.value, found, ORDER_BITS, noise)
                     order = np.lexsort((found, np.floor(np.log2(est) * 2)))
-                    m, length = _prefix(order, est, size, -(-percent * size // 100))
+                    m, length = _prefix(order, est, size, percent)
                     out.append((i, _fingerprint(found), size, m, found[order[:length]].tobytes()))
                 if out:
                     at, text, size, m, head = zip(*out)
@@ -172,14 +180,18 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             at = np.repeat(np.arange(batch.num_rows), length)
             keep = reached(shared.value, token, head_bits)
             at, token = at[keep], token[keep]
-            own = 16 - 16 * np.bincount(at, minlength=batch.num_rows) // np.maximum(length, 1)  # sixteenths of the prefix
-            at = pa.array(at)
+            known = np.bincount(at, minlength=batch.num_rows)
+            own = 16 - 16 * known // np.maximum(length, 1)  # sixteenths of the prefix
+            # what the smallest possible partner asks for
+            least = np.array([_least(-(-percent * n // 100), percent) for n in batch.column("size").to_pylist()], np.int64)
+            enough = (known >= least)[at]
+            at, token = pa.array(at[enough]), token[enough]
             yield pa.RecordBatch.from_arrays(
-                [signed(token), *(batch.column(c).take(at) for c in ("rep", "text_no", "size", "m")), pa.array(own, pa.int32()).take(at)],
-                ["token", "rep", "text_no", "size", "m", "own"],
+                [signed(token), *(batch.column(c).take(at) for c in ("rep", "text_no", "size", "m")), *(pa.array(x, pa.int32()).take(at) for x in (own, least))],
+                ["token", "rep", "text_no", "size", "m", "own", "least"],
             )
 
-    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, text_no bigint, size bigint, m int, own int"), "lists")
+    lists = settle(heads.mapInArrow(postings, "token bigint, rep bigint, text_no bigint, size bigint, m int, own int, least int"), "lists")
     shared.destroy()
 
     def narrowed(lists: DataFrame, placed: DataFrame, round_: int) -> DataFrame:
@@ -188,7 +200,11 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         first = F.struct("own", F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "comp")
         pivots = now.groupBy("token").agg(F.min(first).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         pivots = settle(pivots.select("token", F.col("p.rep").alias("p_rep"), F.col("p.size").alias("p_size"), F.col("p.comp").alias("p_comp")), "pivots")
-        return settle(now.join(F.broadcast(pivots) if fits_broadcast(pivots) else pivots, "token"), "open-lists")
+        now = settle(now.join(F.broadcast(pivots) if fits_broadcast(pivots) else pivots, "token"), "open-lists")
+        # an entry for each match that a link of another component could have
+        few = now.groupBy("rep", "text_no").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n < least")
+        few = settle(few.select("rep", "text_no"), "few")
+        return now.join(F.broadcast(few) if fits_broadcast(few) else few, ["rep", "text_no"], "left_anti")
 
     # documents of several texts are linked through their doc_id; classes by their smallest document
     links = mapped.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -250,6 +266,8 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     tokens = now.groupBy("rep", "text_no").agg(F.sort_array(F.collect_set("token")).alias("prefix"))  # not longer than a set's prefix
     of_text = sets.select(F.col("doc_id").alias("rep"), "text_no", (F.size("tokens") - bits_set).alias("folded"), *BITMAP)
     tagged = tagged.join(tokens.join(of_text, ["rep", "text_no"]), ["rep", "text_no"])
+    # the smallest common shingle of a pair that shares enough is not among a document's last ones
+    tagged = tagged.where("token <= element_at(prefix, greatest(1, size(prefix) - least + 1))")
     one, other = tagged.where("minor").alias("x"), tagged.alias("y")
     differ = F.expr("x.token = y.token AND x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
 
@@ -258,11 +276,8 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     matched = reachable(F.least("x.folded", "y.folded") + both_bits, F.col("x.size"), F.col("y.size"))
     shared = F.array_intersect("x.prefix", "y.prefix")  # in rising order, so the first is the smallest
     # few rows can meet in many pairs, so a small table must not go to a single task as a broadcast join would send it
-    met = one.join(other.hint("merge"), differ & matched & (F.get(shared, F.lit(0)) == F.col("x.token")))
-    pairs = met.select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.least("x.m", "y.m").alias("m"), F.size(shared).alias("shared")
-    )
-    pairs = settle(pairs, "met").where("shared >= m").select("a", "b")
+    met = one.join(other.hint("merge"), differ & matched & (F.get(shared, F.lit(0)) == F.col("x.token")) & (F.size(shared) >= F.least("x.m", "y.m")))
+    pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
     placed = _joined(placed, verified(pairs.distinct()))
 
     of_class = placed.select(F.col("node").alias("rep"), "component")
