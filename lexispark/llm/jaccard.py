@@ -9,15 +9,15 @@ document without so many prefix shingles in the prefixes of others (as many as t
 2. A count-min sketch of fixed size over all shingles gives the order and the costs. It may be as coarse as it likes: any
    order that all documents share is right, and shingles that occur far more often than others stand out at every size.
 3. Only prefixes leave the scan. A sketch over them removes shingles that no other prefix holds, as far as its size
-   allows; from then on a list is kept only while it holds documents of two components. The whole sets are built for
-   documents that still have a list.
+   allows. Of the K that are left of a prefix, links share at least some number ``least``, so the first K - least + q are
+   enough for q matches, with a larger q where m was lengthened. From then on a list is kept only while it holds
+   documents of two components. The whole sets are built for documents that still have a list.
 4. Pivot rounds: the members of a shingle's list meet one pivot, a document with few prefix shingles of its own, not each
    other, and each component verifies its pair with most common shingles on the whole sets. This joins most copies without
    looking at all their pairs.
-5. Then every pair from different components that still shares enough prefix shingles is verified: in each list the
-   members outside its largest component meet all others. Pairs inside a component can't change the result. A pair
-   leaves the join once, at its smallest common prefix shingle, and only if the shingles whose bit is set in the other's
-   bitmap are enough for the similarity.
+5. Then every pair from different components that shares q entries is verified: in each list the members outside its
+   largest component meet all others, and a pair counts only if the shingles whose bit is set in the other's bitmap are
+   enough for the similarity. Pairs inside a component can't change the result.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from lexispark.llm.sketch import bits_for, counted, estimated, merged, reached
 from lexispark.llm.words import LANES, Words, grams, mix, signed, slices
 from lexispark.operators.scale import fits_broadcast, settle
 
-MOST_MATCHES = 8
+FEW_MATCHES, MOST_MATCHES = 4, 8  # q
 PIVOT_ROUNDS = 4
 BITMAP_BITS = 10  # a set's bitmap has two to this power bits, kept as 64-bit columns
 BITMAP = [f"bits{i}" for i in range(1 << BITMAP_BITS >> 6)]
@@ -73,7 +73,7 @@ def _prefix(order: np.ndarray, est: np.ndarray, size: int, percent: int) -> tupl
     """
     common, lowest = -(-percent * size // 100), _least(size, percent)
     base = size - common
-    most = min(lowest + MOST_MATCHES - 1, common)
+    most = min(lowest + MOST_MATCHES - FEW_MATCHES, common)
     sums = np.cumsum(est[order[: base + most]])
     best, least = lowest, None
     for m in range(lowest, most + 1):
@@ -162,7 +162,8 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                     )
 
     found = docs.where("doc_id is not null").mapInArrow(prefixes, "rep bigint, text_no bigint, size bigint, m int, head binary")
-    heads = found.join(classes.select("rep", F.col("f1").alias("text_no")), ["rep", "text_no"], "left_semi")
+    firsts = classes.select("rep", F.col("f1").alias("text_no"))
+    heads = found.join(F.broadcast(firsts) if fits_broadcast(classes) else firsts, ["rep", "text_no"], "left_semi")
     heads = settle(heads if each_once else heads.dropDuplicates(["rep", "text_no"]), "heads")
     counts.destroy()
 
@@ -182,12 +183,18 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             at, token = at[keep], token[keep]
             known = np.bincount(at, minlength=batch.num_rows)
             own = 16 - 16 * known // np.maximum(length, 1)  # sixteenths of the prefix
-            # what the smallest possible partner asks for
-            least = np.array([_least(-(-percent * n // 100), percent) for n in batch.column("size").to_pylist()], np.int64)
-            enough = (known >= least)[at]
+            sizes = batch.column("size").to_pylist()
+            # what the smallest possible partner asks for, and the partner of that one
+            partner = [-(-percent * n // 100) for n in sizes]
+            least = np.array([_least(n, percent) for n in partner], np.int64)
+            fewest = np.minimum(FEW_MATCHES, [_least(-(-percent * n // 100), percent) for n in partner])
+            longer = batch.column("m").to_numpy() - np.array([_least(n, percent) for n in sizes], np.int64)
+            q = np.minimum(least, FEW_MATCHES + longer)
+            place = np.arange(len(at)) - (np.cumsum(known) - known)[at]
+            enough = ((known >= least) & (known > 0))[at] & (place < (known - least + q)[at])
             at, token = pa.array(at[enough]), token[enough]
             yield pa.RecordBatch.from_arrays(
-                [signed(token), *(batch.column(c).take(at) for c in ("rep", "text_no", "size", "m")), *(pa.array(x, pa.int32()).take(at) for x in (own, least))],
+                [signed(token), *(batch.column(c).take(at) for c in ("rep", "text_no", "size")), *(pa.array(x, pa.int32()).take(at) for x in (q, own, fewest))],
                 ["token", "rep", "text_no", "size", "m", "own", "least"],
             )
 
@@ -263,22 +270,19 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     largest = now.groupBy("token", "comp").count().groupBy("token").agg(F.max(F.struct("count", "comp")).alias("top"))
     tagged = now.join(largest.select("token", F.col("top.comp").alias("top")), "token").withColumn("minor", F.expr("comp <> top"))
     bits_set = reduce(add, [F.bit_count(b) for b in BITMAP])
-    tokens = now.groupBy("rep", "text_no").agg(F.sort_array(F.collect_set("token")).alias("prefix"))  # not longer than a set's prefix
     of_text = sets.select(F.col("doc_id").alias("rep"), "text_no", (F.size("tokens") - bits_set).alias("folded"), *BITMAP)
-    tagged = tagged.join(tokens.join(of_text, ["rep", "text_no"]), ["rep", "text_no"])
-    # the smallest common shingle of a pair that shares enough is not among a document's last ones
-    tagged = tagged.where("token <= element_at(prefix, greatest(1, size(prefix) - least + 1))")
+    tagged = tagged.select("token", "rep", "text_no", "size", "m", "comp", "minor").join(of_text, ["rep", "text_no"])
     one, other = tagged.where("minor").alias("x"), tagged.alias("y")
     differ = F.expr("x.token = y.token AND x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
 
     # shingles of both sets at most: a bit that the other lacks is one that is not common
     both_bits = reduce(add, [F.bit_count(F.col(f"x.{b}").bitwiseAND(F.col(f"y.{b}"))) for b in BITMAP])
     matched = reachable(F.least("x.folded", "y.folded") + both_bits, F.col("x.size"), F.col("y.size"))
-    shared = F.array_intersect("x.prefix", "y.prefix")  # in rising order, so the first is the smallest
     # few rows can meet in many pairs, so a small table must not go to a single task as a broadcast join would send it
-    met = one.join(other.hint("merge"), differ & matched & (F.get(shared, F.lit(0)) == F.col("x.token")) & (F.size(shared) >= F.least("x.m", "y.m")))
-    pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-    placed = _joined(placed, verified(pairs.distinct()))
+    met = one.join(other.hint("merge"), differ & matched)
+    pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.least("x.m", "y.m").alias("m"))
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("m").alias("m")).where("shared >= m").select("a", "b")
+    placed = _joined(placed, verified(pairs))
 
     of_class = placed.select(F.col("node").alias("rep"), "component")
     result = members.join(mapped.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left").join(of_class, "rep", "left")
