@@ -13,8 +13,9 @@ document without so many prefix shingles in the prefixes of others (as many as t
    enough for q matches, with a larger q where m was lengthened. From then on a list is kept only while it holds
    documents of two components. The whole sets are built for documents that still have a list.
 4. Pivot rounds: the members of a shingle's list meet one pivot, a document with few prefix shingles of its own, not each
-   other, and each component verifies its pair with most common shingles on the whole sets. This joins most copies without
-   looking at all their pairs.
+   other, and each component verifies its pair with most common shingles on the whole sets, if these are as many as the
+   pair needs. This joins most copies without looking at all their pairs. A round that joins few of the components it
+   compared is the last one.
 5. Then every pair from different components that shares q entries is verified: in each list the members outside its
    largest component meet all others, and a pair counts only if the shingles whose bit is set in the other's bitmap are
    enough for the similarity. Pairs inside a component can't change the result.
@@ -37,7 +38,8 @@ from lexispark.llm.words import LANES, Words, grams, mix, signed, slices
 from lexispark.operators.scale import fits_broadcast, settle
 
 FEW_MATCHES, MOST_MATCHES = 4, 8  # q
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 4  # at most
+WORTH_A_ROUND = 8  # go on if at least one of so many compared pairs was linked
 BITMAP_BITS = 10  # a set's bitmap has two to this power bits, kept as 64-bit columns
 BITMAP = [f"bits{i}" for i in range(1 << BITMAP_BITS >> 6)]
 ORDER_BITS = 21  # cells of the sketch that orders the shingles, per row
@@ -204,11 +206,13 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     def narrowed(lists: DataFrame, placed: DataFrame, round_: int) -> DataFrame:
         """Entries of lists with two components, with their own component and the list's pivot. Hot lists are joined, not gathered."""
         now = _placed(lists, placed)
-        first = F.struct("own", F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "comp")
+        first = F.struct("own", F.xxhash64("rep", F.lit(round_)).alias("h"), "rep", "size", "m", "comp")
         pivots = now.groupBy("token").agg(F.min(first).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-        pivots = settle(pivots.select("token", F.col("p.rep").alias("p_rep"), F.col("p.size").alias("p_size"), F.col("p.comp").alias("p_comp")), "pivots")
+        pivots = settle(pivots.select("token", F.col("p.rep").alias("p_rep"), F.col("p.size").alias("p_size"), F.col("p.m").alias("p_m"), F.col("p.comp").alias("p_comp")), "pivots")
         now = settle(now.join(F.broadcast(pivots) if fits_broadcast(pivots) else pivots, "token"), "open-lists")
-        # an entry for each match that a link of another component could have
+        if round_:
+            return now
+        # an entry for each match that a link of another component could have; most that lack them lack them from the start
         few = now.groupBy("rep", "text_no").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n < least")
         few = settle(few.select("rep", "text_no"), "few")
         return now.join(F.broadcast(few) if fits_broadcast(few) else few, ["rep", "text_no"], "left_anti")
@@ -242,8 +246,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = settle(sets if each_once else sets.dropDuplicates(["doc_id", "text_no"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` whose whole sets are similar enough. Only sets of the pairs are moved."""
-        pairs = settle(pairs, "pairs")
+        """The pairs ``(a, b)`` of a settled table whose whole sets are similar enough. Only sets of the pairs are moved."""
         small = fits_broadcast(pairs)
 
         def side(node: str, name: str) -> DataFrame:
@@ -261,12 +264,19 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     for round_ in range(PIVOT_ROUNDS):
         sizes = F.col("size"), F.col("p_size")
         pairs = now.where("comp <> p_comp").where(reachable(F.least(*sizes), *sizes))
-        pairs = pairs.select("comp", F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b"))
+        pairs = pairs.select("comp", F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b"), F.least("m", "p_m").alias("m"))
+        pairs = pairs.groupBy("a", "b", "comp").agg(F.count("*").alias("shared"), F.min("m").alias("m")).where("shared >= m")
         # one pair for each component: the one with most common shingles
-        best = pairs.groupBy("a", "b", "comp").agg(F.count("*").alias("shared")).groupBy("comp").agg(F.max(F.struct("shared", "a", "b")).alias("p"))
-        placed = _joined(placed, verified(best.select("p.a", "p.b").distinct()))
-        # lists of one component have nothing left to compare
-        now = narrowed(now.select(*lists.columns), placed, round_ + 1)
+        best = pairs.groupBy("comp").agg(F.max(F.struct("shared", "a", "b")).alias("p"))
+        best = settle(best.select("p.a", "p.b").distinct(), "pairs")
+        alike = settle(verified(best), "alike")
+        tried, linked = best.count(), alike.count()
+        if linked:
+            placed = _joined(placed, alike)
+            # lists of one component have nothing left to compare
+            now = narrowed(now.select(*lists.columns), placed, round_ + 1)
+        if linked * WORTH_A_ROUND < tried or not linked:
+            break
     largest = now.groupBy("token", "comp").count().groupBy("token").agg(F.max(F.struct("count", "comp")).alias("top"))
     tagged = now.join(largest.select("token", F.col("top.comp").alias("top")), "token").withColumn("minor", F.expr("comp <> top"))
     bits_set = reduce(add, [F.bit_count(b) for b in BITMAP])
@@ -282,7 +292,7 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     met = one.join(other.hint("merge"), differ & matched)
     pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.least("x.m", "y.m").alias("m"))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("m").alias("m")).where("shared >= m").select("a", "b")
-    placed = _joined(placed, verified(pairs))
+    placed = _joined(placed, verified(settle(pairs, "pairs")))
 
     of_class = placed.select(F.col("node").alias("rep"), "component")
     result = members.join(mapped.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left").join(of_class, "rep", "left")
