@@ -158,3 +158,29 @@ def test_rows_with_equal_keys_are_kept_apart(spark):
     model = vectors.fit_bag(done, VectorConfig(min_df=1, max_df=1.0), "tfidf")
     cells = lambda df: sorted((r["doc_id"] is None, r["idx"], round(r["value"], 9)) for r in df.collect())
     assert cells(model.joined_form(done)) == cells(model.long_form(done))
+
+
+def test_one_row_group_is_dealt_to_all_splits(spark, tmp_path):
+    """A file of one row group has many splits, all but one of them empty."""
+    one, even = f"{tmp_path}/one", f"{tmp_path}/even"
+    wide = spark.range(4000).select("id", F.repeat(F.md5(F.col("id").cast("string")), 8).alias("text"))
+    wide.coalesce(1).write.parquet(one)
+    wide.repartition(40).write.parquet(even)
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, "16384")
+        scan = spark.read.parquet(one)
+        splits = scan.rdd.getNumPartitions()
+        assert splits >= spark.sparkContext.defaultParallelism  # enough splits, so that their number alone says nothing
+        dealt = scale.spread(scan)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 2 * 4000 / splits + 8
+        assert dealt.exceptAll(scan).isEmpty()
+        for key in before:
+            spark.conf.set(key, "1m")
+        many = spark.read.parquet(even)
+        assert many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and scale.spread(many) is many
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
