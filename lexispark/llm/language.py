@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP = 300
-# Profiles are learned from at most so many documents per language, those of smallest hash.
-SAMPLE = 1000
+# n-grams of texts are added up after so many
+GRAMS = 1 << 20
 UNKNOWN = "und"
 # A text is not in a learned language below this share of the score that all but LOW of that language's texts reach.
 SHARE, LOW = 0.5, 0.01
@@ -77,23 +77,28 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
-def learn(docs: DataFrame, top: int = TOP, sample: int = SAMPLE) -> Profiles:
-    """Profiles from text and lang of at most ``sample`` documents per language that are not held out."""
-    docs = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull())
-    hashed = docs.select("lang", F.xxhash64("doc_id").alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")
-    cuts = hashed.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).groupBy("lang").agg(F.max("h").alias("cut"))
-    chosen = docs.join(F.broadcast(cuts), "lang").where(F.xxhash64("doc_id") <= F.col("cut")).select("lang", "text")
+def learn(docs: DataFrame, top: int = TOP) -> Profiles:
+    """Profiles from text and lang of all documents that are not held out."""
+    chosen = docs.where(~held_out() & F.col("lang").isNotNull()).select("lang", "text")
+
+    def added(found: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in found.items():
+            gram, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            count = np.bincount(at, np.concatenate([p[1] for p in parts]), len(gram)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(count)], ["lang", "gram", "n"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[str, list] = {}
+            held = 0
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                found.setdefault(lang, []).append(gram_counts(text))
-            for lang, parts in found.items():
-                gram, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-                count = np.bincount(at, np.concatenate([p[1] for p in parts]), len(gram)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(count)], ["lang", "gram", "n"])
+                grams = gram_counts(text)
+                found.setdefault(lang, []).append(grams)
+                held += len(grams[0])
+                if held >= GRAMS:
+                    yield from added(found)
+                    found, held = {}, 0
+            yield from added(found)
 
     counts = chosen.mapInArrow(counted, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -112,19 +117,18 @@ def predicted(text: Column, profiles: Profiles) -> Column:
     return predict(text)
 
 
-def limits(docs: DataFrame, profiles: Profiles, sample: int = SAMPLE) -> dict[tuple[str, int], float]:
+def limits(docs: DataFrame, profiles: Profiles) -> dict[tuple[str, int], float]:
     """Least score of a text, per language and bit length of the text's length.
 
-    Calibrated on about ``sample`` held-out documents per language (by hash) that are recognised as what they are labelled.
+    Calibrated on all held-out documents that are recognised as what they are labelled.
     """
-    held = docs.select("doc_id", "text", "lang").where(held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    share = held.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = held.join(F.broadcast(share), "lang").where(part < F.col("share"))
-    scored = chosen.select("lang", F.length(F.bin(F.length("text"))).alias("bits"), predicted(F.col("text"), profiles).alias("p"))
+    held = docs.where(held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    scored = held.select("lang", F.length(F.bin(F.length("text"))).alias("bits"), predicted(F.col("text"), profiles).alias("p"))
     right = scored.where((F.col("p.lang_pred") == F.col("lang")) & (F.col("p.score") > 0))
+    # a score is a distance over the largest one, so there are only so many different ones to a group
+    scores = right.groupBy("lang", "bits", F.col("p.score").alias("score")).agg(F.count("*").alias("n"))
     # bounded: languages x 32
-    low = right.groupBy("lang", "bits").agg(F.percentile("p.score", F.lit(LOW)).alias("low")).collect()
+    low = scores.groupBy("lang", "bits").agg(F.percentile("score", F.lit(LOW), F.col("n")).alias("low")).collect()
     return {(r["lang"], r["bits"]): SHARE * r["low"] for r in low}
 
 
@@ -148,7 +152,7 @@ def recognised(text: Column, profiles: Profiles, least: dict[tuple[str, int], fl
     return decide(text)
 
 
-def identify(docs: DataFrame, top: int = TOP, sample: int = SAMPLE) -> DataFrame:
+def identify(docs: DataFrame, top: int = TOP) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score.
 
     ``docs`` has doc_id, text and lang; other columns are not read. Null texts and texts without letters are ``und`` with
@@ -156,6 +160,6 @@ def identify(docs: DataFrame, top: int = TOP, sample: int = SAMPLE) -> DataFrame
     without doc_id are predicted, held out and not learned from; repeated rows are kept. An empty table gives an
     empty result.
     """
-    profiles = learn(docs, top, sample)
+    profiles = learn(docs, top)
     rows = docs.select("doc_id", held_out().alias("held_out"), predicted(F.col("text"), profiles).alias("p"))
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -190,6 +191,20 @@ def test_language(spark):
     assert language.identify(frame(spark, rows[:0])).count() == 0
 
 
+def test_language_counts_and_limits_come_from_all_documents(spark):
+    """More documents of a language than once were sampled; those of large hash differ from the others."""
+    docs = spark.range(4500).select(F.col("id").alias("doc_id"), F.lit("a").alias("lang"), language.held_out("id").alias("held"))
+    place = F.row_number().over(Window.partitionBy("held").orderBy(F.xxhash64("doc_id")))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
+    late = F.when(F.col("held"), part > 0.9).otherwise(place > 1000)
+    docs = docs.withColumn("late", late).withColumn("text", F.when(~F.col("late"), "zz z").when(F.col("held"), "zz q").otherwise("yy y"))
+    profiles = language.learn(docs)
+    assert {ord("z"), ord("y")} <= set(profiles.tables[0][0].tolist())
+    low, high = (profiles.predict(t)[1] for t in ("zz q", "zz z"))
+    assert 0 < low < high
+    assert language.limits(docs, profiles) == {("a", 3): language.SHARE * low}
+
+
 def test_language_stage(spark):
     import zlib
 
