@@ -8,8 +8,8 @@ summary; no pair of a query and a document is shuffled.
 
 Documents that share no term with a query score 0 and take part like all others, from the same pass.
 
-Segments are built on the fly (``searched`` of documents) or written once as an index (``index_table``), one row for each
-segment, and searched as often as needed.
+Segments are built on the fly (``searched`` of documents) or written once as an index (``index_table``), in rows that make
+up segments when they are read, and searched as often as needed.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 
 SEGMENT_TOKENS = 1 << 20
 SEGMENT_DOCS = 1 << 16
+# a row of a written index holds so many tokens; rows are small because readers hold many at once, and met again as segments
+ROW_TOKENS = 1 << 17
 BLOCK_DOCS = 256
 # queries are sent to the tasks in sets of about so many queries and so many of their terms
 QUERY_SET = 200_000
@@ -178,13 +180,14 @@ class Best:
             self.add(query, scores, ids[docs])
 
 
-def _cut(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+def _cut(batch: pa.RecordBatch, most: int | None = None) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Ids and tokens of a batch, in slices of bounded numbers of tokens and documents; a longer text is one by itself."""
+    most = most or SEGMENT_TOKENS
     total = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < batch.num_rows:
         before = total[first - 1] if first else 0
-        last = int(np.searchsorted(total, before + SEGMENT_TOKENS, "right"))
+        last = int(np.searchsorted(total, before + most, "right"))
         last = min(max(last, first + 1), first + SEGMENT_DOCS, batch.num_rows)
         yield batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first)
         first = last
@@ -202,7 +205,9 @@ def texts_reader(gain: Gain) -> Callable:
 
 
 def index_reader(batches: Iterator[pa.RecordBatch], asked: Asked) -> Iterator[Segment]:
-    """Segments of the rows of an index, with the terms of the queries only."""
+    """Segments of the rows of an index, with the terms of the queries only; rows are put together up to a segment's bounds."""
+    parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
+    held = docs_held = 0
     for batch in batches:
         for row in range(batch.num_rows):
             ids, terms, at, docs, gain = (batch.column(c)[row].values for c in ("ids", "terms", "at", "docs", "gain"))
@@ -211,15 +216,36 @@ def index_reader(batches: Iterator[pa.RecordBatch], asked: Asked) -> Iterator[Se
             start = np.where(here >= 0, at[here], 0)
             length = np.where(here >= 0, at[here + 1] - at[here], 0) if len(terms) else np.zeros(len(here), np.int64)
             posting = _spans(start, length)
-            yield Segment(ids, np.concatenate([[0], np.cumsum(length)]), docs.to_numpy().astype(np.int64)[posting], gain.to_numpy()[posting])
+            if parts and (held + len(docs) > SEGMENT_TOKENS or docs_held + len(ids) > SEGMENT_DOCS):
+                yield _together(parts, len(asked.terms))
+                parts, held, docs_held = [], 0, 0
+            # copies, so that the batch can go
+            own = ids.take(pa.array(np.arange(len(ids))))
+            parts.append((own, np.repeat(np.arange(len(here)), length), docs.to_numpy()[posting], gain.to_numpy()[posting]))
+            held, docs_held = held + len(docs), docs_held + len(ids)
+    if parts:
+        yield _together(parts, len(asked.terms))
+
+
+def _together(parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]], terms: int) -> Segment:
+    """One segment of the documents of several rows: ids, and of each posting its term, document and gain."""
+    ids = pa.concat_arrays([p[0] for p in parts])
+    order = pc.sort_indices(ids, null_placement="at_start").to_numpy().astype(np.int64)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    first = np.cumsum([0, *(len(p[0]) for p in parts)])
+    doc = place[np.concatenate([p[2].astype(np.int64) + n for p, n in zip(parts, first)])]
+    term, gain = np.concatenate([p[1] for p in parts]), np.concatenate([p[3] for p in parts])
+    by = np.lexsort((doc, term))
+    return Segment(ids.take(pa.array(order)), np.searchsorted(term[by], np.arange(terms + 1)), doc[by], gain[by])
 
 
 def index_table(docs: DataFrame, gain: Gain) -> DataFrame:
-    """``docs(id, tokens)`` -> one row for each segment: ids, terms, at, docs, gain, the arrays of ``Segment``."""
+    """``docs(id, tokens)`` -> rows of ``ROW_TOKENS`` tokens: ids, terms, at, docs, gain, the arrays of ``Segment``."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, tokens in _cut(batch):
+            for ids, tokens in _cut(batch, ROW_TOKENS):
                 segment, terms = Segment.of_texts(ids, tokens, gain)
                 arrays = [segment.ids, terms, pa.array(segment.at, pa.int32()), pa.array(segment.docs, pa.int32()), pa.array(segment.gain)]
                 whole = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x) for x in arrays]

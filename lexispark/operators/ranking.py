@@ -16,6 +16,8 @@ from lexispark.operators.blockmax import SCORE_DIGITS, Asked, Gain, index_reader
 from lexispark.operators.scale import TASK_LOCAL_TOP_K, first_rows, fits_broadcast, lookup_join, number_rows, settle
 from lexispark.operators.vectors import BagModel, stored_values
 
+INDEX_GROUP_BYTES = 4 << 20
+
 
 def _tokens(column: str):
     return tokenize_whitespace(F.coalesce(F.col(column), F.lit("")))
@@ -68,7 +70,9 @@ class BM25:
 
     def index(self, docs: DataFrame, doc_id: str = "doc_id") -> PostingIndex:
         """The written inverted index of a corpus, for many query sets. No text is shuffled to make it."""
-        table = settle(index_table(self._texts(docs, doc_id), self.gain), "postings")
+        # a reader holds a row group of such wide rows at once, and a writer looks at its size after so many rows
+        small = {"parquet.block.size": str(INDEX_GROUP_BYTES), "parquet.page.size.row.check.min": "4"}
+        table = settle(index_table(self._texts(docs, doc_id), self.gain), "postings", **small)
         return PostingIndex(self, table, doc_id)
 
     def scores(self, docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str = "query") -> DataFrame:

@@ -34,14 +34,16 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
-def settle(df: DataFrame, name: str, schema: T.StructType | None = None) -> DataFrame:
+def settle(df: DataFrame, name: str, schema: T.StructType | None = None, **options: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back, on request as another schema of the same storage.
 
+    ``options`` are those of the writer.
+
     Cuts the lineage so that a lost executor re-reads instead of recomputing, computes the table once however often
     it is used, and gives Spark its real size, from which it picks the join strategy.
     """
     path = f"{work_dir(df.sparkSession)}/lexispark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 

@@ -108,6 +108,25 @@ def test_ten_thousand_queries(spark, monkeypatch):
     assert sorted(map(str, by_index.select(*rounded).collect())) == sorted(map(str, ranked.select(*rounded).collect()))
 
 
+def test_index_rows_are_small_and_meet_again_as_segments(spark, monkeypatch):
+    """A reader holds a row group of an index at once, so its rows do not grow to whole segments."""
+    docs = spark.createDataFrame([((i * 7) % 200, f"a{i % 7} b" + " c" * (i % 3)) for i in range(200)], "doc_id int, processed string").coalesce(1)
+    asks = spark.createDataFrame([(1, "a1 b"), (2, "c"), (3, "unknown")], "query_id int, query string")
+    model = ranking.fit_bm25(docs)
+    monkeypatch.setattr(blockmax, "ROW_TOKENS", 50)
+    index = model.index(docs)
+    assert index.table.agg(F.max(F.aggregate("docs", F.lit(0), lambda n, _: n + 1))).first()[0] <= 50 and index.table.count() > 8
+    met = []
+    for tokens in (120, 1 << 20):  # several segments, and one
+        held = index.table.toArrow().to_batches()
+        monkeypatch.setattr(blockmax, "SEGMENT_TOKENS", tokens)
+        met.append(sum(1 for _ in blockmax.index_reader(iter(held), asked([{"b": 1.0}]))))
+    assert met[0] > 2 and met[1] == 1
+    rounded = [F.col("query_id"), F.col("rank"), F.col("doc_id"), F.round("score", 6)]
+    plain = model.rank(docs, asks, 4).select(*rounded).collect()
+    assert sorted(map(str, index.rank(asks, 4).select(*rounded).collect())) == sorted(map(str, plain)) and len(plain) == 12
+
+
 def test_no_pair_of_query_and_document_is_exchanged(spark):
     docs = spark.createDataFrame([(i, f"a{i % 7} b c") for i in range(50)], "doc_id int, processed string")
     asks = spark.createDataFrame([(1, "a1 b"), (2, "")], "query_id int, query string")
