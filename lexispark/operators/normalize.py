@@ -15,7 +15,11 @@ from lexispark.config import NOUN_EXCEPTIONS, CleanConfig
 from lexispark.functions.clean import clean
 from lexispark.functions.stemming import stem
 from lexispark.functions.tokens import filtered_tokens, join_tokens, kept_tokens, raw_tokens
-from lexispark.operators.scale import fits_broadcast, lookup_join, settle, spread
+from lexispark.operators.scale import fits_broadcast, settle, spread
+
+# Every Python worker holds such a dictionary and the hash table over it; larger ones are cut to the terms of a block of rows
+MAX_DICTIONARY_ROWS = 50_000
+BLOCK_TOKENS = 1 << 18
 
 # Noun endings and what may replace them, in the order in which candidates are preferred.
 NOUN_ENDINGS = (
@@ -117,43 +121,58 @@ def replace_terms(df: DataFrame, tokens: str, mapping: DataFrame, keys: Sequence
     """Replace tokens by a ``(term, new_term)`` mapping, keeping their order; unmapped tokens stay.
 
     Returns one row per row of ``df`` with the token array, also where keys repeat. Only the mapping's changed terms matter.
-    Where their measured size allows, they are a dictionary in every task and tokens are replaced inside their row;
-    beyond that they are joined, and the tokens of a row meet again in one shuffle on its number.
+    Where they are few, they are a dictionary in every Python worker and tokens are replaced inside their row; beyond that
+    the rows are cut into blocks, and each block gets a dictionary of its own terms.
     """
     changed = settle(mapping.where(F.col("new_term") != F.col("term")).select("term", "new_term"), "term-map")
-    if fits_broadcast(changed):
+    if fits_broadcast(changed, MAX_DICTIONARY_ROWS):
         return df.select(*keys, _looked_up(changed)(F.coalesce(F.col(tokens), F.array().cast("array<string>"))).alias(tokens))
-    return _joined_terms(df, tokens, changed, keys)
+    return _block_terms(df, tokens, changed, keys)
 
 
-def _looked_up(changed: DataFrame):
-    """A function of token arrays that looks tokens up in the table ``(term, new_term)``, whose size has been checked.
+def _replaced(tokens: pa.Array, terms: pa.Array, new_terms: pa.Array) -> pa.Array:
+    """Arrays of tokens, none of them null, with the listed terms replaced: a whole batch is looked up at once in a hash
+    table; the built-in functions only have maps that are searched from one end."""
+    length = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+    flat = tokens.flatten()
+    if len(terms):
+        flat = pc.coalesce(new_terms.take(pc.index_in(flat, value_set=terms)), flat)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), flat)
 
-    A whole batch of tokens is looked up at once in a hash table; the built-in functions only have maps that are searched
-    from one end.
-    """
+
+def _looked_up(changed: DataFrame):
+    """A function of token arrays that looks tokens up in the table ``(term, new_term)``, whose size has been checked."""
     sent = changed.sparkSession.sparkContext.broadcast(changed.toArrow().combine_chunks())
 
     @F.arrow_udf("array<string>")
     def replaced(tokens: pa.Array) -> pa.Array:
-        table = sent.value
-        length = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-        flat = tokens.flatten()
-        if table.num_rows:
-            at = pc.index_in(flat, value_set=table["term"].combine_chunks())
-            flat = pc.coalesce(table["new_term"].combine_chunks().take(at), flat)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), flat)
+        return _replaced(tokens, *(sent.value[c].combine_chunks() for c in ("term", "new_term")))
 
     return replaced
 
 
-def _joined_terms(df: DataFrame, tokens: str, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    rows = df.select(*keys, tokens).withColumn("_row", F.monotonically_increasing_id())
-    placed = rows.repartition("_row").select(*keys, "_row", F.posexplode_outer(tokens).alias("pos", "term"))
-    joined = lookup_join(placed, changed, "term", ["_row", "pos"], "left", broadcast=False)
-    token = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("new_term", "term").alias("term")))
-    regrouped = joined.groupBy("_row", *keys).agg(F.sort_array(F.collect_list(token)).alias("_placed"))
-    return regrouped.select(*keys, F.col("_placed.term").alias(tokens))
+def _block_terms(df: DataFrame, tokens: str, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``replace_terms`` for a mapping of any size.
+
+    A block is a run of rows with about ``BLOCK_TOKENS`` tokens. Its distinct terms are joined to the mapping, and those found
+    meet the rows again: a token is not moved by itself, a frequent term is in no more rows of the join than there are
+    blocks, and a worker holds one block and its terms, whatever the size of the mapping.
+    """
+    held = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    numbered = df.select(*keys, held.alias(tokens)).withColumn("_row", F.monotonically_increasing_id()).withColumn("_size", F.size(tokens))
+    numbered = settle(numbered, "numbered")
+    mean = numbered.agg(F.coalesce(F.avg("_size"), F.lit(0.0))).first()[0]
+    rows_each = max(0, int(np.log2(BLOCK_TOKENS / max(mean, 1))))  # as a power of two
+    rows = numbered.select(*keys, tokens, F.shiftright("_row", rows_each).alias("_block"))
+    # see distinct_terms
+    terms = rows.select("_block", F.explode(F.when(F.size(tokens) > 0, F.col(tokens))).alias("term")).distinct()
+    found = terms.join(changed, "term").select(F.col("_block").alias("_of"), "term", "new_term")
+
+    def replaced(block: pa.Table, found: pa.Table) -> pa.Table:
+        new = _replaced(*(x.combine_chunks() for x in (block[tokens], found["term"], found["new_term"])))
+        return block.select(list(keys)).append_column(tokens, new)
+
+    return rows.groupBy("_block").cogroup(found.groupBy("_of")).applyInArrow(replaced, rows.select(*keys, tokens).schema)
 
 
 def normalize(

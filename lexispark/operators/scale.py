@@ -61,12 +61,12 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(splits, *by) if largest * splits > UNEVEN * rows else df
 
 
-def fits_broadcast(settled: DataFrame) -> bool:
-    """Measure a settled table (one cheap scan) against the broadcast bounds."""
+def fits_broadcast(settled: DataFrame, most_rows: int | None = None) -> bool:
+    """Measure a settled table (one cheap scan) against the broadcast bounds, or fewer rows."""
     sizes = [F.octet_length(F.col(f.name)) for f in settled.schema if isinstance(f.dataType, T.StringType)]
     text_bytes = sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(0))
     rows, size = settled.agg(F.count("*"), F.coalesce(F.sum(text_bytes + 16 * len(settled.columns)), F.lit(0))).first()
-    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+    return rows <= min(MAX_BROADCAST_ROWS, MAX_BROADCAST_ROWS if most_rows is None else most_rows) and size <= MAX_BROADCAST_BYTES
 
 
 def lookup_join(

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexispark.config import VectorConfig
-from lexispark.operators import prep, profile, scale, vectors, vocabulary
+from lexispark.operators import normalize, prep, profile, scale, vectors, vocabulary
 
 
 @pytest.fixture(scope="module")
@@ -184,3 +184,18 @@ def test_one_row_group_is_dealt_to_all_splits(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_terms_beyond_the_dictionary_are_replaced_by_blocks(spark, monkeypatch):
+    """No token is shuffled by itself, and rows keep their tokens whether keys repeat, are null or rows are copies."""
+    monkeypatch.setattr(scale, "MAX_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(normalize, "BLOCK_TOKENS", 16, raising=False)
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1, 2, 3]), [f"w{rng.randrange(40)}" for _ in range(rng.randrange(7))]) for _ in range(150)]
+    rows += [(1, ["w1", None, "w1"]), (2, None), (None, [])] * 2
+    mapping = {f"w{i}": f"v{i % 5}" for i in range(0, 40, 3)}
+    df = spark.createDataFrame(rows, "k int, tokens array<string>").repartition(2)
+    found = normalize.replace_terms(df, "tokens", spark.createDataFrame(list(mapping.items()), "term string, new_term string"), ["k"])
+    assert "posexplode" not in found._jdf.queryExecution().toString()
+    want = [(k, [mapping.get(t, t) for t in tokens or []]) for k, tokens in rows]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
