@@ -15,6 +15,7 @@ from lexispark.functions.tokens import term_bag, tokenize_whitespace
 from lexispark.operators.blockmax import SCORE_DIGITS, Asked, Gain, index_reader, index_table, query_sets, searched, texts_reader, totals
 from lexispark.operators.scale import TASK_LOCAL_TOP_K, first_rows, fits_broadcast, lookup_join, number_rows, settle
 from lexispark.operators.vectors import BagModel, stored_values
+from lexispark.operators.vocabulary import counted_terms
 
 INDEX_GROUP_BYTES = 4 << 20
 
@@ -188,8 +189,7 @@ def fit_bm25(docs: DataFrame, text: str = "processed", k1: float = 1.5, b: float
     if n_docs == 0:
         raise ValueError("Cannot fit BM25 on an empty corpus")
     # one pass over the texts: document lengths add up to the corpus frequencies
-    held = docs.select(F.explode(term_bag(_tokens(text))).alias("t"))
-    counts = settle(held.groupBy("t.term").agg(F.count("*").alias("df"), F.sum("t.tf").alias("cf")), "term-df")
+    counts = settle(counted_terms(docs, _tokens(text)), "term-df")
     raw = F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     mean_idf, n_tokens = counts.agg(F.coalesce(F.avg(raw), F.lit(0.0)), F.coalesce(F.sum("cf"), F.lit(0))).first()
     idf = F.when(raw < 0, F.lit(epsilon * mean_idf)).otherwise(raw)

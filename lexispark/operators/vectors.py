@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lexispark.config import VectorConfig
 from lexispark.functions.analyzer import analyze
-from lexispark.functions.tokens import term_bag
+from lexispark.functions.tokens import counted_bag
 from lexispark.operators.scale import lookup_join, settle
 from lexispark.operators.vocabulary import Vocabulary, fit_vocabulary
 
@@ -90,7 +90,7 @@ class BagModel:
 
     def _cells(self, numbered: DataFrame, keys: Sequence[str], outer: bool) -> DataFrame:
         """``(keys, _cells)``: per row of ``numbered`` its known terms as sorted array<struct<idx, w>>, not yet normalized."""
-        bag = term_bag(analyze(F.col(self.text), self.vocabulary.config))
+        bag = counted_bag(analyze(F.col(self.text), self.vocabulary.config))
         exploded = F.explode_outer(bag) if outer else F.explode(bag)
         counted = numbered.select(*keys, exploded.alias("t"))
         counted = counted.select(*keys, "t.term", F.col("t.tf").cast("bigint").alias("tf"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.config import VectorConfig
 from lexispark.functions.analyzer import analyze
-from lexispark.functions.tokens import term_bag
+from lexispark.functions.tokens import term_bag, token_counts
 from lexispark.operators.scale import MAX_BROADCAST_ROWS, fits_broadcast, number_rows, settle
 
 
@@ -24,6 +27,19 @@ def term_stats(term_postings: DataFrame) -> DataFrame:
     return term_postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
+def counted_terms(df: DataFrame, tokens: Column) -> DataFrame:
+    """The ``term_stats`` of an array of tokens that are not null. What leaves a task's first step are counts of many rows."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for terms, _, term, count in token_counts(batch.column(0)):
+                held = np.bincount(term, minlength=len(terms)), np.bincount(term, count, len(terms))
+                yield pa.RecordBatch.from_arrays([terms, *(pa.array(x.astype(np.int64)) for x in held)], ["term", "df", "cf"])
+
+    parts = df.select(tokens.alias("tokens")).mapInArrow(counted, "term string, df bigint, cf bigint")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
 def prune_min_df(stats: DataFrame, min_df: int) -> DataFrame:
     """Terms of at least ``min_df`` documents; a number of documents, not a share."""
     if min_df != int(min_df):
@@ -80,7 +96,7 @@ def fit_vocabulary(df: DataFrame, text: str, config: VectorConfig) -> Vocabulary
     n_docs = df.count()
     if config.max_df * n_docs < config.min_df:
         raise ValueError("max_df corresponds to fewer documents than min_df")
-    stats = term_stats(postings(df, text, config, keys=()))
+    stats = counted_terms(df, analyze(F.col(text), config))
     kept = settle(prune_max_df(prune_min_df(stats, config.min_df), config.max_df, n_docs), "term-stats")
     limited = limit_features(kept, config.max_features)
     bounded = config.max_features is not None and config.max_features <= MAX_BROADCAST_ROWS

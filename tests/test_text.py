@@ -12,8 +12,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexispark import config as C
+
 from lexispark.functions import accents, analyzer, clean, stemming, tokens
-from lexispark.operators import normalize
+from lexispark.operators import normalize, vocabulary
 from lexispark.streaming.text_stream import process_stream
 
 
@@ -197,3 +198,16 @@ def test_stream_is_processed_like_a_batch(spark, tmp_path):
     assert sorted(map(tuple, streamed.collect())) == [(1, "good day"), (2, "")]
     with pytest.raises(ValueError):
         process_stream(batch, "text", C.tweet_config())
+
+
+def test_counted_bags_and_terms_equal_the_bags(spark, monkeypatch):
+    """Counts made for many rows at once: empty and null arrays, copies, rows beyond one part; sums leave a task's first step."""
+    monkeypatch.setattr(tokens, "COUNTED_ROWS", 3)
+    rows = [["b", "a", "b"], [], None, ["ä", ""], ["b"], ["b", "a", "b"], ["x"] * 5, None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t array<string>").coalesce(1)
+    bags = {r[0]: sorted(map(tuple, r[1])) for r in df.select("i", tokens.counted_bag(F.col("t"))).collect()}
+    assert bags == {i: sorted(Counter(r or []).items()) for i, r in enumerate(rows)}
+    found = vocabulary.counted_terms(df, F.col("t"))
+    want = [(t, sum(t in (r or []) for r in rows), sum((r or []).count(t) for r in rows)) for t in {t for r in rows for t in r or []}]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert vocabulary.counted_terms(df.limit(0), F.col("t")).count() == 0
