@@ -98,3 +98,14 @@ def test_terms_are_replaced_alike_on_both_paths(spark, monkeypatch):
     assert found(mapping.limit(0)) == sorted((i, t or []) for i, t in rows)
     monkeypatch.setattr("lexispark.operators.scale.MAX_BROADCAST_ROWS", 1)
     assert found(mapping) == want
+
+
+def test_one_sum_reaches_the_driver(spark, rows, monkeypatch):
+    """However few partitions there are."""
+    x, y = rows
+    df = spark.createDataFrame([(int(b > 0), Vectors.dense(a)) for a, b in zip(x.tolist(), y)], ["label", "features"]).repartition(5)
+    sent = []
+    collected = type(df).toArrow
+    monkeypatch.setattr(type(df), "toArrow", lambda self: sent.append(collected(self)) or sent[-1])
+    newton.SquaredHinge(newton.blocks(df, "label", "features"), 13, 1.0).at(np.zeros(13))
+    assert [t.num_rows for t in sent] == [1]
