@@ -12,7 +12,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexispark import config as C
-
 from lexispark.functions import accents, analyzer, clean, stemming, tokens
 from lexispark.operators import normalize, vocabulary
 from lexispark.streaming.text_stream import process_stream
