@@ -17,8 +17,9 @@ document without so many prefix shingles in the prefixes of others (as many as t
    pair needs. This joins most copies without looking at all their pairs. A round that joins few of the components it
    compared is the last one.
 5. Then every pair from different components that shares q entries is verified: in each list the members outside its
-   largest component meet all others, and a pair counts only if the shingles whose bit is set in the other's bitmap are
-   enough for the similarity. Pairs inside a component can't change the result.
+   largest component meet all others, and a pair counts only if the two sets may differ by few enough shingles: every
+   shingle flips a bit of its set's sketch, common ones cancel out, so sets differ by at least as many shingles as their
+   sketches differ in bits. Pairs inside a component can't change the result.
 """
 
 from __future__ import annotations
@@ -40,8 +41,8 @@ from lexispark.operators.scale import fits_broadcast, settle
 FEW_MATCHES, MOST_MATCHES = 4, 8  # q
 PIVOT_ROUNDS = 4  # at most
 WORTH_A_ROUND = 8  # go on if at least one of so many compared pairs was linked
-BITMAP_BITS = 10  # a set's bitmap has two to this power bits, kept as 64-bit columns
-BITMAP = [f"bits{i}" for i in range(1 << BITMAP_BITS >> 6)]
+PARITY_BITS = 10  # a set's odd sketch has two to this power bits, kept as 64-bit columns
+PARITY = [f"bits{i}" for i in range(1 << PARITY_BITS >> 6)]
 ORDER_BITS = 21  # cells of the sketch that orders the shingles, per row
 CELLS_PER_TOKEN, LEAST_BITS, MOST_BITS = 8, 16, 27
 
@@ -92,11 +93,10 @@ def _fingerprint(found: np.ndarray) -> np.ndarray:
     return mix(found * np.uint64(LANES[1])).sum(dtype=np.uint64)
 
 
-def _bitmap(found: np.ndarray) -> np.ndarray:
-    """Bits of a set's hashes as 64-bit numbers."""
-    bits = np.zeros(1 << BITMAP_BITS, bool)
-    bits[(found >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").view(np.int64)
+def _parity(found: np.ndarray) -> np.ndarray:
+    """Bits of a set's hashes as 64-bit numbers, each set where an odd number of hashes falls."""
+    bits = np.bincount((found >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
+    return np.packbits(bits.astype(bool), bitorder="little").view(np.int64)
 
 
 def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -231,18 +231,18 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                 out = [(i, _fingerprint(found), found) for i, found in _sets(words, k)]
                 if out:
                     at, text, tokens = zip(*out)
-                    bitmaps = np.array([_bitmap(x) for x in tokens])
+                    sketches = np.array([_parity(x) for x in tokens])
                     offsets = pa.array(np.cumsum([0, *map(len, tokens)]), pa.int32())
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("doc_id").take(pa.array(at)), signed(np.array(text, np.uint64)),
-                            pa.ListArray.from_arrays(offsets, signed(np.concatenate(tokens))), *(pa.array(np.ascontiguousarray(x)) for x in bitmaps.T),
+                            pa.ListArray.from_arrays(offsets, signed(np.concatenate(tokens))), *(pa.array(np.ascontiguousarray(x)) for x in sketches.T),
                         ],
-                        ["doc_id", "text_no", "tokens", *BITMAP],
+                        ["doc_id", "text_no", "tokens", *PARITY],
                     )
 
     some = docs.join(F.broadcast(listed) if fits_broadcast(listed) else listed, "doc_id", "left_semi").select("doc_id", "text")
-    sets = some.mapInArrow(whole, "doc_id bigint, text_no bigint, tokens array<bigint>" + "".join(f", {b} bigint" for b in BITMAP))
+    sets = some.mapInArrow(whole, "doc_id bigint, text_no bigint, tokens array<bigint>" + "".join(f", {b} bigint" for b in PARITY))
     sets = settle(sets if each_once else sets.dropDuplicates(["doc_id", "text_no"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -279,15 +279,15 @@ def shingle_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             break
     largest = now.groupBy("token", "comp").count().groupBy("token").agg(F.max(F.struct("count", "comp")).alias("top"))
     tagged = now.join(largest.select("token", F.col("top.comp").alias("top")), "token").withColumn("minor", F.expr("comp <> top"))
-    bits_set = reduce(add, [F.bit_count(b) for b in BITMAP])
-    of_text = sets.select(F.col("doc_id").alias("rep"), "text_no", (F.size("tokens") - bits_set).alias("folded"), *BITMAP)
+    of_text = sets.select(F.col("doc_id").alias("rep"), "text_no", *PARITY)
     tagged = tagged.select("token", "rep", "text_no", "size", "m", "comp", "minor").join(of_text, ["rep", "text_no"])
     one, other = tagged.where("minor").alias("x"), tagged.alias("y")
     differ = F.expr("x.token = y.token AND x.comp <> y.comp AND (NOT y.minor OR x.rep < y.rep)")
 
-    # shingles of both sets at most: a bit that the other lacks is one that is not common
-    both_bits = reduce(add, [F.bit_count(F.col(f"x.{b}").bitwiseAND(F.col(f"y.{b}"))) for b in BITMAP])
-    matched = reachable(F.least("x.folded", "y.folded") + both_bits, F.col("x.size"), F.col("y.size"))
+    # linked sets differ by at most (100 - percent) / (100 + percent) of their sizes, and have sizes that allow it
+    differing = reduce(add, [F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in PARITY])
+    sizes = F.col("x.size"), F.col("y.size")
+    matched = reachable(F.least(*sizes), *sizes) & ((100 + percent) * differing <= (100 - percent) * reduce(add, sizes))
     # few rows can meet in many pairs, so a small table must not go to a single task as a broadcast join would send it
     met = one.join(other.hint("merge"), differ & matched)
     pairs = met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.least("x.m", "y.m").alias("m"))

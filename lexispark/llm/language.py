@@ -124,9 +124,10 @@ def limits(docs: DataFrame, profiles: Profiles) -> dict[tuple[str, int], float]:
     """
     held = docs.where(held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
     scored = held.select("lang", F.length(F.bin(F.length("text"))).alias("bits"), predicted(F.col("text"), profiles).alias("p"))
-    right = scored.where((F.col("p.lang_pred") == F.col("lang")) & (F.col("p.score") > 0))
-    # a score is a distance over the largest one, so there are only so many different ones to a group
-    scores = right.groupBy("lang", "bits", F.col("p.score").alias("score")).agg(F.count("*").alias("n"))
+    right = (F.col("p.lang_pred") == F.col("lang")) & (F.col("p.score") > 0)
+    # a score is a distance over the largest one, so there are only so many different ones to a group; counted, since a
+    # filter would move below the prediction with a second one of its own, in a worker of its own
+    scores = scored.groupBy("lang", "bits", F.col("p.score").alias("score")).agg(F.count_if(right).alias("n")).where("n > 0")
     # bounded: languages x 32
     low = scores.groupBy("lang", "bits").agg(F.percentile("score", F.lit(LOW), F.col("n")).alias("low")).collect()
     return {(r["lang"], r["bits"]): SHARE * r["low"] for r in low}

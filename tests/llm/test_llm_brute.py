@@ -94,6 +94,20 @@ def test_shingle_classes(spark, texts, k, percent):
     assert got == {(i, len(s), None if i is None else root(i)) for i, s in sets.items()}
 
 
+def test_copies_too_far_apart_are_told_apart_by_their_sketches(spark, monkeypatch):
+    rng = random.Random(4)
+    # 16 versions, each two of which differ in 8 of 16 places, and one that is linked to the first
+    codes = [[(i & j).bit_count() % 2 for j in range(16)] for i in range(16)] + [[1, 1] + [0] * 14]
+    base = [f"w{rng.randrange(10**6)}" for _ in range(320)]
+    rows = [(i, " ".join(f"{w}x" if at % 20 == 9 and code[at // 20] else w for at, w in enumerate(base)), "en") for i, code in enumerate(codes)]
+    pairs, settle = [], jaccard.settle
+    monkeypatch.setattr(jaccard, "settle", lambda df, name: pairs.append((name, settle(df, name))) or pairs[-1][1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.shingle_classes(frame(spark, rows), 4, 85).collect()}
+    assert got == {i: i % 16 for i in range(17)}
+    last = [df for name, df in pairs if name == "pairs"][-1]
+    assert last.where("(a, b) <> (0, 16)").isEmpty()
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(40, 50), (41, 50), (5, 5)], "a bigint, b bigint")
     got = dict(map(tuple, graph.components(chain).collect()))
@@ -205,6 +219,15 @@ def test_language_counts_and_limits_come_from_all_documents(spark):
     assert language.limits(docs, profiles) == {("a", 3): language.SHARE * low}
 
 
+def test_language_limits_predict_each_text_once(spark, monkeypatch):
+    docs = frame(spark, [(i, "the cat sat on the mat" if i % 2 else "der hund ist im haus", "en" if i % 2 else "de") for i in range(40)])
+    profiles = language.learn(docs)
+    plans, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    assert language.limits(docs, profiles)
+    assert [text.count("ArrowEvalPython") for text in plans] == [1]
+
+
 def test_language_stage(spark):
     import zlib
 
