@@ -130,7 +130,8 @@ def _looked_up(changed: DataFrame):
     """A function of token arrays that looks tokens up in the table ``(term, new_term)``, whose size has been checked.
 
     A whole batch of tokens is looked up at once in a hash table; the built-in functions only have maps that are searched
-    from one end.
+    from one end. The hash table is that of the batch's distinct tokens and the dictionary is what passes over it, so a
+    worker holds no hash table of the dictionary, however large that is.
     """
     sent = changed.sparkSession.sparkContext.broadcast(changed.toArrow().combine_chunks())
 
@@ -138,10 +139,15 @@ def _looked_up(changed: DataFrame):
     def replaced(tokens: pa.Array) -> pa.Array:
         table = sent.value
         length = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-        flat = tokens.flatten()
+        held = tokens.flatten().dictionary_encode()
+        words = held.dictionary
         if table.num_rows:
-            at = pc.index_in(flat, value_set=table["term"].combine_chunks())
-            flat = pc.coalesce(table["new_term"].combine_chunks().take(at), flat)
+            at = pc.index_in(table["term"].combine_chunks(), value_set=words)
+            row = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+            source = np.full(len(words), -1)
+            source[at.drop_null().to_numpy()[::-1]] = row[::-1]  # of equal terms the first counts
+            words = pc.coalesce(table["new_term"].combine_chunks().take(pa.array(source, mask=source < 0)), words)
+        flat = words.take(held.indices)
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), flat)
 
     return replaced

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
@@ -100,6 +101,16 @@ def test_terms_are_replaced_alike_on_both_paths(spark, monkeypatch):
     assert found(mapping) == want
 
 
+def test_looking_terms_up_holds_no_hash_table_of_the_dictionary(spark, monkeypatch):
+    changed = spark.range(1000).selectExpr("concat('term', id, 's') AS term", "concat('term', id) AS new_term")
+    replaced = normalize._looked_up(changed).func
+    held, index_in = [], normalize.pc.index_in
+    monkeypatch.setattr(normalize.pc, "index_in", lambda values, value_set: held.append(len(value_set)) or index_in(values, value_set=value_set))
+    tokens = pa.array([["term7s", None, "term7"], [], ["term999s", "term7s"]])
+    assert replaced(tokens).to_pylist() == [["term7", None, "term7"], [], ["term999", "term7"]]
+    assert held == [3]
+
+
 def test_one_sum_reaches_the_driver(spark, rows, monkeypatch):
     """However few partitions there are."""
     x, y = rows
