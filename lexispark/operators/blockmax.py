@@ -6,6 +6,9 @@ each block. For a query, the sum of its weights times the blocks' largest gains
 ranges that can't reach the k-th score seen so far are passed over. A task emits k rows for each query, or its part of a
 summary; no pair of a query and a document is shuffled.
 
+More than a few queries meet a segment in batches (``Crowd``): the lightest terms of a query, which together can't reach its
+k-th score, are not searched, only looked up in the documents that hold one of its other terms and may still reach it.
+
 Documents that share no term with a query score 0 and take part like all others, from the same pass.
 
 Segments are built on the fly (``searched`` of documents) or written once as an index (``index_table``), in rows that make
@@ -24,13 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SEGMENT_TOKENS = 1 << 20
+SEGMENT_TOKENS = 1 << 21
 SEGMENT_DOCS = 1 << 16
 # a row of a written index holds so many tokens; rows are small because readers hold many at once, and met again as segments
 ROW_TOKENS = 1 << 17
 BLOCK_DOCS = 256
-# queries are sent to the tasks in sets of about so many queries and so many of their terms
-QUERY_SET = 200_000
+# queries are sent to the tasks in sets of about so many queries and so many of their terms; each set reads all segments
+QUERY_SET = 1_000_000
+FEW = 64  # so many queries meet a segment one after the other, more of them in batches
+_CELLS = 1 << 18  # pairs of a batch's queries and a segment's documents
+_POSTINGS = 1 << 21  # postings of a batch, if it has more than one query
+_TABLED = 1 << 22  # cells of the table that knows the gains of a segment's most frequent terms by document
+_LIGHT = 0.5  # share of the bar that light terms reach at most; up to 1 is right, more of them leave more documents to look up
+_LEAD = 512  # documents that give a first bar to queries without one
 SCORE_DIGITS = 9  # sums come in no fixed order; ranking compares them at this many digits, so that exact copies tie
 _SLACK = 2e-9
 _ROWS_OUT = 1 << 17
@@ -180,6 +189,169 @@ class Best:
             self.add(query, scores, ids[docs])
 
 
+class Crowd:
+    """``Best`` of many queries at once: rows ``query, score, id`` in ``found``, and the bars in ``least``."""
+
+    def __init__(self, asked: Asked, k: int):
+        self.k, self.starts, self.n = k, asked.starts, len(asked.ids)
+        query = np.repeat(np.arange(self.n), np.diff(asked.starts))
+        lightest = np.lexsort((asked.weight, query))  # terms of a query by rising weight
+        self.query, self.term, self.weight = query, asked.term[lightest], asked.weight[lightest]
+        self.least = np.full(self.n, -np.inf)
+        self.found: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def meet(self, segment: Segment) -> None:
+        if not segment.n:
+            return
+        size, most = np.diff(segment.at), np.zeros(len(segment.at) - 1)
+        most[size > 0] = np.maximum.reduceat(segment.gain, segment.at[:-1][size > 0]) if len(segment.gain) else 0.0
+        bound = np.maximum(self.weight, 0) * most[self.term]
+        reached = np.bincount(self.query, weights=bound, minlength=self.n)
+        barred = self.least > 0
+        rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        table = _Gains(segment)
+        for queries in (np.flatnonzero(~barred), np.flatnonzero(barred & (reached >= self.least - _SLACK))):
+            for first in range(0, len(queries), max(1, _CELLS // segment.n)):
+                some = queries[first : first + max(1, _CELLS // segment.n)]
+                rows += self._batches(segment, table, some, bound, size)
+        ids = segment.ids.to_numpy(zero_copy_only=False)
+        self._add(rows, ids.astype(str) if ids.dtype == object else ids)
+
+    def _batches(self, segment: Segment, table: _Gains, queries: np.ndarray, bound: np.ndarray, size: np.ndarray) -> Iterator[tuple]:
+        """The rows ``query, score, document`` that may be among the best of some queries, all with a bar or all without."""
+        length = self.starts[queries + 1] - self.starts[queries]
+        pair, at = _spans(self.starts[queries], length), np.repeat(np.arange(len(queries)), length)
+        start = np.cumsum(length) - length
+        upto = np.concatenate([[0.0], np.cumsum(bound[pair])])
+        upto = upto[1:] - upto[start][at]
+        light = upto < _LIGHT * (self.least[queries] - _SLACK)[at]
+        # what the light terms of a query add at most
+        lights = np.bincount(at[light], minlength=len(queries))
+        rest = np.where(lights > 0, upto[start + lights - 1] if len(upto) else 0.0, 0.0)
+        heavy = np.flatnonzero(~light)
+        postings = np.bincount(at[heavy], weights=size[self.term[pair[heavy]]], minlength=len(queries)).astype(np.int64)
+        ends, first = np.cumsum(postings), 0
+        while first < len(queries):
+            last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _POSTINGS, "right"))
+            last = min(max(last, first + 1), len(queries))
+            own = heavy[np.searchsorted(at[heavy], first) : np.searchsorted(at[heavy], last)]
+            total = self._totals(segment, pair[own], at[own] - first, last - first)
+            here = queries[first:last]
+            if not self.least[here[0]] > 0:
+                yield self._opened(here, total)
+            else:
+                q, doc = _cells(total >= (self.least[here] - _SLACK - rest[first:last])[:, None])
+                yield self._looked_up(table, here, q, doc, total[q, doc], self.starts[here], lights[first:last], start[first:last], upto, bound)
+            first = last
+
+    def _totals(self, segment: Segment, pair: np.ndarray, at: np.ndarray, queries: int) -> np.ndarray:
+        """Scores of all documents by some terms of the queries."""
+        term = self.term[pair]
+        length = segment.at[term + 1] - segment.at[term]
+        posting = _spans(segment.at[term], length)
+        cell = np.repeat(at * segment.n, length) + segment.docs[posting]
+        weights = np.repeat(self.weight[pair], length) * segment.gain[posting]
+        return np.bincount(cell, weights=weights, minlength=queries * segment.n).reshape(queries, segment.n)
+
+    def _opened(self, queries: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Without a bar, documents that share no term count like all others; documents are in id order."""
+        n, k = total.shape[1], self.k
+        bar = np.zeros(len(queries))
+        if k <= min(n, _LEAD):
+            bar = np.partition(total[:, :_LEAD], min(n, _LEAD) - k, axis=1)[:, min(n, _LEAD) - k]
+        mask = total >= (np.where(bar > _SLACK, bar - _SLACK, np.inf))[:, None]
+        some = np.flatnonzero(bar <= _SLACK)
+        if len(some):
+            score = np.round(total[some], SCORE_DIGITS)
+            least = np.partition(score, n - k, axis=1)[:, n - k] if k < n else score.min(axis=1)
+            above, equal = score > least[:, None], score == least[:, None]
+            mask[some] = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(axis=1)[:, None])) if k < n else True
+        q, doc = _cells(mask)
+        return queries[q], total[q, doc], doc
+
+    def _looked_up(self, table: _Gains, queries, q, doc, score, starts, lights, start, upto, bound) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Light terms are added to the scores of candidates, the heaviest first, as long as these may reach the bar."""
+        done = []
+        bars = self.least[queries] - _SLACK
+        step = 1
+        while len(q):
+            more = lights[q] >= step
+            if not more.all():
+                done.append((q[~more], score[~more], doc[~more]))
+                q, doc, score = q[more], doc[more], score[more]
+            place = lights[q] - step
+            pair = starts[q] + place
+            score = score + self.weight[pair] * table.at(self.term[pair], doc)
+            rest = upto[start[q] + place] - bound[pair]
+            keep = score + rest >= bars[q]
+            q, doc, score = q[keep], doc[keep], score[keep]
+            step += 1
+        if not done:
+            return queries[:0], np.zeros(0), np.zeros(0, np.int64)
+        q, score, doc = (np.concatenate(x) for x in zip(*done))
+        return queries[q], score, doc
+
+    def _add(self, rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ids: np.ndarray) -> None:
+        """The k best of the rows at hand and those found before; a query without new rows stays as it is."""
+        query, score, doc = (np.concatenate(x) for x in zip(*rows)) if rows else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        if self.found is None:
+            self.found = query[:0], score[:0], ids[:0]
+        if not len(query):
+            return
+        fresh = np.zeros(self.n, bool)
+        fresh[query] = True
+        old = fresh[self.found[0]]
+        kept = [x[~old] for x in self.found]
+        query, score, ids = (np.concatenate(x) for x in zip([x[old] for x in self.found], (query, score, ids[doc])))
+        by = np.lexsort((ids, -np.round(score, SCORE_DIGITS), query))
+        query = query[by]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        by, query, place = by[place < self.k], query[place < self.k], place[place < self.k]
+        score = score[by]
+        last = place == self.k - 1
+        self.least[query[last]] = np.round(score[last], SCORE_DIGITS)
+        self.found = tuple(np.concatenate(x) for x in zip(kept, (query, score, ids[by])))
+
+
+def _cells(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the cells that are set."""
+    cell = np.flatnonzero(mask)
+    return cell // mask.shape[1], cell % mask.shape[1]
+
+
+class _Gains:
+    """The gain of a term in a document of a segment: from a table for frequent terms, by search for others."""
+
+    def __init__(self, segment: Segment):
+        self.segment = segment
+        size = np.diff(segment.at)
+        most = np.argsort(-size, kind="stable")[: _TABLED // max(1, segment.n)]
+        self.row = np.full(len(size), -1)
+        self.row[most] = np.arange(len(most))
+        self.table: np.ndarray | None = None
+        self.key: np.ndarray | None = None
+
+    def at(self, term: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        segment = self.segment
+        if self.table is None:
+            held = np.repeat(np.arange(len(segment.at) - 1), np.diff(segment.at))
+            tabled = self.row[held] >= 0
+            self.table = np.zeros((int(self.row.max(initial=-1)) + 1, segment.n))
+            self.table[self.row[held[tabled]], segment.docs[tabled]] = segment.gain[tabled]
+            self.key = held * segment.n + segment.docs
+        row = self.row[term]
+        if (row >= 0).all():
+            return self.table[row, doc]
+        found = np.where(row >= 0, self.table[row, doc] if len(self.table) else 0.0, 0.0)
+        rare = np.flatnonzero(row < 0)
+        key = term[rare] * segment.n + doc[rare]
+        place = np.searchsorted(self.key, key)
+        there = place < len(self.key)
+        there[there] = self.key[place[there]] == key[there]
+        found[rare[there]] = segment.gain[place[there]]
+        return found
+
+
 def _cut(batch: pa.RecordBatch, most: int | None = None) -> Iterator[tuple[pa.Array, pa.Array]]:
     """Ids and tokens of a batch, in slices of bounded numbers of tokens and documents; a longer text is one by itself."""
     most = most or SEGMENT_TOKENS
@@ -206,38 +378,39 @@ def texts_reader(gain: Gain) -> Callable:
 
 def index_reader(batches: Iterator[pa.RecordBatch], asked: Asked) -> Iterator[Segment]:
     """Segments of the rows of an index, with the terms of the queries only; rows are put together up to a segment's bounds."""
-    parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
+    parts: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
     held = docs_held = 0
     for batch in batches:
         for row in range(batch.num_rows):
             ids, terms, at, docs, gain = (batch.column(c)[row].values for c in ("ids", "terms", "at", "docs", "gain"))
-            at = at.to_numpy().astype(np.int64)
-            here = pc.fill_null(pc.index_in(asked.terms, value_set=terms), -1).to_numpy().astype(np.int64)
-            start = np.where(here >= 0, at[here], 0)
-            length = np.where(here >= 0, at[here + 1] - at[here], 0) if len(terms) else np.zeros(len(here), np.int64)
-            posting = _spans(start, length)
             if parts and (held + len(docs) > SEGMENT_TOKENS or docs_held + len(ids) > SEGMENT_DOCS):
-                yield _together(parts, len(asked.terms))
+                yield _together(parts, asked.terms)
                 parts, held, docs_held = [], 0, 0
             # copies, so that the batch can go
-            own = ids.take(pa.array(np.arange(len(ids))))
-            parts.append((own, np.repeat(np.arange(len(here)), length), docs.to_numpy()[posting], gain.to_numpy()[posting]))
+            own = [x.take(pa.array(np.arange(len(x)))) for x in (ids, terms)]
+            parts.append((*own, np.diff(at.to_numpy()), docs.to_numpy().copy(), gain.to_numpy().copy()))
             held, docs_held = held + len(docs), docs_held + len(ids)
     if parts:
-        yield _together(parts, len(asked.terms))
+        yield _together(parts, asked.terms)
 
 
-def _together(parts: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]], terms: int) -> Segment:
-    """One segment of the documents of several rows: ids, and of each posting its term, document and gain."""
+def _together(parts: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]], asked: pa.Array) -> Segment:
+    """One segment of the documents of several rows: ids, terms with their number of postings, and of each posting its document and gain."""
     ids = pa.concat_arrays([p[0] for p in parts])
     order = pc.sort_indices(ids, null_placement="at_start").to_numpy().astype(np.int64)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    first = np.cumsum([0, *(len(p[0]) for p in parts)])
-    doc = place[np.concatenate([p[2].astype(np.int64) + n for p, n in zip(parts, first)])]
-    term, gain = np.concatenate([p[1] for p in parts]), np.concatenate([p[3] for p in parts])
-    by = np.lexsort((doc, term))
-    return Segment(ids.take(pa.array(order)), np.searchsorted(term[by], np.arange(terms + 1)), doc[by], gain[by])
+    # the terms of all rows are looked up at once, since that makes a hash table of all terms asked for
+    terms = pa.concat_arrays([p[1] for p in parts]).dictionary_encode()
+    number = pc.fill_null(pc.index_in(terms.dictionary, value_set=asked), -1).to_numpy().astype(np.int64)[terms.indices.to_numpy()]
+    term = np.repeat(number, np.concatenate([p[2] for p in parts]))
+    first = np.repeat(np.cumsum([0, *(len(p[0]) for p in parts[:-1])]), [len(p[3]) for p in parts])
+    known = np.flatnonzero(term >= 0)
+    n = max(1, len(ids))
+    key = term[known] * n + place[(np.concatenate([p[3] for p in parts]) + first)[known]]
+    by = np.argsort(key)
+    key, gain = key[by], np.concatenate([p[4] for p in parts])[known[by]]
+    return Segment(ids.take(pa.array(order)), np.searchsorted(key, np.arange(len(asked) + 1) * n), key % n, gain)
 
 
 def index_table(docs: DataFrame, gain: Gain) -> DataFrame:
@@ -275,6 +448,9 @@ def searched(source: DataFrame, read: Callable, sets: list[Asked], query_type: T
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asked, kept, kind = sent.value, None, None
+            if len(asked.ids) > FEW:
+                yield from crowd(batches, asked)
+                return
             for segment in read(batches, asked):
                 kept, kind = kept or Best(len(asked.ids), k), segment.ids.type
                 kept.meet(segment, asked)
@@ -286,6 +462,16 @@ def searched(source: DataFrame, read: Callable, sets: list[Asked], query_type: T
                         ids = pa.array(np.concatenate([i for *_, i in rows])).cast(kind)
                         yield pa.RecordBatch.from_arrays([asked.ids.take(pa.array(query)), ids, pa.array(np.concatenate([s for _, s, _ in rows]))], names)
 
+        def crowd(batches: Iterator[pa.RecordBatch], asked: Asked) -> Iterator[pa.RecordBatch]:
+            kept, kind = Crowd(asked, k), None
+            for segment in read(batches, asked):
+                kind = segment.ids.type
+                kept.meet(segment)
+            query, score, ids = kept.found or ((), (), ())
+            for a in range(0, len(query), _ROWS_OUT):
+                some = slice(a, a + _ROWS_OUT)
+                yield pa.RecordBatch.from_arrays([asked.ids.take(pa.array(query[some])), pa.array(ids[some]).cast(kind), pa.array(score[some])], names)
+
         def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asked = sent.value
             for segment in read(batches, asked):
@@ -296,7 +482,10 @@ def searched(source: DataFrame, read: Callable, sets: list[Asked], query_type: T
                         query = asked.ids.take(pa.array(np.full(len(docs), q)))
                         yield pa.RecordBatch.from_arrays([query, segment.ids.take(pa.array(docs)), pa.array(scores)], names)
 
-        return source.mapInArrow(every if k is None else best, schema)
+        if k is None:
+            return source.mapInArrow(every, schema)
+        # every task emits k rows of each query and begins without a bar, so there are no more tasks than cores
+        return source.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(best, schema)
 
     found = one(sets[0])
     for asked in sets[1:]:

@@ -58,6 +58,39 @@ def test_best_of_all_segments(corpus, monkeypatch, k, name):
         assert [s for s, _ in got] == pytest.approx([scores[i] for i in want])
 
 
+@pytest.mark.parametrize("k", [1, 5, 200])
+@pytest.mark.parametrize("name", [int, "doc{:04d}".format])
+@pytest.mark.parametrize("cells, tabled, lead", [(1 << 18, 1 << 22, 512), (300, 200, 8), (1, 0, 2)])
+def test_batches_of_queries(corpus, monkeypatch, k, name, cells, tabled, lead):
+    for bound, value in (("_CELLS", cells), ("_TABLED", tabled), ("_LEAD", lead), ("_POSTINGS", 30)):
+        monkeypatch.setattr(blockmax, bound, value)
+    texts, queries = corpus
+    ids = [name(i) for i in random.Random(1).sample(range(1000), len(texts))]
+    wanted = asked(queries)
+    crowd = blockmax.Crowd(wanted, k)
+    for a in range(0, len(texts), 40):
+        crowd.meet(Segment.of_texts(pa.array(ids[a : a + 40]), pa.array(texts[a : a + 40], pa.list_(pa.string())), GAIN, wanted.terms)[0])
+    found: dict[int, list] = {}
+    for q, score, i in zip(*(x.tolist() for x in crowd.found)):
+        found.setdefault(q, []).append((i, score))
+    for q, query in enumerate(queries):
+        scores = brute(texts, ids, query)
+        want = sorted(scores, key=lambda i: (-round(scores[i], 9), i))[:k]
+        assert [i for i, _ in found[q]] == want
+        assert [s for _, s in found[q]] == pytest.approx([scores[i] for i in want])
+
+
+def test_a_task_emits_a_query_once_however_many_splits_there_are(spark):
+    docs = spark.createDataFrame([(i, f"a{i % 7} b c") for i in range(500)], "doc_id int, processed string")
+    model = ranking.fit_bm25(docs)
+    asks = docs.selectExpr("doc_id AS query_id", "processed AS query")
+    cores = spark.sparkContext.defaultParallelism
+    read, sets = blockmax.texts_reader(model.gain), model._asked(asks, "query")
+    texts = model._texts(docs.repartition(5 * cores), "doc_id")
+    best = blockmax.searched(texts, read, sets, asks.schema["query_id"].dataType, docs.schema["doc_id"].dataType, "doc_id", 2)
+    assert best.groupBy("query_id").count().agg(F.max("count")).first()[0] <= 2 * cores
+
+
 def test_blocks_without_a_chance_are_not_scored(monkeypatch):
     monkeypatch.setattr(blockmax, "BLOCK_DOCS", 8)
     texts = [["a"] * (9 if i == 50 else 1) + ["b"] * (40 if i != 50 else 0) for i in range(400)]
