@@ -15,7 +15,10 @@ from lexispark.config import NOUN_EXCEPTIONS, CleanConfig
 from lexispark.functions.clean import clean
 from lexispark.functions.stemming import stem
 from lexispark.functions.tokens import filtered_tokens, join_tokens, kept_tokens, raw_tokens
-from lexispark.operators.scale import fits_broadcast, lookup_join, settle, spread
+from lexispark.operators.scale import broadcast_parts, lookup_join, settle, spread
+
+# A dictionary of up to so many broadcasts is looked up part by part inside the row
+LOOKUP_PARTS = 16
 
 # Noun endings and what may replace them, in the order in which candidates are preferred.
 NOUN_ENDINGS = (
@@ -117,37 +120,59 @@ def replace_terms(df: DataFrame, tokens: str, mapping: DataFrame, keys: Sequence
     """Replace tokens by a ``(term, new_term)`` mapping, keeping their order; unmapped tokens stay.
 
     Returns one row per row of ``df`` with the token array, also where keys repeat. Only the mapping's changed terms matter.
-    Where their measured size allows, they are a dictionary in every task and tokens are replaced inside their row;
-    beyond that they are joined, and the tokens of a row meet again in one shuffle on its number.
+    Where their measured size allows, they are a dictionary in every task, or several one after the other, and tokens are
+    replaced inside their row; beyond that they are joined, and the tokens of a row meet again in one shuffle on its number.
     """
-    changed = settle(mapping.where(F.col("new_term") != F.col("term")).select("term", "new_term"), "term-map")
-    if fits_broadcast(changed):
-        return df.select(*keys, _looked_up(changed)(F.coalesce(F.col(tokens), F.array().cast("array<string>"))).alias(tokens))
+    changed = _changed(mapping)
+    replaced = _in_row(changed)
+    if replaced is not None:
+        return df.select(*keys, replaced(_held(tokens)).alias(tokens))
     return _joined_terms(df, tokens, changed, keys)
 
 
-def _looked_up(changed: DataFrame):
-    """A function of token arrays that looks tokens up in the table ``(term, new_term)``, whose size has been checked.
+def _changed(mapping: DataFrame) -> DataFrame:
+    return settle(mapping.where(F.col("new_term") != F.col("term")).select("term", "new_term"), "term-map")
+
+
+def _held(tokens: str) -> Column:
+    return F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+
+
+def _in_row(changed: DataFrame):
+    """A function of token arrays that replaces the terms of a settled table, or None if they are too many for that."""
+    parts = broadcast_parts(changed, LOOKUP_PARTS)
+    if parts <= 1:
+        return _looked_up(changed) if parts else None
+    number = F.pmod(F.xxhash64("term"), F.lit(parts))
+    return _looked_up(*(changed.where(number == part) for part in range(parts)))
+
+
+def _looked_up(*tables: DataFrame):
+    """A function of token arrays that looks tokens up in tables ``(term, new_term)``, whose sizes have been checked.
 
     A whole batch of tokens is looked up at once in a hash table; the built-in functions only have maps that are searched
     from one end. The hash table is that of the batch's distinct tokens and the dictionary is what passes over it, so a
-    worker holds no hash table of the dictionary, however large that is.
+    worker holds no hash table of the dictionary, however large that is. Of several tables, which share no term, a worker
+    holds one at a time and reads the next from its local copy.
     """
-    sent = changed.sparkSession.sparkContext.broadcast(changed.toArrow().combine_chunks())
+    sent = [changed.sparkSession.sparkContext.broadcast(changed.toArrow().combine_chunks()) for changed in tables]
 
     @F.arrow_udf("array<string>")
     def replaced(tokens: pa.Array) -> pa.Array:
-        table = sent.value
         length = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
         held = tokens.flatten().dictionary_encode()
-        words = held.dictionary
-        if table.num_rows:
-            at = pc.index_in(table["term"].combine_chunks(), value_set=words)
-            row = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
-            source = np.full(len(words), -1)
-            source[at.drop_null().to_numpy()[::-1]] = row[::-1]  # of equal terms the first counts
-            words = pc.coalesce(table["new_term"].combine_chunks().take(pa.array(source, mask=source < 0)), words)
-        flat = words.take(held.indices)
+        words = found = held.dictionary
+        for part in sent:
+            table = part.value
+            if table.num_rows:
+                at = pc.index_in(table["term"].combine_chunks(), value_set=words)
+                row = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+                source = np.full(len(words), -1)
+                source[at.drop_null().to_numpy()[::-1]] = row[::-1]  # of equal terms the first counts
+                found = pc.coalesce(table["new_term"].combine_chunks().take(pa.array(source, mask=source < 0)), found)
+            if len(sent) > 1:
+                part.__dict__.pop("_value", None)  # a worker has no other way to let go of a broadcast
+        flat = found.take(held.indices)
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), flat)
 
     return replaced
@@ -175,14 +200,17 @@ def normalize(
         return df.select(*keys, tokens)
     # two passes follow; reading written tokens is far cheaper than cleaning the texts again
     df = settle(df.select(*keys, tokens), "tokens")
+    return replace_terms(df, tokens, _mapping(df, tokens, config, lexicon, exceptions), keys)
+
+
+def _mapping(df: DataFrame, tokens: str, config: CleanConfig, lexicon: DataFrame | None, exceptions: DataFrame | None) -> DataFrame:
+    """``(term, new_term)``: lemmas or stems of the terms of a written token column."""
     terms = distinct_terms(df, tokens)
-    if config.lemmatization:
-        lexicon = corpus_lexicon(terms) if lexicon is None else lexicon
-        exceptions = default_exceptions(df) if exceptions is None else exceptions
-        mapping = lemmatize(terms, lexicon, exceptions).withColumnRenamed("lemma", "new_term")
-    else:
-        mapping = stem_terms(terms).withColumnRenamed("stem", "new_term")
-    return replace_terms(df, tokens, mapping, keys)
+    if not config.lemmatization:
+        return stem_terms(terms).withColumnRenamed("stem", "new_term")
+    lexicon = corpus_lexicon(terms) if lexicon is None else lexicon
+    exceptions = default_exceptions(df) if exceptions is None else exceptions
+    return lemmatize(terms, lexicon, exceptions).withColumnRenamed("lemma", "new_term")
 
 
 def process(
@@ -222,9 +250,14 @@ def explain_steps(
     steps = steps.withColumn("tokens_raw", raw_tokens(F.col("after_cleaning"), config))
     steps = steps.withColumn("tokens_normalized", kept_tokens(F.col("tokens_raw"), config))
     if config.lemmatization or config.stemming:
-        # only row numbers and tokens pass through the set job; the wide columns come back by one join
         steps = settle(steps.withColumn("_row", F.monotonically_increasing_id()), "explained")
-        narrow = steps.select("_row", "tokens_normalized")
-        normalized = normalize(narrow.withColumnRenamed("_row", "_step"), "tokens_normalized", config, ["_step"], lexicon, exceptions)
-        steps = steps.drop("tokens_normalized").join(normalized, F.col("_row") == F.col("_step")).drop("_row", "_step")
+        changed = _changed(_mapping(steps, "tokens_normalized", config, lexicon, exceptions))
+        replaced = _in_row(changed)
+        if replaced is not None:
+            steps = steps.withColumn("tokens_normalized", replaced(_held("tokens_normalized"))).drop("_row")
+        else:
+            # only row numbers and tokens pass through the set job; the wide columns come back by one join
+            narrow = steps.select(F.col("_row").alias("_step"), "tokens_normalized")
+            normalized = _joined_terms(narrow, "tokens_normalized", changed, ["_step"])
+            steps = steps.drop("tokens_normalized").join(normalized, F.col("_row") == F.col("_step")).drop("_row", "_step")
     return steps.withColumn("final", join_tokens(F.col("tokens_normalized")))

@@ -61,14 +61,28 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(splits, *by) if largest * splits > UNEVEN * rows else df
 
 
-def fits_broadcast(settled: DataFrame) -> bool:
-    """Measure a settled table (one cheap scan) against the broadcast bounds."""
+def _measured(settled: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a settled table (one cheap scan)."""
     sizes = [F.octet_length(F.col(f.name)) for f in settled.schema if isinstance(f.dataType, T.StringType)]
     text_bytes = sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(0))
-    rows, size = settled.agg(F.count("*"), F.coalesce(F.sum(text_bytes + 16 * len(settled.columns)), F.lit(0))).first()
+    return tuple(settled.agg(F.count("*"), F.coalesce(F.sum(text_bytes + 16 * len(settled.columns)), F.lit(0))).first())
+
+
+def fits_broadcast(settled: DataFrame) -> bool:
+    """Measure a settled table against the broadcast bounds."""
+    rows, size = _measured(settled)
     return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 
 
+def broadcast_parts(settled: DataFrame, most: int) -> int:
+    """How many broadcasts within the bounds a settled table makes, or 0 if more than ``most``."""
+    rows, size = _measured(settled)
+    if MAX_BROADCAST_ROWS <= 0 or MAX_BROADCAST_BYTES <= 0:
+        return 0
+    parts = max(1, -(-rows // MAX_BROADCAST_ROWS), -(-size // MAX_BROADCAST_BYTES))
+    return parts if parts <= most else 0
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, spread: Sequence[str], how: str = "inner", broadcast: bool | None = None
 ) -> DataFrame:

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
+from lexispark.config import review_config
 from lexispark.operators import models, newton, normalize
 
 
@@ -101,6 +102,32 @@ def test_terms_are_replaced_alike_on_both_paths(spark, monkeypatch):
     assert found(mapping) == want
 
 
+def test_a_dictionary_of_several_broadcasts_is_looked_up_inside_the_row(spark, monkeypatch):
+    """Neither tokens nor the other columns of a row are shuffled, and a worker lets go of one part before the next."""
+    monkeypatch.setattr("lexispark.operators.scale.MAX_BROADCAST_ROWS", 7)
+    texts = [" ".join(f"{'ab'[i % 2]}word{chr(97 + j)}s x{i}" for j in range(i % 24)) for i in range(120)] + [None, "  "]
+    rows = [(i % 9, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    terms = {f"{x}word{chr(97 + j)}" for x in "ab" for j in range(24)}
+    lexicon = spark.createDataFrame([(t,) for t in terms], "form string")
+    want = sorted(" ".join(w[:-1] if w[:-1] in terms else w for w in (t or "").split()) for t in texts)
+    done = normalize.process(df, "text", review_config(), lexicon=lexicon)
+    steps = normalize.explain_steps(df, "text", review_config(), lexicon=lexicon)
+    for found, column in ((done, "processed"), (steps, "final")):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in text and "Exchange" not in text and "Join" not in text
+        assert sorted(r[column] for r in found.collect()) == want
+    monkeypatch.setattr(normalize, "LOOKUP_PARTS", 2)  # too many parts for that
+    again = normalize.explain_steps(df, "text", review_config(), lexicon=lexicon)
+    assert again.columns == steps.columns and sorted(map(str, again.collect())) == sorted(map(str, steps.collect()))
+    changed = [spark.createDataFrame([(f"a{i}", f"b{i}")], "term string, new_term string") for i in range(3)]
+    parts: list = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: parts.append(broadcast(self, value)) or parts[-1])
+    assert normalize._looked_up(*changed).func(pa.array([["a2", "a0", "x", None], ["a1"]])).to_pylist() == [["b2", "b0", "x", None], ["b1"]]
+    assert len(parts) == 3 and not any("_value" in vars(part) for part in parts)
+
+
 def test_looking_terms_up_holds_no_hash_table_of_the_dictionary(spark, monkeypatch):
     changed = spark.range(1000).selectExpr("concat('term', id, 's') AS term", "concat('term', id) AS new_term")
     replaced = normalize._looked_up(changed).func
