@@ -96,3 +96,11 @@ def test_children_hold_the_rows_of_their_parent(train):
                 assert (tree.total[left] + tree.total[left + 1]).tolist() == tree.total[node].tolist()
                 assert tree.total[left].sum() >= 1 and tree.total[left + 1].sum() >= 1 and tree.gain[node] > 0
         assert 700 < tree.total[0].sum() < 1100 and max(tree.level) <= 5
+
+
+@pytest.mark.parametrize("label", [None, 0.5, -1.0])
+def test_labels_that_are_no_class(spark, monkeypatch, label):
+    monkeypatch.setattr(models, "DENSE_BYTES", 0)
+    df = spark.createDataFrame([(1.0, Vectors.dense([1.0])), (label, Vectors.dense([2.0]))], ["label", "features"])
+    with pytest.raises(ValueError):
+        models.fit_forest(df)
